@@ -152,11 +152,7 @@ def fit(
         ),
     ]
     ready = shell.prepare(train).withColumn("__label", F.log1p(F.col(label)))
-    return replace_pipeline(shell, Pipeline(stages=stages).fit(ready))
-
-
-def replace_pipeline(shell: Fitted, pipeline: PipelineModel) -> Fitted:
-    return replace(shell, pipeline=pipeline)
+    return replace(shell, pipeline=Pipeline(stages=stages).fit(ready))
 
 
 def feature_matrix(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:

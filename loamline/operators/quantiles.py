@@ -32,14 +32,17 @@ def _clean(value: Column) -> Column:
 
 @dataclass
 class _Search:
-    """One value column and the brackets of the ranks still looked for in it."""
+    """One value column, and the brackets of the ranks still looked for in it."""
 
     value: Column
     count: int = 0
     grid: list = field(default_factory=list)
-    brackets: dict = field(default_factory=dict)  # rank -> (low, high)
+    open: dict = field(default_factory=dict)  # (low, high) -> ranks
     found: dict = field(default_factory=dict)
 
+    def look(self, low: float, high: float, rank: int) -> None:
+        self.open.setdefault((low, high), []).append(rank)
+
 
 def _sketch(value: Column) -> Column:
     steps = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
@@ -47,44 +50,68 @@ def _sketch(value: Column) -> Column:
 
 
 def _around(grid: list, rank: int, rows: int) -> tuple[float, float]:
-    """Bracket two grid steps wide on each side, wider than the sketch's error."""
+    """Bracket a few grid steps wide, wider than the sketch's error."""
     at = math.floor(rank / max(rows - 1, 1) * _GRID)
     return grid[max(at - 2, 0)], grid[min(at + 3, _GRID)]
 
 
+def _inside(search: _Search, bracket: tuple[float, float]) -> Column:
+    return (search.value > bracket[0]) & (search.value < bracket[1])
+
+
 def _narrow(df: DataFrame, searches: list[_Search]) -> None:
-    """One pass: exact counts around each open bracket, and a sketch of its inside."""
-    jobs, aggs = [], []
-    for search in searches:
-        for rank, (low, high) in search.brackets.items():
-            v, i = search.value, len(jobs)
-            inside = (v > low) & (v < high)
-            jobs.append((search, rank, low, high))
-            aggs += [
-                F.count_if(v < low).alias(f"below{i}"),
-                F.count_if(v == low).alias(f"low{i}"),
-                F.count_if(inside).alias(f"in{i}"),
-                F.count_if(v == high).alias(f"high{i}"),
-                _sketch(F.when(inside, v)).alias(f"grid{i}"),
-            ]
+    """One pass of exact counts around each open bracket. Ranks that fall on a bound are
+    found; short insides are read out, long ones are sketched and narrowed."""
+    jobs = [(search, bracket) for search in searches for bracket in search.open]
+    aggs = []
+    for i, (search, (low, high)) in enumerate(jobs):
+        v = search.value
+        aggs += [
+            F.count_if(v < low).alias(f"below{i}"), F.count_if(v == low).alias(f"low{i}"),
+            F.count_if(_inside(search, (low, high))).alias(f"in{i}"),
+            F.count_if(v == high).alias(f"high{i}"),
+        ]
     row = df.agg(*aggs).first()
-    for i, (search, rank, low, high) in enumerate(jobs):
-        below, equal, inside = row[f"below{i}"], row[f"low{i}"], row[f"in{i}"]
-        rest = rank - below - equal
-        del search.brackets[rank]
-        if rank < below or rank >= below + equal + inside + row[f"high{i}"]:
-            # The sketch missed: start again from the whole range.
-            search.brackets[rank] = (search.grid[0], search.grid[-1])
-        elif rest < 0:
-            search.found[rank] = low
-        elif rest >= inside:
-            search.found[rank] = high
-        elif inside <= _FETCH:
-            v = search.value
-            values = df.where((v > low) & (v < high)).select(v.alias("v")).limit(_FETCH).collect()
-            search.found[rank] = sorted(r["v"] for r in values)[rest]
-        else:
-            search.brackets[rank] = _around(row[f"grid{i}"], rest, inside)
+    short, long = [], []
+    for i, (search, bracket) in enumerate(jobs):
+        start, inside = row[f"below{i}"] + row[f"low{i}"], row[f"in{i}"]
+        rests = []
+        for rank in search.open.pop(bracket):
+            if rank < row[f"below{i}"] or rank >= start + inside + row[f"high{i}"]:
+                # The sketch missed: start again from the whole range.
+                search.look(search.grid[0], search.grid[-1], rank)
+            elif rank < start:
+                search.found[rank] = bracket[0]
+            elif rank >= start + inside:
+                search.found[rank] = bracket[1]
+            else:
+                rests.append((rank, rank - start))
+        if rests:
+            (short if inside <= _FETCH else long).append((search, bracket, inside, rests))
+    if short:
+        for (search, _, _, rests), values in zip(short, _read_out(df, short)):
+            search.found.update({rank: values[rest] for rank, rest in rests})
+    if long:
+        sketches = df.agg(
+            *[_sketch(F.when(_inside(s, b), s.value)).alias(f"g{i}") for i, (s, b, _, _) in enumerate(long)]
+        ).first()
+        for i, (search, _, inside, rests) in enumerate(long):
+            for rank, rest in rests:
+                search.look(*_around(sketches[f"g{i}"], rest, inside), rank)
+
+
+def _read_out(df: DataFrame, short: list) -> list[list[float]]:
+    """Sorted values inside short brackets: at most ``_FETCH`` numbers each."""
+    tagged = F.array(
+        *[
+            F.when(_inside(search, bracket), F.struct(F.lit(i).alias("i"), search.value.alias("v")))
+            for i, (search, bracket, _, _) in enumerate(short)
+        ]
+    )
+    values: list[list[float]] = [[] for _ in short]
+    for r in df.select(F.explode(F.array_compact(tagged)).alias("r")).select("r.*").collect():
+        values[r["i"]].append(r["v"])
+    return [sorted(v) for v in values]
 
 
 def order_statistics(
@@ -105,9 +132,9 @@ def order_statistics(
         search.count, search.grid = first[f"n_{name}"], first[f"g_{name}"] or []
         if search.count:
             for rank in sorted(set(ranks(search.count))):
-                search.brackets[rank] = _around(search.grid, rank, search.count)
-    while any(s.brackets for s in searches.values()):
-        _narrow(df, [s for s in searches.values() if s.brackets])
+                search.look(*_around(search.grid, rank, search.count), rank)
+    while any(s.open for s in searches.values()):
+        _narrow(df, [s for s in searches.values() if s.open])
     return {name: (s.count, s.found) for name, s in searches.items()}
 
 

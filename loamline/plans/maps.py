@@ -12,6 +12,7 @@ from loamline.operators.encode import LAND_COVER, LAND_USE, decode_codes
 from loamline.operators.model import Bundle
 from loamline.operators.stack import at_depths, pending, valid_mask
 from loamline.schema import DEPTHS_CM, NODATA, resolve_bands
+from loamline.session import checkpointed
 from loamline.sources.sinks import MAP_BANDS, output_qc, write_maps
 
 PIXEL = ["tile", "row", "col"]
@@ -60,8 +61,7 @@ def score_tiles(
     valid = decode_bands(deep.where("valid"), lrr).withColumn("z_mid", F.col("depth_cm"))
     scored, carried = valid, key
     for bundle in bundles:
-        left = [f for b in bundles for f in b.features]
-        keep = list(dict.fromkeys([*carried, *left]))
+        keep = list(dict.fromkeys([*carried, *required]))
         out = [f"{bundle.target.name}_{p}" for p in ("prediction", "lower_90", "upper_90", "interval_width")]
         scored = bundle.score(scored, keep)
         carried = [*carried, *out]
@@ -95,8 +95,6 @@ def run_pending(
     spark = tiles.sparkSession
     wanted = at_depths(tiles.select("tile").distinct(), depths, "depth_cm")
     todo = wanted if overwrite else pending(wanted, written(spark, path), ["tile", "depth_cm"])
-    from loamline.session import checkpointed
-
     todo = checkpointed(todo)
     if todo.isEmpty():
         return None
