@@ -88,14 +88,14 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
     tmin = 20.0 * F.col("l_discount") / 0.1
     return table(spark, sf, "lineitem").select(
         F.col("l_suppkey").alias("cell_id"), F.col("l_shipdate").alias("ts"),
-        (F.col("l_extendedprice") / 1000).alias("v"), F.col("l_linenumber").alias("qa"),
+        (F.col("l_extendedprice") / 997).alias("v"), F.col("l_linenumber").alias("qa"),
         F.col("l_quantity").alias("prcp"), tmin.alias("tmin"),
         (tmin + 100.0 * F.col("l_tax")).alias("tmax"), (F.col("l_tax") * 10000).alias("vp"),
     )
 
 
 SERIES = """series AS (
-  SELECT l_suppkey AS cell_id, l_shipdate AS ts, l_extendedprice / 1000 AS v, l_linenumber AS qa,
+  SELECT l_suppkey AS cell_id, l_shipdate AS ts, l_extendedprice / 997 AS v, l_linenumber AS qa,
          l_quantity AS prcp, 20.0::DOUBLE * l_discount / 0.1::DOUBLE AS tmin,
          20.0::DOUBLE * l_discount / 0.1::DOUBLE + 100.0::DOUBLE * l_tax AS tmax,
          l_tax * 10000 AS vp
