@@ -58,14 +58,14 @@ def order_dates(spark, sf):
     """Order dates as text, some of them unreadable."""
     day = F.date_format("o_orderdate", "yyyy-MM-dd")
     return table(spark, sf, "orders").select(
-        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_custkey")).alias("site_id"),
-        F.when(F.col("o_orderkey") % 5 == 0, F.col("o_orderpriority")).otherwise(day).alias("day"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("site_id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderpriority")).otherwise(day).alias("day"),
     )
 
 
 FIRST_DATES = """first_dates AS (
   SELECT o_custkey AS site_id, CAST(min(o_orderdate) AS DATE) AS observation_date FROM orders
-  WHERE o_orderkey % 11 <> 0 AND o_orderkey % 5 <> 0 GROUP BY o_custkey)"""
+  WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' GROUP BY o_custkey)"""
 
 
 @query(
@@ -86,13 +86,13 @@ DAY_EPOCH = "CAST(epoch(date_trunc('day', ts)) AS BIGINT)"
 @query(
     "A03_award_dates",
     f"""WITH a AS (SELECT event_type AS project, {AWARDS.format(epoch=DAY_EPOCH, text='VARCHAR')} AS award
-          FROM events WHERE user_id % 2 = 0 OR event_id % 6 <> 2)
+          FROM events)
         SELECT project, round(min(coalesce(try_cast(award AS DOUBLE), 0.0::DOUBLE)), 6) + 0.0 AS award_start_date
         FROM a WHERE award IS NOT NULL AND trim(award) <> '' GROUP BY project""",
 )
 def award_dates(spark, sf):
     epoch = "unix_timestamp(cast(date_trunc('DAY', ts) AS timestamp))"
-    rows = table(spark, sf, "events").where("user_id % 2 = 0 OR event_id % 6 <> 2").selectExpr(
+    rows = table(spark, sf, "events").selectExpr(
         "event_type AS project", AWARDS.format(epoch=epoch, text="STRING") + " AS award_start_date"
     )
     return round_all(cleaning.award_dates(rows))
@@ -132,7 +132,7 @@ def lab_tables(spark, sf):
         .otherwise(" ").alias("date_sampled"),
         S.lon_of(F.col("s_suppkey")).alias("pedon_x"), S.lat_of(F.col("s_suppkey")).alias("pedon_y"),
     )
-    layer = table(spark, sf, "part").where("p_partkey % 5 <> 0").selectExpr(
+    layer = table(spark, sf, "part").where("p_size > 5").selectExpr(
         "concat('l', p_partkey) AS laydesg_id", "concat('s', p_partkey) AS dsp_sample_id",
         "p_type AS hzdesg", "'0' AS hrzdep_t", "'10' AS hrzdep_b",
     )
@@ -169,7 +169,7 @@ award AS (
   FROM region WHERE r_regionkey <> 2 GROUP BY 1),
 joined AS (
   SELECT l.*, p.lat, p.lon, p.sampled, o.project,
-         CASE WHEN l.cooplabmst_id % 5 <> 0 THEN pt.p_type END AS hzdesg,
+         CASE WHEN pt.p_size > 5 THEN pt.p_type END AS hzdesg,
          CASE WHEN starts_with(dsp_pedon, 'S2018KS') THEN 'KansasState'
               WHEN starts_with(dsp_pedon, 'S2019MN') THEN 'UnivOfMinnesota'
               WHEN lat > 45 AND lon < -110 THEN 'WashingtonState'

@@ -9,12 +9,13 @@ from checks.registry import query, round_all
 from loamline.operators import encode, model
 from loamline.schema import TARGETS
 
-TRAIN, APPLY = "l_suppkey % 3 <> 0", "l_suppkey % 3 = 0"
+TRAIN, EXTERNAL = "l_returnflag <> 'R'", "l_returnflag = 'R'"
 
 
-def split(spark, sf):
+def train_and_all(spark, sf):
+    """What an imputer learns from, and the whole table it is applied to."""
     rows = S.horizons(spark, sf)
-    return rows.where(TRAIN), rows.where(APPLY)
+    return rows.where(TRAIN), rows
 
 
 @query(
@@ -24,10 +25,10 @@ def split(spark, sf):
                round(coalesce(h.bd, m.bd), 6) + 0.0 AS bd, round(top_cm, 6) + 0.0 AS top_cm,
                CASE WHEN h.caco3 IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS caco3_missing,
                CASE WHEN h.bd IS NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS bd_missing
-        FROM horizons h, m WHERE {APPLY}""",
+        FROM horizons h, m""",
 )
 def impute_median(spark, sf):
-    train, rest = split(spark, sf)
+    train, rest = train_and_all(spark, sf)
     filled = encode.impute_median(train, rest, ["caco3", "bd", "top_cm"])
     return round_all(
         filled.select(
@@ -43,24 +44,24 @@ KIND = "CASE WHEN l_partkey % 9 = 0 THEN NULL ELSE 'k' || (l_partkey % 7) END"
     "A28_impute_mode",
     f"""WITH {S.HORIZONS}, k AS (SELECT *, {KIND} AS kind FROM horizons),
         m AS (SELECT kind AS top FROM k WHERE {TRAIN} AND kind IS NOT NULL GROUP BY kind ORDER BY count(*) DESC, kind LIMIT 1)
-        SELECT l_orderkey, l_linenumber, l_partkey, coalesce(kind, top) AS kind FROM k, m WHERE {APPLY}""",
+        SELECT l_orderkey, l_linenumber, l_partkey, coalesce(kind, top) AS kind FROM k, m""",
 )
 def impute_mode(spark, sf):
-    train, rest = (df.withColumn("kind", F.expr(KIND)) for df in split(spark, sf))
+    train, rest = (df.withColumn("kind", F.expr(KIND)) for df in train_and_all(spark, sf))
     filled = encode.impute_mode(train, rest, ["kind"])
     return filled.select("l_orderkey", "l_linenumber", "l_partkey", "kind")
 
 
 @query(
     "A29_one_hot",
-    f"""WITH {S.HORIZONS}, k AS (SELECT *, CASE WHEN {APPLY} AND l_partkey % 11 = 0 THEN 'new' ELSE 'k' || (l_partkey % 4) END AS kind
+    f"""WITH {S.HORIZONS}, k AS (SELECT *, CASE WHEN {EXTERNAL} AND l_partkey % 11 = 0 THEN 'new' ELSE 'k' || (l_partkey % 4) END AS kind
           FROM horizons) SELECT l_orderkey, l_linenumber, l_partkey, """
     + ", ".join(f"CASE WHEN kind = 'k{i}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS kind_{i + 1}" for i in range(4))
-    + f" FROM k WHERE {APPLY}",
+    + " FROM k",
 )
 def one_hot(spark, sf):
-    kind = f"CASE WHEN {APPLY} AND l_partkey % 11 = 0 THEN 'new' ELSE 'k' || (l_partkey % 4) END"
-    train, rest = (df.withColumn("kind", F.expr(kind)) for df in split(spark, sf))
+    kind = f"CASE WHEN {EXTERNAL} AND l_partkey % 11 = 0 THEN 'new' ELSE 'k' || (l_partkey % 4) END"
+    train, rest = (df.withColumn("kind", F.expr(kind)) for df in train_and_all(spark, sf))
     coded = encode.one_hot(train, rest, "kind")
     return coded.select("l_orderkey", "l_linenumber", "l_partkey", *[f"kind_{i}" for i in range(1, 5)])
 
@@ -71,7 +72,7 @@ def one_hot(spark, sf):
         round((top_cm + bottom_cm) / 2, 6) + 0.0 AS z_mid, round(c_tot, 6) + 0.0 AS "SOC_pct" FROM horizons
         WHERE {TRAIN} AND c_tot >= 0 AND c_tot < 12.5 AND site_id IS NOT NULL
         UNION ALL SELECT 'external', l_orderkey || '-' || l_linenumber, round((top_cm + bottom_cm) / 2, 6) + 0.0,
-        round(c_tot, 6) + 0.0 FROM horizons WHERE {APPLY} AND c_tot >= 0 AND lat BETWEEN -90 AND 90""",
+        round(c_tot, 6) + 0.0 FROM horizons WHERE {EXTERNAL} AND c_tot >= 0 AND lat BETWEEN -90 AND 90""",
 )
 def prepare_tables(spark, sf):
     def named(df):
@@ -82,7 +83,8 @@ def prepare_tables(spark, sf):
             }
         )
 
-    train, external = (named(df) for df in split(spark, sf))
+    rows = named(S.horizons(spark, sf))
+    train, external = rows.where(TRAIN), rows.where(EXTERNAL)
     train, external = model.prepare_tables(
         train, external, ["caco3", "bd", "z_mid"], TARGETS["soc_pct"]
     )

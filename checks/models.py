@@ -1 +1,229 @@
+"""Cross-fitted models, tile scoring, and the covariate row end to end."""
 
+from __future__ import annotations
+
+from functools import lru_cache
+
+from pyspark.sql import functions as F
+
+from checks import standins as S
+from checks.registry import query, round_all, table
+from checks.sources import scratch
+from loamline.operators import encode, model, stack
+from loamline.plans import maps
+from loamline.plans.covariates import point_covariates
+from loamline.schema import TARGETS
+from loamline.session import checkpointed
+from loamline.streaming.tiles import score_new_tiles, tile_stream
+
+FEATURES = ["z_mid", "caco3", "bd", "clay_pct", "LRR_group", "LU_scraped"]
+# Few and shallow trees: the queries show the job, not the quality of a model.
+POINT = model.Boosting(rounds=4, max_depth=3, learning_rate=0.3)
+SCALE = model.Boosting(rounds=3, max_depth=2, learning_rate=0.3)
+DEPTHS = (5.0, 30.0)
+
+
+def observations(spark, sf):
+    """One row per order line id, with features, both targets and the external flag."""
+    rows = S.horizons(spark, sf)
+    unique = rows.groupBy(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("obs_id")).agg(
+        *[F.max(c).alias(c) for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
+    )
+    region = S.zones(spark, sf).select(F.col("ord").alias("c_nationkey"), "lrr")
+    site = table(spark, sf, "customer").join(F.broadcast(region), "c_nationkey").select(  # 25 nations
+        F.col("c_custkey").alias("site_id"), F.col("lrr").alias("LRR_group"),
+        F.substring("c_mktsegment", 1, 1).alias("segment"),
+    )
+    land = F.create_map(*[F.lit(x) for x in ("B", "C", "A", "F", "M", "R", "H", "X")])
+    return unique.join(site, "site_id").select(
+        "obs_id", "site_id", "lat", "lon", "top_cm", "bottom_cm", "caco3", "bd",
+        (F.col("l_partkey") % 60).cast("double").alias("clay_pct"), "LRR_group",
+        F.try_element_at(land, F.col("segment")).alias("LU_scraped"),
+        F.col("c_tot").alias("SOC_pct"), (0.6 + F.col("c_tot") / 10).alias("Measure_BD"),
+        F.lit(True).alias("BD_valid_basic"), "l_returnflag",
+    )
+
+
+@lru_cache(maxsize=4)
+def trained(spark, sf):
+    """Both targets, trained once per session and scale."""
+    rows = checkpointed(observations(spark, sf))
+    train, external = rows.where("l_returnflag <> 'R'"), rows.where("l_returnflag = 'R'")
+    return {
+        name: model.train_target(train, external, FEATURES, TARGETS[name], POINT, SCALE)
+        for name in ("soc_pct", "bulk_density")
+    }
+
+
+@query("M02_preprocessor")
+def preprocessor(spark, sf):
+    fitted = trained(spark, sf)["soc_pct"]["bundle"].point
+    rows = observations(spark, sf).withColumn("z_mid", (F.col("top_cm") + F.col("bottom_cm")) / 2)
+    return model.feature_matrix(fitted, rows, "obs_id")
+
+
+@query("M03_M05_fit_and_score_external")
+def external_predictions(spark, sf):
+    return trained(spark, sf)["soc_pct"]["external"].select("obs_id", "observed", "predicted")
+
+
+@query("M04_oof_predictions")
+def oof_predictions(spark, sf):
+    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "site_id", "fold", "observed", "predicted")
+
+
+@query("M06_error_scale")
+def error_scale(spark, sf):
+    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "scale", "lower_90", "upper_90")
+
+
+@query("M10_run_metrics")
+def run_metrics(spark, sf):
+    return trained(spark, sf)["bulk_density"]["metrics"]
+
+
+@query("M11_run_intervals")
+def run_intervals(spark, sf):
+    return trained(spark, sf)["bulk_density"]["interval_metrics"]
+
+
+@query("M14_run_manifest")
+def run_manifest(spark, sf):
+    runs = trained(spark, sf)
+    return runs["soc_pct"]["manifest"].unionByName(runs["bulk_density"]["manifest"])
+
+
+def tiles(spark, sf):
+    """Order lines as pixels, with codes for the categories and some nodata."""
+    q = F.col("l_quantity")
+    return table(spark, sf, "lineitem").select(
+        F.concat(F.lit("t"), F.col("l_suppkey") % 4).alias("tile"),
+        F.col("l_orderkey").alias("row"), F.col("l_linenumber").alias("col"),
+        F.when(q == 50, -9999.0).otherwise(F.col("l_discount") * 100).cast("float").alias("caco3"),
+        F.when(q == 49, F.lit(None)).otherwise(0.8 + F.col("l_tax") * 10).cast("float").alias("bd"),
+        (F.col("l_partkey") % 60).cast("float").alias("clay_pct"),
+        (F.col("l_partkey") % 6 + 1).cast("float").alias("LRR_group"),
+        (F.col("l_suppkey") % 4 + 1).cast("float").alias("LU_scraped"),
+    )
+
+
+def lrr_lookup(spark, sf):
+    return encode.categories(S.zones(spark, sf), "lrr")
+
+
+def bundles(spark, sf):
+    runs = trained(spark, sf)
+    return [runs[name]["bundle"] for name in ("soc_pct", "bulk_density")]
+
+
+@query("M12_score_tiles")
+def score_tiles(spark, sf):
+    return maps.score_tiles(tiles(spark, sf), bundles(spark, sf), DEPTHS, lrr_lookup(spark, sf))
+
+
+@query("M13_run_pending")
+def run_pending(spark, sf):
+    """Two runs into one folder: the second only does the depth the first left out."""
+    path, lookup = scratch(spark), lrr_lookup(spark, sf)
+    pixels, both = tiles(spark, sf), bundles(spark, sf)
+    first = maps.run_pending(pixels, both, path, DEPTHS[:1], lookup)
+    second = maps.run_pending(pixels, both, path, DEPTHS, lookup)
+    return stack.concat_tagged({"first": first, "second": second}, "run")
+
+
+@query("M13s_stream_tiles")
+def stream_tiles(spark, sf):
+    """The same job as a file stream over tile files."""
+    source, out, state = scratch(spark), scratch(spark), scratch(spark)
+    pixels = tiles(spark, sf)
+    pixels.write.parquet(source)
+    stream = tile_stream(spark, source, pixels.schema)
+    score_new_tiles(stream, bundles(spark, sf), out, state, DEPTHS[:1], lrr_lookup(spark, sf)).awaitTermination()
+    return spark.read.parquet(out)
+
+
+# --- covariates ------------------------------------------------------------------------
+
+def datasets(spark, sf):
+    """All gridded inputs, restated on order lines and suppliers."""
+    lines = table(spark, sf, "lineitem").withColumnsRenamed(
+        {"l_suppkey": "cell_id", "l_shipdate": "ts"}
+    )
+    price, quantity, line = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_linenumber")
+    tmin = 20.0 * F.col("l_discount") / 0.1
+    supplier = table(spark, sf, "supplier")
+    key = F.col("s_suppkey")
+
+    def series(**columns):
+        return lines.select("cell_id", "ts", *[v.alias(k) for k, v in columns.items()])
+
+    band = {f"sr_b{i}": (8000 + 900 * i + 4000 * F.col("l_tax") * i).cast("int") for i in range(1, 8)}
+    return {
+        "veg_series": series(
+            ndvi=(price / 10).cast("int"), evi=(quantity * 100).cast("int"),
+            summary_qa=F.when(line <= 5, 0).otherwise(1),
+        ),
+        "refl_series": series(
+            b02=(price / 10).cast("int"), b04=(quantity * 150).cast("int"), state_qa=line.cast("int")
+        ),
+        "et_series": series(
+            et=(quantity * 10).cast("int"), et_qc=F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+        ),
+        "climate_daily": series(
+            prcp=quantity, tmin=tmin, tmax=tmin + 100 * F.col("l_tax"), vp=F.col("l_tax") * 10000
+        ),
+        "reanalysis_daily": series(
+            temperature_2m=273.15 + tmin, dewpoint_2m=268.15 + tmin, srad_sum=price * 100
+        ),
+        "burn_monthly": series(burn_date=F.when(price > 90000, 100).otherwise(0)),
+        "soil_moisture": series(ssm=F.col("l_tax") * 100),
+        "landsat": series(
+            sensor=F.when(line == 1, "LT04").when(line == 2, "LT05").when(line <= 4, "LE07").otherwise("LC08"),
+            qa_pixel=F.when(F.col("l_returnflag") == "A", 8).otherwise(64), **band,
+        ),
+        "static_cell": supplier.select(
+            key.alias("cell_id"), F.floor(key / 10).alias("row"), (key % 10).alias("col"),
+            F.col("s_acctbal").alias("elv"), (F.col("s_acctbal") / 100).alias("hnd"),
+            (key * 3.0).alias("upa"), (key * 10.0).alias("ai_raw"), F.lit(30.0).alias("clay"),
+            F.lit(40.0).alias("sand"), (key % 12).alias("texture"), (key % 20).alias("lithology"),
+            F.when(F.col("s_acctbal") > 0, key * 100).alias("mukey"), F.lit(1).alias("landmask"),
+        ),
+        "landcover": supplier.select(
+            key.alias("cell_id"), F.explode(F.array(*[F.lit(r) for r in encode.RELEASES])).alias("release_year"),
+            (F.col("s_nationkey") % 5 * 10 + 41).alias("landcover"),
+        ),
+        "zones": S.zones(spark, sf),
+    }
+
+
+@query(
+    "LB_point_covariates",
+    f"""WITH {S.POINTS}, {S.SITES}, {S.ZONES}, first AS (SELECT site_id, min(k) AS k FROM hits GROUP BY site_id),
+        w AS (SELECT t.cell_id, t.cutoff,
+            sum(l_quantity) FILTER (l_shipdate >= cutoff - INTERVAL 1 YEAR) AS ppt_sum,
+            avg(l_tax * 100) AS ssm,
+            quantile_cont(20.0::DOUBLE * l_discount / 0.1::DOUBLE + 50 * l_tax, 0.75)
+              FILTER (l_shipdate >= cutoff - INTERVAL 1 YEAR) AS mat_p75
+          FROM targets t LEFT JOIN lineitem l ON l_suppkey = t.cell_id
+            AND l_shipdate >= cutoff - INTERVAL 5 YEAR AND l_shipdate < cutoff GROUP BY t.cell_id, t.cutoff)
+        SELECT p.point_id, 133 AS n_covariates, strftime(p.cutoff, '%Y-%m-%d') AS extraction_date,
+          round(s_acctbal, 6) + 0.0 AS "EL_MERIT", round(s_acctbal / 100, 6) + 0.0 AS "HAND",
+          CAST(CASE WHEN s_acctbal > 0 THEN s_suppkey * 100 ELSE -999 END AS DOUBLE) AS "GNATSGO_MUKEY",
+          CAST(coalesce(k, -9999) AS DOUBLE) AS "MLRA_ID", CAST(s_nationkey % 5 * 10 + 41 AS DOUBLE) AS "LULC",
+          coalesce(round(ppt_sum, 6) + 0.0, -9999.0::DOUBLE) AS ppt_sum,
+          coalesce(round(ssm, 6) + 0.0, -9999.0::DOUBLE) AS "SMAP_ssm_mm_win",
+          coalesce(round(mat_p75, 6) + 0.0, -9999.0::DOUBLE) AS "MAT_p75"
+        FROM points p JOIN w USING (cell_id, cutoff) JOIN supplier ON s_suppkey = cell_id
+        LEFT JOIN first f ON f.site_id = p.point_id""",
+)
+def covariates(spark, sf):
+    points = S.points(spark, sf)
+    wide, _ = point_covariates(points, datasets(spark, sf))
+    tags = {"extraction_scale_m", "covariate_nodata_value", "extraction_date", "extraction_year"}
+    names = [c for c in wide.columns if c not in points.columns and c not in tags]
+    return round_all(
+        wide.select(
+            "point_id", F.lit(len(names)).alias("n_covariates"), "extraction_date", "EL_MERIT", "HAND",
+            "GNATSGO_MUKEY", "MLRA_ID", "LULC", "ppt_sum", "SMAP_ssm_mm_win", "MAT_p75",
+        )
+    )

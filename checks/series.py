@@ -281,11 +281,11 @@ def asof_release(spark, sf):
 
 @query(
     "J07_sample_cells",
-    f"""WITH {S.POINTS}, cells AS (SELECT s_suppkey AS cell_id, s_acctbal AS elv FROM supplier WHERE s_suppkey % 9 <> 4)
+    f"""WITH {S.POINTS}, cells AS (SELECT s_suppkey AS cell_id, s_acctbal AS elv FROM supplier WHERE s_acctbal > 0)
         SELECT point_id, coalesce(round(elv, 6) + 0.0, -9999.0::DOUBLE) AS elv FROM points LEFT JOIN cells USING (cell_id)""",
 )
 def sample(spark, sf):
-    cells = table(spark, sf, "supplier").where("s_suppkey % 9 <> 4").selectExpr(
+    cells = table(spark, sf, "supplier").where("s_acctbal > 0").selectExpr(
         "s_suppkey AS cell_id", "s_acctbal AS elv"
     )
     return round_all(sample_cells(S.points(spark, sf), cells, -9999.0).select("point_id", "elv"))
@@ -351,10 +351,10 @@ SOIL_TARGETS = """soil_targets AS (
           LEFT JOIN flagged f ON f.cell_id = t.cell_id AND {in_bounds('1y')})
         SELECT cell_id, {DAY}, """
     + ", ".join(
-        f"round(CASE WHEN cell_id % 7 <> 3 THEN median({b}) FILTER (is_soil) END, 6) + 0.0 AS {b}_median"
+        f"round(CASE WHEN cell_id <> 3 THEN median({b}) FILTER (is_soil) END, 6) + 0.0 AS {b}_median"
         for b in ("blue", "green", "red", "nir", "swir1", "swir2")
     )
-    + """, round(CASE WHEN cell_id % 7 <> 3 THEN CAST(sum(CAST(is_soil AS INTEGER)) AS DOUBLE)
+    + """, round(CASE WHEN cell_id <> 3 THEN CAST(sum(CAST(is_soil AS INTEGER)) AS DOUBLE)
              / nullif(count(*) FILTER (clear), 0) END, 6) + 0.0 AS "SF_median"
         FROM p GROUP BY cell_id, cutoff""",
 )
@@ -364,7 +364,7 @@ def bare_soil(spark, sf):
         F.col("label").cast("bigint").alias("cell_id"),
         F.date_add(F.lit("2000-07-01").cast("date"), (F.col("vec_id") % 3 * 100).cast("int")).alias("cutoff"),
     ).distinct()
-    land = targets.select("cell_id").distinct().withColumn("on_land", F.col("cell_id") % 7 != 3)
+    land = targets.select("cell_id").distinct().withColumn("on_land", F.col("cell_id") != 3)
     return round_all(
         composite.bare_soil(flagged, targets, cutoff_windows(F.col("cutoff")), "1y", land)
     )

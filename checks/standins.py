@@ -57,12 +57,13 @@ SITES = f"""sites AS (
 def horizons(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as horizons, with the order's customer as site and its date."""
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_partkey", "l_suppkey"
+        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_partkey", "l_suppkey",
+        "l_returnflag",
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     line = F.col("l_linenumber")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         F.col("o_custkey").alias("site_id"), lat_of(F.col("o_custkey")).alias("lat"),
         lon_of(F.col("o_custkey")).alias("lon"),
         (10.0 * (line - 1)).alias("top_cm"), (10.0 * line).alias("bottom_cm"),
@@ -74,7 +75,7 @@ def horizons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 HORIZONS = f"""horizons AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_custkey AS site_id,
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, o_custkey AS site_id,
          {lat_sql('o_custkey')} AS lat, {lon_sql('o_custkey')} AS lon,
          10.0::DOUBLE * (l_linenumber - 1) AS top_cm, 10.0::DOUBLE * l_linenumber AS bottom_cm,
          l_quantity / 4 AS c_tot, CASE WHEN l_tax > 0 THEN l_discount * 100 END AS caco3,
@@ -260,5 +261,5 @@ def elevation(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("p_partkey")
     return table(spark, sf, "part").select(
         key.alias("cell_id"), F.floor(key / 50).alias("row"), (key % 50).alias("col"),
-        F.when(key % 211 != 0, F.col("p_retailprice")).alias("elv"), F.col("p_size"),
+        F.when(F.col("p_size") != 50, F.col("p_retailprice")).alias("elv"),
     )
