@@ -11,10 +11,8 @@ from checks.registry import query, round_all, table
 from loamline.functions import physical
 from loamline.functions.windows import cutoff_windows
 from loamline.operators import composite, harmonic, stack
-from loamline.operators.blocks import Stat, image_counts, window_stats
-from loamline.operators.window_join import (
-    distinct_targets, window_join, window_quantiles, window_quartiles,
-)
+from loamline.operators.blocks import Stat, distinct_targets, image_counts, window_stats
+from loamline.operators.window_join import window_join, window_quantiles, window_quartiles
 from loamline.operators.zones import asof_values, sample_cells
 from loamline.plans.covariates import array_cv, fire_frequency
 
@@ -48,7 +46,7 @@ BASE = f"{S.MASKED}, {S.POINTS}"
 
 def inputs(spark, sf):
     points = S.points(spark, sf)
-    return S.masked(S.series(spark, sf)), points, cutoff_windows(F.col("cutoff"))
+    return S.masked(S.series(spark, sf)), points, cutoff_windows
 
 
 def flagship(spark, sf):
@@ -81,7 +79,7 @@ query(
 def join_window(spark, sf):
     series, points, windows = inputs(spark, sf)
     joined = window_join(
-        points.select("point_id", "cell_id", "cutoff"), series.select("cell_id", "ts", "v"), windows["1y"]
+        points.select("point_id", "cell_id", "cutoff"), series.select("cell_id", "ts", "v"), windows, "1y"
     )
     return round_all(joined.select("point_id", F.col("ts").cast("date").alias("day"), "v"))
 
@@ -234,7 +232,7 @@ def harmonic_monthly(spark, sf):
 def count_images(spark, sf):
     series, points, windows = inputs(spark, sf)
     return round_all(
-        image_counts(series, distinct_targets(points), {k: windows[k] for k in ("10y", "1y")})
+        image_counts(series, distinct_targets(points), windows, ["10y", "1y"])
     )
 
 
@@ -363,10 +361,10 @@ def bare_soil(spark, sf):
     targets = table(spark, sf, "embeddings").select(
         F.col("label").cast("bigint").alias("cell_id"),
         F.date_add(F.lit("2000-07-01").cast("date"), (F.col("vec_id") % 3 * 100).cast("int")).alias("cutoff"),
-    ).distinct()
+    )
     land = targets.select("cell_id").distinct().withColumn("on_land", F.col("cell_id") != 3)
     return round_all(
-        composite.bare_soil(flagged, targets, cutoff_windows(F.col("cutoff")), "1y", land)
+        composite.bare_soil(flagged, distinct_targets(targets), cutoff_windows, "1y", land)
     )
 
 
@@ -397,9 +395,11 @@ def mosaic(spark, sf):
 def hot_cell_quartiles(spark, sf):
     """All observations in one cell: the bucketed path that never pairs a hot cell as a whole."""
     series = S.series(spark, sf).withColumn("cell_id", F.lit(0).cast("bigint"))
-    targets = S.points(spark, sf).select(F.lit(0).cast("bigint").alias("cell_id"), "cutoff").distinct()
+    targets = distinct_targets(
+        S.points(spark, sf).select(F.lit(0).cast("bigint").alias("cell_id"), "cutoff")
+    )
     found = window_quantiles(
-        series.select("cell_id", "ts", "v"), targets, cutoff_windows(F.col("cutoff"))["1y"], ["v"],
+        series.select("cell_id", "ts", "v"), targets, cutoff_windows, "1y", ["v"],
         (0.25, 0.75), hot_rows=1000,
     )
     return round_all(
