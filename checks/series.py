@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from checks import standins as S
 from checks.registry import query, round_all, table
 from loamline.functions import physical
-from loamline.functions.windows import cutoff_windows
 from loamline.operators import composite, harmonic, stack
 from loamline.operators.blocks import Stat, distinct_targets, image_counts, window_stats
 from loamline.operators.window_join import window_join, window_quantiles, window_quartiles
@@ -46,14 +45,14 @@ BASE = f"{S.MASKED}, {S.POINTS}"
 
 def inputs(spark, sf):
     points = S.points(spark, sf)
-    return S.masked(S.series(spark, sf)), points, cutoff_windows
+    return S.masked(S.series(spark, sf)), points, distinct_targets(points)
 
 
 def flagship(spark, sf):
     """Mean, quartiles and IQR of the masked values in the year before each point's cutoff."""
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     stats = window_quartiles(
-        series, distinct_targets(points), windows, "1y", ["v"], [Stat("v_n", "v", "count", "1y")]
+        series, targets, "1y", ["v"], [Stat("v_n", "v", "count", "1y")]
     )
     return round_all(
         points.select("point_id", "cell_id", "cutoff").join(stats, ["cell_id", "cutoff"], "left")
@@ -77,9 +76,10 @@ query(
         FROM points JOIN masked ON masked.cell_id = points.cell_id AND {in_bounds('1y')}""",
 )
 def join_window(spark, sf):
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     joined = window_join(
-        points.select("point_id", "cell_id", "cutoff"), series.select("cell_id", "ts", "v"), windows, "1y"
+        points.select("point_id", "cell_id", "cutoff").join(targets.keys(["1y"]), ["cell_id", "cutoff"]),
+        series.select("cell_id", "ts", "v"), "1y",
     )
     return round_all(joined.select("point_id", F.col("ts").cast("date").alias("day"), "v"))
 
@@ -99,11 +99,11 @@ def join_window(spark, sf):
         FROM targets t LEFT JOIN wide s ON s.cell_id = t.cell_id GROUP BY t.cell_id, t.cutoff""",
 )
 def stats_of_windows(spark, sf):
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     tmean = physical.mean_temperature(F.col("tmin"), F.col("tmax"))
     wide = series.withColumn("warm", F.when(tmean > 5, F.col("v")))
     result = window_stats(
-        wide, distinct_targets(points), windows,
+        wide, targets,
         [
             Stat("v_sum", "v", "sum", "1y"), Stat("v_mean_5y", "v", "mean", "5y"),
             Stat("tmin_spring", "tmin", "min", "spring"), Stat("v_max_clim", "v", "max", "clim10"),
@@ -122,9 +122,9 @@ def stats_of_windows(spark, sf):
         FROM years GROUP BY cell_id, cutoff""",
 )
 def annual_cv(spark, sf):
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     years = window_stats(
-        series, distinct_targets(points), windows, [Stat("y", "prcp", "sum", "clim10", by="year")]
+        series, targets, [Stat("y", "prcp", "sum", "clim10", by="year")]
     )
     return round_all(years.select("cell_id", "cutoff", array_cv(F.col("y")).alias("cv")))
 
@@ -139,9 +139,9 @@ MONTHS = f"""{BASE}, {paired('clim10')}, months AS (
     f"WITH {MONTHS} SELECT cell_id, {DAY}, month, round(m, 6) + 0.0 AS m FROM months WHERE m IS NOT NULL",
 )
 def monthly_climatology(spark, sf):
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     months = window_stats(
-        series, distinct_targets(points), windows, [Stat("m", "v", "mean", "clim10", by="month")]
+        series, targets, [Stat("m", "v", "mean", "clim10", by="month")]
     )
     long = months.select("cell_id", "cutoff", F.posexplode("m").alias("at", "m"))
     return round_all(
@@ -203,8 +203,8 @@ YEARS = (
         {least_squares('rows_')} SELECT cell_id, {DAY}, {polar_sql()} FROM fit""",
 )
 def harmonic_fit(spark, sf):
-    series, points, windows = inputs(spark, sf)
-    fitted = harmonic.harmonic_fit(series, distinct_targets(points), windows, "10y", {"v": "v"})
+    series, points, targets = inputs(spark, sf)
+    fitted = harmonic.harmonic_fit(series, targets, "10y", {"v": "v"})
     return round_all(fitted, 4)
 
 
@@ -215,9 +215,9 @@ def harmonic_fit(spark, sf):
         round(c5, 4) + 0.0 AS v_tcoef_10y FROM fit""",
 )
 def harmonic_monthly(spark, sf):
-    series, points, windows = inputs(spark, sf)
+    series, points, targets = inputs(spark, sf)
     months = window_stats(
-        series, distinct_targets(points), windows, [Stat("m", "v", "mean", "clim10", by="month")]
+        series, targets, [Stat("m", "v", "mean", "clim10", by="month")]
     )
     return round_all(harmonic.harmonic_fit_monthly(months, "m", "v", "_10y").drop("m"), 4)
 
@@ -230,10 +230,11 @@ def harmonic_monthly(spark, sf):
         FROM cutoffs CROSS JOIN images GROUP BY cutoff""",
 )
 def count_images(spark, sf):
-    series, points, windows = inputs(spark, sf)
-    return round_all(
-        image_counts(series, distinct_targets(points), windows, ["10y", "1y"])
-    )
+    series, points, targets = inputs(spark, sf)
+    parts = [
+        image_counts(series, targets, w).withColumnRenamed("n_images", f"n_images_{w}") for w in ("10y", "1y")
+    ]
+    return round_all(parts[0].join(parts[1], "cutoff"))
 
 
 @query(
@@ -245,11 +246,11 @@ def count_images(spark, sf):
         FROM years GROUP BY cell_id, cutoff""",
 )
 def fires(spark, sf):
-    series, points, _ = inputs(spark, sf)
+    series, _, targets = inputs(spark, sf)
     burn = series.select(
         "cell_id", "ts", F.when(F.col("v") > 100, 10).when(F.col("v").isNotNull(), 0).alias("burn_date")
     )
-    return round_all(fire_frequency(burn, distinct_targets(points)))
+    return round_all(fire_frequency(burn, targets))
 
 
 # --- as-of, sampling, stacking ---------------------------------------------------------
@@ -364,7 +365,7 @@ def bare_soil(spark, sf):
     )
     land = targets.select("cell_id").distinct().withColumn("on_land", F.col("cell_id") != 3)
     return round_all(
-        composite.bare_soil(flagged, distinct_targets(targets), cutoff_windows, "1y", land)
+        composite.bare_soil(flagged, distinct_targets(targets), "1y", land)
     )
 
 
@@ -399,7 +400,7 @@ def hot_cell_quartiles(spark, sf):
         S.points(spark, sf).select(F.lit(0).cast("bigint").alias("cell_id"), "cutoff")
     )
     found = window_quantiles(
-        series.select("cell_id", "ts", "v"), targets, cutoff_windows, "1y", ["v"],
+        series.select("cell_id", "ts", "v"), targets, "1y", ["v"],
         (0.25, 0.75), hot_rows=1000,
     )
     return round_all(
