@@ -9,9 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -22,6 +25,7 @@ from loamline.functions.intervals import absolute_error, expm1_clip, floor_scale
 from loamline.operators.conformal import add_intervals, conformal_multiplier
 from loamline.operators.encode import most_frequent
 from loamline.operators.metrics import interval_metrics, pixel_depth, regression_metrics
+from loamline.operators.quantiles import quantiles
 from loamline.operators.rank import group_folds
 from loamline.operators.stack import concat_tagged
 from loamline.schema import CATEGORICAL, Target, require_columns
@@ -86,25 +90,24 @@ def prepare_tables(
 class Fitted:
     """Preprocessor fitted on the training rows, and the regressor on top of it."""
 
-    numeric: list[str]
-    categorical: list[str]
+    medians: dict[str, float]
     modes: dict[str, str]
     indicators: list[str]
     pipeline: PipelineModel
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """Most-frequent category for NULL; 0/1 flags for columns with gaps in training."""
-        filled = {c: F.coalesce(F.col(c).cast("string"), F.lit(self.modes[c])) for c in self.categorical}
+        """Median for a missing number, most frequent category for a missing one, and 0/1
+        flags for the columns that had gaps in training."""
         flags = {f"{c}__gap": F.col(c).isNull().cast("double") for c in self.indicators}
-        return df.withColumns(
-            {c: F.col(c).cast("double") for c in self.numeric} | filled | flags
-        )
+        numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.medians.items()}
+        names = {c: F.coalesce(F.col(c).cast("string"), F.lit(m)) for c, m in self.modes.items()}
+        return df.withColumns(flags | numbers | names)
 
     def transform(self, df: DataFrame, out: str, keep: Sequence[str] | None = None) -> DataFrame:
         """Adds the raw (log-scale) prediction; ``keep`` names the columns to return."""
         keep = list(keep if keep is not None else df.columns)
         # The input columns come back as they were, not as they were imputed.
-        raw = {c: f"__raw_{c}" for c in keep if c in {*self.numeric, *self.categorical}}
+        raw = {c: f"__raw_{c}" for c in keep if c in {*self.medians, *self.modes}}
         df = df.withColumns({alias: F.col(c) for c, alias in raw.items()})
         scored = self.pipeline.transform(self.prepare(df))
         return scored.select(
@@ -118,18 +121,17 @@ def fit(
 ) -> Fitted:
     """Median imputation with gap flags, mode imputation and one-hot (unseen categories are
     all zero), boosted trees on ``log1p(label)``. Everything is learnt from ``train``."""
-    categorical = [c for c in features if c in categorical]
-    numeric = [c for c in features if c not in categorical]
-    train = train.withColumns({c: F.col(c).cast("double") for c in numeric})
-    gaps = train.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in numeric]).first()
-    empty = train.agg(*[F.count(c).alias(c) for c in numeric]).first()
-    numeric = [c for c in numeric if empty[c]]  # a column without any value carries nothing
-    modes = most_frequent(train.withColumns({c: F.col(c).cast("string") for c in categorical}), categorical)
-    categorical = [c for c in categorical if modes[c] is not None]
-    shell = Fitted(numeric, categorical, modes, [c for c in numeric if gaps[c]], None)
-    filled = [f"{c}__filled" for c in numeric]
-    stages = [Imputer(strategy="median", relativeError=0.001, inputCols=numeric, outputCols=filled)]
-    inputs = filled + [f"{c}__gap" for c in shell.indicators]
+    names = [c for c in features if c in categorical]
+    numbers = {c: F.col(c).cast("double") for c in features if c not in categorical}
+    middle = quantiles(train, numbers, (0.5,))
+    # A column without any value carries nothing.
+    medians = {c: m for c, (m,) in middle.items() if m is not None}
+    modes = {c: m for c, m in most_frequent(train, names).items() if m is not None}
+    gaps = train.agg(*[F.count_if(numbers[c].isNull()).alias(c) for c in medians]).first()
+    shell = Fitted(medians, modes, [c for c in medians if gaps[c]], None)
+    categorical = list(modes)
+    stages = []
+    inputs = [*medians, *[f"{c}__gap" for c in shell.indicators]]
     if categorical:
         codes = [f"{c}__code" for c in categorical]
         hot = [f"{c}__hot" for c in categorical]
@@ -138,7 +140,7 @@ def fit(
                 inputCols=categorical, outputCols=codes, handleInvalid="keep",
                 stringOrderType="alphabetAsc",
             ),
-            OneHotEncoder(inputCols=codes, outputCols=hot, handleInvalid="keep", dropLast=True),
+            OneHotEncoder(inputCols=codes, outputCols=hot, dropLast=True),
         ]
         inputs += hot
     stages += [
@@ -166,23 +168,34 @@ def feature_matrix(fitted: Fitted, df: DataFrame, key: str) -> DataFrame:
 # --- cross-fitting ---------------------------------------------------------------------
 
 def cross_fit(
-    folded: DataFrame, features: Sequence[str], label: str, params: Boosting, out: str
+    folded: DataFrame, features: Sequence[str], label: str, params: Boosting, out: str,
+    parallelism: int = FOLDS,
 ) -> DataFrame:
     """Out-of-fold raw predictions: each row is scored by the model that never saw its fold.
 
     ``folded`` carries ``fold`` and should be checkpointed. Result: obs_id, fold, ``out``.
     """
     folds = sorted(r["fold"] for r in folded.select("fold").distinct().collect())  # k numbers
-    parts = None
-    for fold in folds:
+
+    def one(fold: int) -> DataFrame:
         model = fit(folded.where(F.col("fold") != fold), features, label, params)
-        part = model.transform(folded.where(F.col("fold") == fold), out, ["obs_id", "fold"])
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+        return model.transform(folded.where(F.col("fold") == fold), out, ["obs_id", "fold"])
+
+    # The folds' jobs run side by side, so short stages of one leave no executor idle.
+    with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
+        parts = pool.map(inheritable_thread_target(one), folds)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def training_table(df: DataFrame) -> DataFrame:
+    """Checkpointed rows spread by observation id. Training is bound by computing, so small
+    adjacent partitions are not merged here."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpointed(df.repartition(n, "obs_id"))
 
 
 def with_folds(train: DataFrame, k: int = FOLDS) -> DataFrame:
-    return checkpointed(group_folds(train, "site_id", k))
+    return training_table(group_folds(train, "site_id", k))
 
 
 def oof_predict(
@@ -230,7 +243,7 @@ def fit_scale(
     """Error-scale model on out-of-fold absolute errors, with the point prediction as one
     more feature. ``oof`` gets ``scale`` from a second cross-fit over the same folds."""
     wide = join_predictions(folded, oof)
-    wide = checkpointed(
+    wide = training_table(
         wide.withColumn("__error", absolute_error(F.col(target.column), F.col("point_prediction")))
     )
     inputs = [*features, "point_prediction"]

@@ -44,9 +44,11 @@ class _Search:
         self.open.setdefault((low, high), []).append(rank)
 
 
+_STEPS = f"array({', '.join(f'{i / _GRID}D' for i in range(_GRID + 1))})"
+
+
 def _sketch(value: Column) -> Column:
-    steps = F.array(*[F.lit(i / _GRID) for i in range(_GRID + 1)])
-    return F.percentile_approx(value, steps, _ACCURACY)
+    return F.percentile_approx(value, F.expr(_STEPS), _ACCURACY)
 
 
 def _around(grid: list, rank: int, rows: int) -> tuple[float, float]:

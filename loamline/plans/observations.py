@@ -10,10 +10,11 @@ from loamline.functions.clean import (
     non_negative, to_number, valid_coord,
 )
 from loamline.operators.cleaning import (
-    assemble_lab, assert_one_row_per, award_dates, dedupe_sites, first_date, join_m1, lookup,
+    assemble_lab, assert_one_row_per, award_dates, dedupe_sites, first_date, lookup,
 )
 from loamline.operators.rank import assign_point_ids
 from loamline.schema import require_columns
+from loamline.session import checkpointed
 
 # The campaign's sampling dates, and the project names of the relational source.
 CAMPAIGN = ("2010-05-01", "2012-01-31")
@@ -37,7 +38,8 @@ def join_campaign(horizons: DataFrame, site_xy: DataFrame, site_dates: DataFrame
         "raca_site", ["region", "landuse", "grp"], "ingest_order",
     ).withColumnRenamed("raca_site", "rcasiteid")
     dates = first_date(site_dates, "rcasiteid", "observation_date")
-    joined = join_m1(join_m1(horizons, sites, ["rcasiteid"]), dates, ["rcasiteid"])
+    # Both right sides are grouped by the key, so they cannot repeat it.
+    joined = horizons.join(sites, "rcasiteid", "left").join(dates, "rcasiteid", "left")
     day, label = coalesce_with_source([(F.col("observation_date"), "RaCA_sample_date")], None)
     return joined.withColumns(
         {
@@ -129,10 +131,14 @@ def with_points(observations: DataFrame, prefix: str) -> tuple[DataFrame, DataFr
     """Observations with their point id, and the table of unique points.
 
     A point is a place and a cutoff date; the cutoff is the observation date, so no
-    covariate window reaches past it.
+    covariate window reaches past it. The observations are checkpointed: they are read once
+    for the points and once for the join.
     """
-    dated = observations.withColumn("covariate_cutoff_date", F.col("observation_date"))
+    dated = checkpointed(
+        observations.withColumn("covariate_cutoff_date", F.col("observation_date"))
+    )
     points = assign_point_ids(dated, prefix)
-    return join_m1(dated, points, ["lat", "lon", "covariate_cutoff_date"]), points
+    # The points are distinct places and dates, so they cannot repeat the key.
+    return dated.join(points, ["lat", "lon", "covariate_cutoff_date"], "left"), points
 
 
