@@ -183,7 +183,7 @@ def cross_fit(
 
     # The folds' jobs run side by side, so short stages of one leave no executor idle.
     with ThreadPool(max(1, min(parallelism, len(folds)))) as pool:
-        parts = pool.map(inheritable_thread_target(one), folds)
+        parts = pool.map(inheritable_thread_target(folded.sparkSession)(one), folds)
     return reduce(DataFrame.unionByName, parts)
 
 
