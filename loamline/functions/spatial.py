@@ -27,15 +27,22 @@ def pixel_id(metres: Column, size: float = 250.0) -> Column:
     return F.floor(metres / F.lit(size)).cast("bigint")
 
 
-def in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd test against a closed ring, half-open in y so shared edges count once."""
+def ring_edges(ring: Column) -> Column:
+    """Edges of a ring of points, closing it: array of struct (x1, y1, x2, y2)."""
     after = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-    edges = F.arrays_zip(ring.alias("a"), after.alias("b"))
+    return F.zip_with(
+        ring, after,
+        lambda a, b: F.struct(
+            a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")
+        ),
+    )
+
 
-    def crosses(edge: Column) -> Column:
-        x1, y1 = edge["a"]["x"], edge["a"]["y"]
-        x2, y2 = edge["b"]["x"], edge["b"]["y"]
-        at = x1 + F.try_divide((y - y1) * (x2 - x1), y2 - y1)
-        return ((y1 <= y) != (y2 <= y)) & (x < at)
+def crosses_odd(x: Column, y: Column, edges: Column) -> Column:
+    """Even-odd test: a ray to the east crosses an odd number of edges. Edges are half-open
+    in y, so a border shared by two polygons belongs to one of them."""
+    def crosses(e: Column) -> Column:
+        at = e["x1"] + F.try_divide((y - e["y1"]) * (e["x2"] - e["x1"]), e["y2"] - e["y1"])
+        return ((e["y1"] <= y) != (e["y2"] <= y)) & (x < at)
 
     return F.size(F.filter(edges, crosses)) % 2 == 1

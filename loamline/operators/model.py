@@ -313,18 +313,17 @@ def run_manifest(
     metrics: DataFrame, params: dict[str, float], numbers: dict[str, float],
 ) -> DataFrame:
     """One nested lineage row of a run: sizes, inputs, settings and metric rows."""
-    sizes = train.agg(
-        F.count("*").alias("training_rows"), F.count_distinct("site_id").alias("training_sites")
-    ).join(external.agg(F.count("*").alias("external_rows")))
-    # A handful of metric rows.
-    rows = metrics.agg(F.sort_array(F.collect_list(F.struct(*metrics.columns))).alias("metrics"))
+    sizes = train.agg(F.count("*").alias("rows"), F.count_distinct("site_id").alias("sites")).first()
 
     def as_map(values: dict[str, float]):
         return F.create_map(*[F.lit(x) for k, v in values.items() for x in (k, float(v))])
 
-    return sizes.join(rows).select(
+    # A handful of metric rows.
+    return metrics.agg(F.sort_array(F.collect_list(F.struct(*metrics.columns))).alias("metrics")).select(
         F.lit(target.name).alias("target"), F.lit(target.units).alias("units"),
-        "training_rows", "training_sites", "external_rows",
+        F.lit(sizes["rows"]).cast("bigint").alias("training_rows"),
+        F.lit(sizes["sites"]).cast("bigint").alias("training_sites"),
+        F.lit(external.count()).cast("bigint").alias("external_rows"),
         F.array(*[F.lit(f) for f in features]).alias("features"),
         F.array(*[F.lit(f) for f in features if f in CATEGORICAL]).alias("categorical_features"),
         as_map(params).alias("params"), as_map(numbers).alias("calibration"), "metrics",

@@ -199,10 +199,11 @@ def group_quantiles(
     """
     levels = F.array(*[F.lit(p) for p in probs])
     exact = [F.percentile(F.col(v), levels).alias(v) for v in values]
-    hot = df.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > hot_rows)
-    hot = checkpointed(hot.select(*keys))
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    hot = sizes.where(F.col("__n") > hot_rows).select(*keys)
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*exact)
+    hot = checkpointed(hot)
     marker = bounded_broadcast(hot)
     cold = df.join(marker, keys, "left_anti").groupBy(*keys).agg(*exact)
     large = checkpointed(df.join(marker, keys, "left_semi").select(*keys, *values))

@@ -12,7 +12,7 @@ from loamline.operators.encode import LAND_COVER, LAND_USE, decode_codes
 from loamline.operators.model import Bundle
 from loamline.operators.stack import at_depths, pending, valid_mask
 from loamline.schema import DEPTHS_CM, NODATA, resolve_bands
-from loamline.session import checkpointed
+from loamline.session import bounded_broadcast, checkpointed
 from loamline.sources.sinks import MAP_BANDS, output_qc, write_maps
 
 PIXEL = ["tile", "row", "col"]
@@ -54,9 +54,12 @@ def score_tiles(
     bands = resolve_bands(tiles.columns, required)
     pixels = tiles.select(*PIXEL, *[F.col(band).alias(f) for f, band in bands.items()])
     marked = valid_mask(pixels, list(bands))
-    deep = at_depths(marked, depths, "depth_cm")
-    if wanted is not None:
-        deep = deep.join(wanted.select("tile", "depth_cm").distinct(), ["tile", "depth_cm"], "left_semi")
+    if wanted is None:
+        deep = at_depths(marked, depths, "depth_cm")
+    else:
+        # One row per tile; on a table partitioned by tile the join prunes its partitions.
+        todo = wanted.groupBy("tile").agg(F.collect_set("depth_cm").alias("__depths"))
+        deep = marked.join(bounded_broadcast(todo), "tile").withColumn("depth_cm", F.explode("__depths"))
     key = [*PIXEL, "depth_cm"]
     valid = decode_bands(deep.where("valid"), lrr).withColumn("z_mid", F.col("depth_cm"))
     scored, carried = valid, key

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows up to which a lookup side may be broadcast. The size is checked at run time.
@@ -57,10 +57,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None
+) -> DataFrame:
     """Broadcast hint only if the side is counted to hold at most ``max_rows`` rows.
 
-    Beyond that the plain frame is returned, so the join shuffles and adaptive execution
-    splits skewed partitions.
+    Where rows carry arrays, ``weight`` is their length, and the sum of the lengths is
+    checked instead. Beyond the bound the plain frame is returned, so the join shuffles and
+    adaptive execution splits skewed partitions.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if weight is None:
+        size = df.limit(max_rows + 1).count()
+    else:
+        size = df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if size <= max_rows else df

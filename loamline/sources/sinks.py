@@ -26,22 +26,20 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv") -> None:
 
 
 def write_covariates(df: DataFrame, path: str) -> None:
-    """Point covariates by cutoff date. Rows are first spread by date and point, so that one
-    busy date is written by several tasks."""
-    _write_parts(df, path, ["covariate_cutoff_date"], ["point_id"])
+    """Point covariates by cutoff date."""
+    _write_parts(df, path, ["covariate_cutoff_date"])
 
 
 def write_maps(df: DataFrame, path: str) -> None:
     """Prediction maps by depth and tile; only the partitions present in ``df`` are replaced."""
-    _write_parts(df, path, ["depth_cm", "tile"], [])
+    _write_parts(df, path, ["depth_cm", "tile"])
 
 
-def _write_parts(df: DataFrame, path: str, parts: Sequence[str], spread: Sequence[str]) -> None:
-    # A rebalance lets adaptive execution split a large partition and join small ones.
-    shaped = df.hint("rebalance", *parts) if not spread else df.hint("rebalance", *parts, *spread)
+def _write_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+    # The rebalance gives each folder few files; adaptive execution splits a busy one.
     (
-        shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts).parquet(path)
+        df.hint("rebalance", *parts).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     )
 
 
