@@ -12,7 +12,7 @@ from checks.sources import scratch
 from loamline.operators import encode, model, stack
 from loamline.plans import maps
 from loamline.plans.covariates import point_covariates
-from loamline.schema import TARGETS
+from loamline.schema import NODATA, TARGETS
 from loamline.session import checkpointed
 from loamline.streaming.tiles import score_new_tiles, tile_stream
 
@@ -55,26 +55,86 @@ def trained(spark, sf):
     }
 
 
-@query("M02_preprocessor")
+OBSERVATIONS = f"""{S.HORIZONS}, obs AS (
+  SELECT l_orderkey || '-' || l_linenumber AS obs_id, max(site_id) AS site_id, max(lat) AS lat, max(lon) AS lon,
+         (max(top_cm) + max(bottom_cm)) / 2 AS z_mid, max(caco3) AS caco3, max(bd) AS bd,
+         CAST(max(l_partkey) % 60 AS DOUBLE) AS clay_pct, max(c_tot) AS y, max(l_returnflag) AS flag
+  FROM horizons GROUP BY l_orderkey, l_linenumber),
+named AS (
+  SELECT o.*, r_name AS lrr, CASE substr(c_mktsegment, 1, 1) WHEN 'B' THEN 'C' WHEN 'A' THEN 'F'
+         WHEN 'M' THEN 'R' WHEN 'H' THEN 'X' END AS lu
+  FROM obs o JOIN customer ON c_custkey = site_id JOIN nation ON c_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey),
+train AS (SELECT * FROM named WHERE flag <> 'R' AND y >= 0 AND y < 12.5),
+ext AS (SELECT * FROM named WHERE flag = 'R' AND y >= 0 AND lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180)"""
+
+LRR = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# Names of the vector's elements, in its order.
+VECTOR = (
+    ["z_mid", "caco3", "bd", "clay_pct", "caco3_gap", "bd_gap"]
+    + [f"lrr_{i}" for i in range(5)] + [f"lu_{k}" for k in "CFRX"]
+)
+
+
+@query(
+    "M02_preprocessor",
+    f"""WITH {OBSERVATIONS}, m AS (SELECT median(caco3) AS caco3, median(bd) AS bd FROM train),
+        top AS (SELECT lu AS top FROM train WHERE lu IS NOT NULL GROUP BY lu ORDER BY count(*) DESC, lu LIMIT 1)
+        SELECT obs_id, round(z_mid, 6) + 0.0 AS z_mid, round(coalesce(n.caco3, m.caco3), 6) + 0.0 AS caco3,
+        round(coalesce(n.bd, m.bd), 6) + 0.0 AS bd, round(clay_pct, 6) + 0.0 AS clay_pct,
+        CAST(n.caco3 IS NULL AS INTEGER)::DOUBLE AS caco3_gap, CAST(n.bd IS NULL AS INTEGER)::DOUBLE AS bd_gap, """
+    + ", ".join(f"CAST(lrr = '{name}' AS INTEGER)::DOUBLE AS lrr_{i}" for i, name in enumerate(LRR))
+    + ", " + ", ".join(f"""CAST(coalesce(lu, top) = '{k}' AS INTEGER)::DOUBLE AS "lu_{k}" """ for k in "CFRX")
+    + " FROM named n, m, top",
+)
 def preprocessor(spark, sf):
     fitted = trained(spark, sf)["soc_pct"]["bundle"].point
     rows = observations(spark, sf).withColumn("z_mid", (F.col("top_cm") + F.col("bottom_cm")) / 2)
-    return model.feature_matrix(fitted, rows, "obs_id")
+    vectors = model.feature_matrix(fitted, rows, "obs_id")
+    return round_all(
+        vectors.select("obs_id", *[F.col("features")[i].alias(name) for i, name in enumerate(VECTOR)])
+    )
 
 
-@query("M03_M05_fit_and_score_external")
+@query(
+    "M03_M05_fit_and_score_external",
+    f"""WITH {OBSERVATIONS} SELECT obs_id, round(y, 6) + 0.0 AS observed, TRUE AS predicted FROM ext""",
+)
 def external_predictions(spark, sf):
-    return trained(spark, sf)["soc_pct"]["external"].select("obs_id", "observed", "predicted")
+    scored = trained(spark, sf)["soc_pct"]["external"]
+    return round_all(scored.select("obs_id", "observed", (F.col("predicted") >= 0).alias("predicted")))
 
 
-@query("M04_oof_predictions")
+@query(
+    "M04_oof_predictions",
+    f"""WITH {OBSERVATIONS}, sizes AS (SELECT site_id, count(*) AS n FROM train GROUP BY site_id),
+        dealt AS (SELECT site_id, (row_number() OVER (ORDER BY n DESC, site_id) - 1) % 10 AS turn FROM sizes)
+        SELECT obs_id, CAST(CASE WHEN turn < 5 THEN turn + 1 ELSE 10 - turn END AS INTEGER) AS fold,
+               round(y, 6) + 0.0 AS observed, TRUE AS predicted FROM train JOIN dealt USING (site_id)""",
+)
 def oof_predictions(spark, sf):
-    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "site_id", "fold", "observed", "predicted")
+    oof = trained(spark, sf)["soc_pct"]["oof"]
+    return round_all(
+        oof.select("obs_id", "fold", "observed", (F.col("predicted") >= 0).alias("predicted"))
+    )
 
 
-@query("M06_error_scale")
+@query(
+    "M06_error_scale",
+    f"""WITH {OBSERVATIONS} SELECT obs_id, TRUE AS above_floor, TRUE AS ordered FROM train""",
+)
 def error_scale(spark, sf):
-    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "scale", "lower_90", "upper_90")
+    bounds = F.col("predicted").between(F.col("lower_90"), F.col("upper_90"))
+    return trained(spark, sf)["soc_pct"]["oof"].select(
+        "obs_id", (F.col("scale") >= TARGETS["soc_pct"].scale_floor).alias("above_floor"),
+        (bounds & (F.col("lower_90") >= 0)).alias("ordered"),
+    )
+
+
+@query("M07_run_predictions")
+def run_predictions(spark, sf):
+    """The numbers of a run: they depend on the trees, so only their rows are checked."""
+    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "predicted", "scale", "lower_90", "upper_90")
 
 
 @query("M10_run_metrics")
@@ -87,10 +147,19 @@ def run_intervals(spark, sf):
     return trained(spark, sf)["bulk_density"]["interval_metrics"]
 
 
-@query("M14_run_manifest")
+@query(
+    "M14_run_manifest",
+    f"""WITH {OBSERVATIONS} SELECT 'soc_pct' AS target, '%' AS units, (SELECT count(*) FROM train) AS training_rows,
+        (SELECT count(DISTINCT site_id) FROM train) AS training_sites, (SELECT count(*) FROM ext) AS external_rows,
+        6 AS n_features, 2 AS n_categorical, 4 AS n_metrics""",
+)
 def run_manifest(spark, sf):
-    runs = trained(spark, sf)
-    return runs["soc_pct"]["manifest"].unionByName(runs["bulk_density"]["manifest"])
+    manifest = trained(spark, sf)["soc_pct"]["manifest"]
+    return manifest.select(
+        "target", "units", "training_rows", "training_sites", "external_rows",
+        F.size("features").alias("n_features"), F.size("categorical_features").alias("n_categorical"),
+        F.size("metrics").alias("n_metrics"),
+    )
 
 
 def tiles(spark, sf):
@@ -116,22 +185,53 @@ def bundles(spark, sf):
     return [runs[name]["bundle"] for name in ("soc_pct", "bulk_density")]
 
 
+TILES = """px AS (
+  SELECT 't' || (l_suppkey % 4) AS tile, l_quantity NOT IN (49, 50) AS ok FROM lineitem)"""
+
+
 @query("M12_score_tiles")
 def score_tiles(spark, sf):
     return maps.score_tiles(tiles(spark, sf), bundles(spark, sf), DEPTHS, lrr_lookup(spark, sf))
 
 
-@query("M13_run_pending")
+@query(
+    "M12_scored_pixels",
+    f"""WITH {TILES} SELECT tile, d AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_scored,
+        count(*) FILTER (NOT ok) AS n_nodata FROM px CROSS JOIN (VALUES (5.0::DOUBLE), (30.0::DOUBLE)) v(d)
+        GROUP BY tile, d""",
+)
+def scored_pixels(spark, sf):
+    scored = score_tiles(spark, sf)
+    bands = [c for c in scored.columns if "_" in c and c not in ("depth_cm", "valid_data_mask")]
+    made, gap = F.col("valid_data_mask") == 1, F.col("valid_data_mask") == NODATA
+    for band in bands:
+        made, gap = made & (F.col(band) >= 0), gap & (F.col(band) == NODATA)
+    return scored.groupBy("tile", "depth_cm").agg(
+        F.count("*").alias("n_pixels"), F.count_if(made).alias("n_scored"), F.count_if(gap).alias("n_nodata")
+    )
+
+
+@query(
+    "M13_run_pending",
+    f"""WITH {TILES} SELECT run, tile, d AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_valid
+        FROM px CROSS JOIN (VALUES ('first', 5.0::DOUBLE), ('second', 30.0::DOUBLE)) v(run, d) GROUP BY run, tile, d""",
+)
 def run_pending(spark, sf):
     """Two runs into one folder: the second only does the depth the first left out."""
     path, lookup = scratch(spark), lrr_lookup(spark, sf)
     pixels, both = tiles(spark, sf), bundles(spark, sf)
     first = maps.run_pending(pixels, both, path, DEPTHS[:1], lookup)
     second = maps.run_pending(pixels, both, path, DEPTHS, lookup)
-    return stack.concat_tagged({"first": first, "second": second}, "run")
+    return stack.concat_tagged({"first": first, "second": second}, "run").select(
+        "run", "tile", "depth_cm", "n_pixels", "n_valid"
+    )
 
 
-@query("M13s_stream_tiles")
+@query(
+    "M13s_stream_tiles",
+    f"""WITH {TILES} SELECT tile, 5.0::DOUBLE AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_valid
+        FROM px GROUP BY tile""",
+)
 def stream_tiles(spark, sf):
     """The same job as a file stream over tile files."""
     source, out, state = scratch(spark), scratch(spark), scratch(spark)
@@ -139,7 +239,10 @@ def stream_tiles(spark, sf):
     pixels.write.parquet(source)
     stream = tile_stream(spark, source, pixels.schema)
     score_new_tiles(stream, bundles(spark, sf), out, state, DEPTHS[:1], lrr_lookup(spark, sf)).awaitTermination()
-    return spark.read.parquet(out)
+    maps_ = spark.read.parquet(out).withColumn("depth_cm", F.col("depth_cm").cast("double"))
+    return maps_.groupBy("tile", "depth_cm").agg(
+        F.count("*").alias("n_pixels"), F.count_if(F.col("valid_data_mask") == 1).alias("n_valid")
+    )
 
 
 # --- covariates ------------------------------------------------------------------------

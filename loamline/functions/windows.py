@@ -45,9 +45,14 @@ def in_window(ts: Column, start: Column, end: Column) -> Column:
 
 
 def epoch_years(ts: Column) -> Column:
-    """Years of 365.25 days since 2000-01-01, with the time of day as a fraction."""
-    micros = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.lit(EPOCH).cast("timestamp"))
-    return micros / F.lit(86400e6 * DAYS_PER_YEAR)
+    """Years of 365.25 days since 2000-01-01, with the time of day as a fraction.
+
+    Taken from the calendar fields, so daylight saving of the session's zone has no part in it.
+    """
+    ts = ts.cast("timestamp_ntz")
+    days = F.datediff(ts.cast("date"), F.lit(EPOCH).cast("date"))
+    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
+    return (days + seconds / 86400) / F.lit(DAYS_PER_YEAR)
 
 
 def years_since(ts: Column, start: Column) -> Column:
