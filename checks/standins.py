@@ -140,7 +140,7 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
         lat_of(F.col("l_suppkey")).alias("lat"), lon_of(F.col("l_suppkey")).alias("lon"),
         F.when(F.col("l_discount") < 0.1, 10.0 * (F.col("l_linenumber") - 1)).alias("z_mid"),
         (F.col("l_quantity") / 4).alias("observed"),
-        F.when(F.col("l_tax") < 0.08, F.col("l_extendedprice") / 9000).alias("predicted"),
+        F.when(F.col("l_tax") < 0.08, F.col("l_extendedprice") / 8999).alias("predicted"),
         (1 + F.col("l_tax") * 10).alias("scale"), F.col("l_returnflag").alias("dataset"),
     )
 
@@ -150,7 +150,7 @@ PAIRS = f"""pairs AS (
          {lat_sql('l_suppkey')} AS lat, {lon_sql('l_suppkey')} AS lon,
          CASE WHEN l_discount < 0.1::DOUBLE THEN 10.0::DOUBLE * (l_linenumber - 1) END AS z_mid,
          l_quantity / 4 AS observed,
-         CASE WHEN l_tax < 0.08::DOUBLE THEN l_extendedprice / 9000 END AS predicted,
+         CASE WHEN l_tax < 0.08::DOUBLE THEN l_extendedprice / 8999 END AS predicted,
          1 + l_tax * 10 AS scale, l_returnflag AS dataset
   FROM lineitem)"""
 
