@@ -310,18 +310,22 @@ def datasets(spark, sf):
           FROM targets t LEFT JOIN lineitem l ON l_suppkey = t.cell_id
             AND l_shipdate >= cutoff - INTERVAL 5 YEAR AND l_shipdate < cutoff GROUP BY t.cell_id, t.cutoff)
         SELECT p.point_id, 133 AS n_covariates, strftime(p.cutoff, '%Y-%m-%d') AS extraction_date,
-          round(s_acctbal, 6) + 0.0 AS "EL_MERIT", round(s_acctbal / 100, 6) + 0.0 AS "HAND",
-          CAST(CASE WHEN s_acctbal > 0 THEN s_suppkey * 100 ELSE -999 END AS DOUBLE) AS "GNATSGO_MUKEY",
-          CAST(coalesce(k, -9999) AS DOUBLE) AS "MLRA_ID", CAST(s_nationkey % 5 * 10 + 41 AS DOUBLE) AS "LULC",
-          coalesce(round(ppt_sum, 6) + 0.0, -9999.0::DOUBLE) AS ppt_sum,
-          coalesce(round(ssm, 6) + 0.0, -9999.0::DOUBLE) AS "SMAP_ssm_mm_win",
-          coalesce(round(mat_p75, 6) + 0.0, -9999.0::DOUBLE) AS "MAT_p75"
-        FROM points p JOIN w USING (cell_id, cutoff) JOIN supplier ON s_suppkey = cell_id
+          CASE WHEN inside THEN round(s_acctbal, 6) + 0.0 ELSE -9999.0::DOUBLE END AS "EL_MERIT",
+          CASE WHEN inside THEN round(s_acctbal / 100, 6) + 0.0 ELSE -9999.0::DOUBLE END AS "HAND",
+          CAST(CASE WHEN NOT inside THEN -9999 WHEN s_acctbal > 0 THEN s_suppkey * 100 ELSE -999 END AS DOUBLE) AS "GNATSGO_MUKEY",
+          CAST(CASE WHEN inside THEN coalesce(k, -9999) ELSE -9999 END AS DOUBLE) AS "MLRA_ID",
+          CAST(CASE WHEN inside THEN s_nationkey % 5 * 10 + 41 ELSE -9999 END AS DOUBLE) AS "LULC",
+          coalesce(CASE WHEN inside THEN round(ppt_sum, 6) + 0.0 END, -9999.0::DOUBLE) AS ppt_sum,
+          coalesce(CASE WHEN inside THEN round(ssm, 6) + 0.0 END, -9999.0::DOUBLE) AS "SMAP_ssm_mm_win",
+          coalesce(CASE WHEN inside THEN round(mat_p75, 6) + 0.0 END, -9999.0::DOUBLE) AS "MAT_p75"
+        FROM (SELECT *, point_id IN (SELECT site_id FROM hits JOIN nation ON k = n_nationkey WHERE n_regionkey < 4) AS inside
+              FROM points) p JOIN w USING (cell_id, cutoff) JOIN supplier ON s_suppkey = cell_id
         LEFT JOIN first f ON f.site_id = p.point_id""",
 )
 def covariates(spark, sf):
     points = S.points(spark, sf)
-    wide, _ = point_covariates(points, datasets(spark, sf))
+    region = S.zones(spark, sf).where("aez_groupid < 4")
+    wide, _ = point_covariates(points, datasets(spark, sf), region)
     tags = {"extraction_scale_m", "covariate_nodata_value", "extraction_date", "extraction_year"}
     names = [c for c in wide.columns if c not in points.columns and c not in tags]
     return round_all(

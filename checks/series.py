@@ -332,10 +332,11 @@ def harmonise_sensors(spark, sf):
             for i in range(1, 8)
         ],
     )
-    merged = composite.merge_sensors(
-        [composite.harmonise_bands(raw.where(F.col("sensor") == s), s) for s in ("LT04", "LT05", "LE07", "LC08")]
-    )
-    return round_all(merged.select("cell_id", "sensor", "pixel_qa", "blue", "nir", "swir2"), 9)
+    early = [
+        composite.harmonise_bands(raw.where(F.col("sensor") == s), s) for s in composite.EARLY_SENSORS
+    ]
+    late = composite.harmonise_mixed(raw.where(F.col("sensor") == "LC08"))
+    return round_all(composite.merge_sensors([*early, late]).select("cell_id", "sensor", "pixel_qa", "blue", "nir", "swir2"), 9)
 
 
 SOIL_TARGETS = """soil_targets AS (
