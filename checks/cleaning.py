@@ -76,7 +76,8 @@ def first_date(spark, sf):
     return round_all(cleaning.first_date(order_dates(spark, sf), "site_id", "day"))
 
 
-AWARDS = """CASE event_id % 6 WHEN 0 THEN '  ' WHEN 1 THEN NULL WHEN 2 THEN 'unknown'
+AWARDS = """CASE event_id % 6 WHEN 0 THEN '  ' WHEN 1 THEN NULL
+  WHEN 2 THEN CASE WHEN event_type = 'error' THEN 'unknown' END
   ELSE CAST({epoch} AS {text}) END"""
 
 
@@ -91,7 +92,7 @@ DAY_EPOCH = "CAST(epoch(date_trunc('day', ts)) AS BIGINT)"
         FROM a WHERE award IS NOT NULL AND trim(award) <> '' GROUP BY project""",
 )
 def award_dates(spark, sf):
-    epoch = "unix_timestamp(cast(date_trunc('DAY', ts) AS timestamp))"
+    epoch = "datediff(ts, DATE'1970-01-01') * 86400L"
     rows = table(spark, sf, "events").selectExpr(
         "event_type AS project", AWARDS.format(epoch=epoch, text="STRING") + " AS award_start_date"
     )

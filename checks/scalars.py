@@ -52,7 +52,7 @@ def to_day(spark, sf):
 def mixed_date(spark, sf):
     text = (
         F.when(F.col("event_id") % 4 == 0, F.date_format("ts", "yyyy-MM-dd"))
-        .when(F.col("event_id") % 4 == 1, F.unix_timestamp(F.col("ts").cast("timestamp")).cast("string"))
+        .when(F.col("event_id") % 4 == 1, F.expr("string(datediff(ts, DATE'1970-01-01') * 86400L + hour(ts) * 3600)"))
         .when(F.col("event_id") % 4 == 2, F.col("event_type"))
         .otherwise(F.lit("  "))
     )

@@ -35,12 +35,12 @@ def to_day(text: Column) -> Column:
 
 
 def mixed_date(text: Column) -> Column:
-    """Calendar text, or else unix seconds written as text, to DATE."""
+    """Calendar text, or else unix seconds written as text, to DATE (of UTC)."""
     text = F.trim(text.cast("string"))
     seconds = to_number(text)
     in_range = F.abs(seconds) <= EPOCH_SECONDS
     return F.when(seconds.isNull(), to_day(text)).otherwise(
-        F.timestamp_seconds(F.when(in_range, seconds)).cast("date")
+        F.date_from_unix_date(F.floor(F.when(in_range, seconds) / 86400).cast("int"))
     )
 
 
