@@ -45,14 +45,16 @@ def observations(spark, sf):
 
 
 @lru_cache(maxsize=4)
-def trained(spark, sf):
-    """Both targets, trained once per session and scale."""
-    rows = checkpointed(observations(spark, sf))
+def sample(spark, sf):
+    return checkpointed(observations(spark, sf))
+
+
+@lru_cache(maxsize=8)
+def trained(spark, sf, name):
+    """One target's run, made once per session and scale."""
+    rows = sample(spark, sf)
     train, external = rows.where("l_returnflag <> 'R'"), rows.where("l_returnflag = 'R'")
-    return {
-        name: model.train_target(train, external, FEATURES, TARGETS[name], POINT, SCALE)
-        for name in ("soc_pct", "bulk_density")
-    }
+    return model.train_target(train, external, FEATURES, TARGETS[name], POINT, SCALE)
 
 
 OBSERVATIONS = f"""{S.HORIZONS}, obs AS (
@@ -88,7 +90,7 @@ VECTOR = (
     + " FROM named n, m, top",
 )
 def preprocessor(spark, sf):
-    fitted = trained(spark, sf)["soc_pct"]["bundle"].point
+    fitted = trained(spark, sf, "soc_pct")["bundle"].point
     rows = observations(spark, sf).withColumn("z_mid", (F.col("top_cm") + F.col("bottom_cm")) / 2)
     vectors = model.feature_matrix(fitted, rows, "obs_id")
     return round_all(
@@ -101,7 +103,7 @@ def preprocessor(spark, sf):
     f"""WITH {OBSERVATIONS} SELECT obs_id, round(y, 6) + 0.0 AS observed, TRUE AS predicted FROM ext""",
 )
 def external_predictions(spark, sf):
-    scored = trained(spark, sf)["soc_pct"]["external"]
+    scored = trained(spark, sf, "soc_pct")["external"]
     return round_all(scored.select("obs_id", "observed", (F.col("predicted") >= 0).alias("predicted")))
 
 
@@ -113,7 +115,7 @@ def external_predictions(spark, sf):
                round(y, 6) + 0.0 AS observed, TRUE AS predicted FROM train JOIN dealt USING (site_id)""",
 )
 def oof_predictions(spark, sf):
-    oof = trained(spark, sf)["soc_pct"]["oof"]
+    oof = trained(spark, sf, "soc_pct")["oof"]
     return round_all(
         oof.select("obs_id", "fold", "observed", (F.col("predicted") >= 0).alias("predicted"))
     )
@@ -125,7 +127,7 @@ def oof_predictions(spark, sf):
 )
 def error_scale(spark, sf):
     bounds = F.col("predicted").between(F.col("lower_90"), F.col("upper_90"))
-    return trained(spark, sf)["soc_pct"]["oof"].select(
+    return trained(spark, sf, "soc_pct")["oof"].select(
         "obs_id", (F.col("scale") >= TARGETS["soc_pct"].scale_floor).alias("above_floor"),
         (bounds & (F.col("lower_90") >= 0)).alias("ordered"),
     )
@@ -134,17 +136,17 @@ def error_scale(spark, sf):
 @query("M07_run_predictions")
 def run_predictions(spark, sf):
     """The numbers of a run: they depend on the trees, so only their rows are checked."""
-    return trained(spark, sf)["soc_pct"]["oof"].select("obs_id", "predicted", "scale", "lower_90", "upper_90")
+    return trained(spark, sf, "soc_pct")["oof"].select("obs_id", "predicted", "scale", "lower_90", "upper_90")
 
 
 @query("M10_run_metrics")
 def run_metrics(spark, sf):
-    return trained(spark, sf)["bulk_density"]["metrics"]
+    return trained(spark, sf, "bulk_density")["metrics"]
 
 
 @query("M11_run_intervals")
 def run_intervals(spark, sf):
-    return trained(spark, sf)["bulk_density"]["interval_metrics"]
+    return trained(spark, sf, "bulk_density")["interval_metrics"]
 
 
 @query(
@@ -154,7 +156,7 @@ def run_intervals(spark, sf):
         6 AS n_features, 2 AS n_categorical, 4 AS n_metrics""",
 )
 def run_manifest(spark, sf):
-    manifest = trained(spark, sf)["soc_pct"]["manifest"]
+    manifest = trained(spark, sf, "soc_pct")["manifest"]
     return manifest.select(
         "target", "units", "training_rows", "training_sites", "external_rows",
         F.size("features").alias("n_features"), F.size("categorical_features").alias("n_categorical"),
@@ -181,8 +183,7 @@ def lrr_lookup(spark, sf):
 
 
 def bundles(spark, sf):
-    runs = trained(spark, sf)
-    return [runs[name]["bundle"] for name in ("soc_pct", "bulk_density")]
+    return [trained(spark, sf, name)["bundle"] for name in ("soc_pct", "bulk_density")]
 
 
 TILES = """px AS (

@@ -387,22 +387,26 @@ def mosaic(spark, sf):
     return composite.mosaic(rows, "cell_id", "mukey", "priority")
 
 
+HOT = "CASE WHEN {0} % 3 = 0 THEN 0 ELSE {0} END"
+
+
 @query(
     "A10_hot_cell_quartiles",
-    f"""WITH {S.SERIES}, {S.POINTS}, hot_targets AS (SELECT DISTINCT 0::BIGINT AS cell_id, cutoff FROM points),
-        p AS (SELECT t.cell_id, t.cutoff, s.v FROM hot_targets t JOIN series s ON {in_bounds('1y')})
+    f"""WITH {S.SERIES}, {S.POINTS},
+        hot_series AS (SELECT {HOT.format('cell_id')} AS cell_id, ts, v FROM series),
+        hot_targets AS (SELECT DISTINCT {HOT.format('cell_id')} AS cell_id, cutoff FROM points),
+        p AS (SELECT t.cell_id, t.cutoff, s.v FROM hot_targets t
+              JOIN hot_series s ON s.cell_id = t.cell_id AND {in_bounds('1y')})
         SELECT cell_id, {DAY}, round(quantile_cont(v, 0.25), 6) + 0.0 AS p25,
                round(quantile_cont(v, 0.75), 6) + 0.0 AS p75 FROM p GROUP BY cell_id, cutoff""",
 )
 def hot_cell_quartiles(spark, sf):
-    """All observations in one cell: the bucketed path that never pairs a hot cell as a whole."""
-    series = S.series(spark, sf).withColumn("cell_id", F.lit(0).cast("bigint"))
-    targets = distinct_targets(
-        S.points(spark, sf).select(F.lit(0).cast("bigint").alias("cell_id"), "cutoff")
-    )
+    """A third of all observations in one cell: the bucketed path for it, pairs for the rest."""
+    merged = F.expr(HOT.format("cell_id"))
+    series = S.series(spark, sf).withColumn("cell_id", merged)
+    targets = distinct_targets(S.points(spark, sf).withColumn("cell_id", merged))
     found = window_quantiles(
-        series.select("cell_id", "ts", "v"), targets, "1y", ["v"],
-        (0.25, 0.75), hot_rows=1000,
+        series.select("cell_id", "ts", "v"), targets, "1y", ["v"], (0.25, 0.75), hot_rows=1000
     )
     return round_all(
         found.select("cell_id", "cutoff", F.col("v")[0].alias("p25"), F.col("v")[1].alias("p75"))

@@ -80,12 +80,14 @@ def score_tiles(
 
 
 def written(spark: SparkSession, path: str) -> DataFrame:
-    """(tile, depth_cm) partitions already published; from the file listing, no data read."""
+    """(tile, depth_cm) partitions already published; reads the partition columns only."""
     try:
         return spark.read.parquet(path).select(
             F.col("tile").cast("string"), F.col("depth_cm").cast("double")
         ).distinct()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], "tile STRING, depth_cm DOUBLE")
 
 
