@@ -17,10 +17,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.functions.clean import depth_mid, is_true, measure_range, to_number, valid_flag
+from loamline.functions.clean import depth_mid, is_true, measure_range, no_nan, to_number, valid_flag
 from loamline.functions.intervals import absolute_error, expm1_clip, floor_scale
 from loamline.operators.conformal import add_intervals, conformal_multiplier
 from loamline.operators.encode import most_frequent
@@ -86,6 +86,11 @@ def prepare_tables(
 
 # --- preprocessing and boosting --------------------------------------------------------
 
+def number(column: str) -> Column:
+    """A numeric feature; NaN counts as missing."""
+    return no_nan(F.col(column).cast("double"))
+
+
 @dataclass
 class Fitted:
     """Preprocessor fitted on the training rows, and the regressor on top of it."""
@@ -98,8 +103,8 @@ class Fitted:
     def prepare(self, df: DataFrame) -> DataFrame:
         """Median for a missing number, most frequent category for a missing one, and 0/1
         flags for the columns that had gaps in training."""
-        flags = {f"{c}__gap": F.col(c).isNull().cast("double") for c in self.indicators}
-        numbers = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.medians.items()}
+        flags = {f"{c}__gap": number(c).isNull().cast("double") for c in self.indicators}
+        numbers = {c: F.coalesce(number(c), F.lit(m)) for c, m in self.medians.items()}
         names = {c: F.coalesce(F.col(c).cast("string"), F.lit(m)) for c, m in self.modes.items()}
         return df.withColumns(flags | numbers | names)
 
@@ -122,7 +127,7 @@ def fit(
     """Median imputation with gap flags, mode imputation and one-hot (unseen categories are
     all zero), boosted trees on ``log1p(label)``. Everything is learnt from ``train``."""
     names = [c for c in features if c in categorical]
-    numbers = {c: F.col(c).cast("double") for c in features if c not in categorical}
+    numbers = {c: number(c) for c in features if c not in categorical}
     middle = quantiles(train, numbers, (0.5,))
     # A column without any value carries nothing.
     medians = {c: m for c, (m,) in middle.items() if m is not None}

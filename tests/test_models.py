@@ -84,7 +84,7 @@ def test_feature_vectors(rows, spark):
     fitted = model.fit(train, FEATURES, "SOC_pct", SMALL)
     median = float(np.median([r[0] for r in rows.select("clay_pct").where("clay_pct IS NOT NULL").collect()]))
     new = spark.createDataFrame(
-        [("a", 5.0, None, 1.0, "Q"), ("b", 5.0, 10.0, 1.0, None), ("c", 5.0, 10.0, 1.0, "F")],
+        [("a", 5.0, None, 1.0, "Q"), ("b", 5.0, 10.0, 1.0, None), ("c", 5.0, float("nan"), 1.0, "F")],
         "obs_id STRING, z_mid DOUBLE, clay_pct DOUBLE, EL DOUBLE, LU_scraped STRING",
     )
     got = {r["obs_id"]: r["features"] for r in model.feature_matrix(fitted, new, "obs_id").collect()}
@@ -94,7 +94,7 @@ def test_feature_vectors(rows, spark):
     )[1]
     assert got["a"][:4] == [5.0, median, 1.0, 1.0] and sum(got["a"][4:]) == 0
     assert got["b"][4:8] == [1.0 if k == mode else 0.0 for k in "CFRX"]
-    assert got["c"][4:8] == [0.0, 1.0, 0.0, 0.0]
+    assert got["c"] == [5.0, median, 1.0, 1.0, 0.0, 1.0, 0.0, 0.0]
 
 
 def test_predictions_must_align(rows):
