@@ -6,12 +6,13 @@
    ``ROWS`` minima make band keys; a pair at the threshold shares no band with a probability
    under 1e-6.
 3. Nodes of a bucket are held against the bucket's first node only. A pair goes on if its
-   sizes and signatures allow the threshold (the bound is more than six standard deviations
-   below it), and becomes a link if the full sets confirm it.
+   sizes and signatures allow the threshold (the bound is more than four standard
+   deviations below it), and becomes a link if the full sets confirm it.
 4. Alternating large-star and small-star rounds contract the links to components.
 5. What a bucket's first node did not settle: nodes of a bucket that are still in different
-   components are held against each other, in the same way. Pairs inside a component are
-   never formed, so a large group of near copies costs one pair a node.
+   components are held against each other, block by block inside a task. The likeliest
+   partners are confirmed first and components contracted again; the last round takes all
+   pairs that still lie in different components. Pairs inside a component are never formed.
 
 Texts meet only for pairs that passed the signatures. Null or blank texts have no set, link
 with nothing and are kept. Rows are told apart by a number of their own, so repeated and null
@@ -33,9 +34,14 @@ from loamline.llm.token_store import slices
 
 SHINGLE = 5
 HASHES, ROWS = 192, 6
-#: Least share of equal minima of a pair that is confirmed on the full sets.
-SURE_SHARE = 0.66
+#: A pair is confirmed on the full sets if its share of equal minima is at most so much under
+#: the threshold, four to five standard deviations.
+SLACK = 0.12
 THRESHOLD = 85
+#: Rows of a bucket that are held against each other at once, and the partners a node tries in
+#: each round before the last.
+BLOCK = 500
+NEAREST = (2,)
 
 _rng = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -160,15 +166,20 @@ def _sizes_allow(a: str, b: str, threshold: int) -> F.Column:
     return 100 * F.least(a, b) >= threshold * F.greatest(a, b)
 
 
-def _sketches_allow(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sketches agree in ``SURE_SHARE`` of the minima."""
+def _least_agreeing(threshold: int) -> float:
+    return (threshold / 100 - SLACK) * HASHES
+
+
+def _sketches_allow(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) whose sketches allow the threshold."""
+    least = _least_agreeing(threshold)
 
     def compare(batches):
         for batch in batches:
             left, right = (
                 np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3)
             )
-            enough = (left == right).sum(axis=1) >= SURE_SHARE * HASHES
+            enough = (left == right).sum(axis=1) >= least
             keep = pa.array(enough)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
@@ -178,13 +189,15 @@ def _sketches_allow(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return joined.mapInArrow(compare, "a long, b long")
 
 
-def _texts(docs: DataFrame, rows: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
-    """(row, body) of the wanted nodes; equal texts of many documents are read as one."""
-    wanted = written(nodes.join(rows, "row", "left_semi").select("row", "text_key"), "wanted")
-    keys = wanted.select("text_key").distinct()
+def _texts(docs: DataFrame, shared: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
+    """(row, body) of the nodes that share a bucket; equal texts of many documents are read
+    as one. Texts are dealt by their digests here, once, for both rounds of links."""
+    wanted = written(nodes.join(shared.select("row").distinct(), "row", "left_semi").select("row", "text_key"), "wanted")
+    keys = written(wanted.select("text_key").distinct(), "keys")
     text = text_or_empty(text_col)
-    found = docs.select(F.md5(text).alias("text_key"), text.alias("body")).join(keys, "text_key", "left_semi")
-    once = found.groupBy("text_key").agg(F.first("body").alias("body"))
+    found = docs.select(F.md5(text).alias("text_key"), text.alias("body"))
+    # Merged at any size, so that the cost grows with the input alone.
+    once = found.join(keys.hint("merge"), "text_key", "left_semi").dropDuplicates(["text_key"])
     return written(wanted.join(once, "text_key").select("row", "body"), "texts")
 
 
@@ -218,11 +231,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     return met.mapInArrow(confirm, "a long, b long")
 
 
-def links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, text_col: str, threshold: int) -> DataFrame:
-    """The candidate pairs that signatures allow and full sets confirm."""
-    likely = written(_sketches_allow(pairs, nodes), "likely")
-    rows = likely.select(F.col("a").alias("row")).union(likely.select(F.col("b").alias("row"))).distinct()
-    return written(_confirmed(likely, _texts(docs, rows, nodes, text_col), threshold), "links")
+def links(likely: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """The pairs that full sets confirm."""
+    return written(_confirmed(written(likely, "likely"), texts, threshold), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -281,10 +292,14 @@ def grouped(
     pairs = shared.where((F.col("row") != F.col("first")) & _sizes_allow("n", "first_n", threshold)).select(
         F.col("row").alias("a"), F.col("first").alias("b")
     ).distinct()
-    found = links(docs, pairs, nodes, text_col, threshold)
-    roots = written(components(found), "roots")
-    found = found.unionByName(links(docs, _unsettled(shared, roots, threshold), nodes, text_col, threshold))
+    texts = _texts(docs, shared, nodes, text_col)
+    found = links(_sketches_allow(pairs, nodes, threshold), texts, threshold)
     roots = written(components(found), "roots")
+    # The likeliest partners first: they join most of a large group, whose other pairs are
+    # then never formed. The last round leaves out nothing.
+    for most in (*NEAREST, None):
+        found = found.unionByName(links(_unsettled(shared, roots, nodes, threshold, most), texts, threshold))
+        roots = written(components(found), "roots")
 
     # A set's node stands for all its documents; the hot sides are narrow and splittable.
     rooted = written(
@@ -308,27 +323,95 @@ def grouped(
     )
 
 
-def _unsettled(shared: DataFrame, roots: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of a bucket in different components, none of them the bucket's first node."""
+def _unsettled(
+    shared: DataFrame, roots: DataFrame, nodes: DataFrame, threshold: int, most: int | None = None
+) -> DataFrame:
+    """Pairs of a bucket in different components, none of them the bucket's first node, that
+    sizes and sketches allow; with ``most``, only so many likeliest partners of a node.
+
+    A bucket with strays (nodes outside its first node's component) is cut into blocks of
+    about ``BLOCK`` rows; each pair of blocks is one group, held against each other as
+    arrays, so only the pairs that pass are ever rows, each from the first band it shares.
+    (Where one of the two is the first node of that band's bucket, the pair has been tried.)
+    """
     of = roots.select("row", "root")
-    rooted = shared.join(of, "row", "left").withColumn("root", F.coalesce("root", "row"))
+    rooted = shared.where("row <> first").join(of, "row", "left").withColumn("root", F.coalesce("root", "row"))
     firsts = of.select(F.col("row").alias("first"), F.col("root").alias("first_root"))
-    rooted = rooted.join(firsts, "first", "left").withColumn("first_root", F.coalesce("first_root", "first"))
-    rooted = written(rooted.where("row <> first").select("bucket", "row", "n", "root", "first_root"), "rooted")
-    strays = rooted.where("root <> first_root").select(
-        "bucket", F.col("row").alias("a"), F.col("n").alias("a_n"), F.col("root").alias("a_root")
+    rooted = rooted.join(firsts, "first", "left").withColumn(
+        "stray", F.col("root") != F.coalesce("first_root", "first")
     )
-    others = rooted.join(strays.select("bucket").distinct(), "bucket", "left_semi").select(
-        "bucket", F.col("row").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"),
-        (F.col("root") == F.col("first_root")).alias("settled"),
+    rooted = written(rooted.select("bucket", "row", "n", "root", "stray"), "rooted")
+    # Pairs need two nodes beside the first, one of them a stray.
+    open_buckets = written(
+        rooted.groupBy("bucket").agg(F.count("*").alias("held"), F.max("stray").alias("strays"))
+        .where("held > 1 and strays")
+        .select("bucket", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")),
+        "open",
     )
-    # A pair of two strays is formed once; a stray meets each settled node of its bucket.
-    return (
-        strays.join(others, "bucket").where(
-            (F.col("a_root") != F.col("b_root")) & (F.col("settled") | (F.col("b") < F.col("a")))
-            & _sizes_allow("a_n", "b_n", threshold)
-        ).select("a", "b").distinct()
+    own = F.pmod(F.xxhash64("row", "bucket"), F.col("blocks")).cast("int")
+    dealt = (
+        rooted.join(open_buckets, "bucket").withColumn("own", own)
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .select(
+            "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "own", "row", "n", "root", "stray",
+        )
+        .join(nodes.select("row", "sketch", "bands"), "row")
     )
+    least = _least_agreeing(threshold)
+
+    def compare(rows: list[pa.Table]) -> tuple[np.ndarray, np.ndarray]:
+        table = pa.concat_tables(rows).combine_chunks()
+        own, row, n, root, stray = (table.column(c).to_numpy() for c in ("own", "row", "n", "root", "stray"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
+        bands = np.stack(table.column("bands").to_numpy())
+        bucket, low, high = (table.column(c)[0].as_py() for c in ("bucket", "low", "high"))
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        found_a, found_b = [], []
+        for i in left.tolist():
+            j = right if low != high else right[row[right] < row[i]]
+            fits = (root[j] != root[i]) & (stray[i] | stray[j])
+            fits &= 100 * np.minimum(n[j], n[i]) >= threshold * np.maximum(n[j], n[i])
+            j = j[fits]
+            agree = (sketch[j] == sketch[i]).sum(axis=1)
+            enough = agree >= least
+            j, agree = j[enough], agree[enough]
+            # In the first band the two share, which need not be this one's.
+            common = bands[j] == bands[i]
+            here = bands[i, common.argmax(axis=1)] == bucket
+            j, agree = j[here], agree[here]
+            if most and len(j) > most:
+                j = j[np.argpartition(-agree, most)[:most]]
+            found_a += [row[i]] * len(j)
+            found_b += row[j].tolist()
+        return np.array(found_a, np.int64), np.array(found_b, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = [], None
+
+        def done():
+            a, b = compare(held)
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if start == stop:
+                    continue
+                key = tuple(keys[:, start].tolist())
+                if group is not None and key != group:
+                    yield done()
+                    held.clear()
+                group = key
+                held.append(pa.Table.from_batches([batch.slice(start, stop - start)]))
+        if held:
+            yield done()
+
+    grouped_rows = dealt.select("bucket", "low", "high", "own", "row", "n", "root", "stray", "sketch", "bands").repartition(
+        "bucket", "low", "high"
+    ).sortWithinPartitions("bucket", "low", "high")
+    return grouped_rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
