@@ -48,6 +48,14 @@ def new_file(folder: str, stem: str, suffix: str) -> tuple[str, object]:
     return name, system.open_output_stream(f"{path}/{name}", compression=None)
 
 
+def dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that stand for much work (files), dealt out by their columns.
+
+    With the number given, adaptive execution does not merge partitions for being small.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

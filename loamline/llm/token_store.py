@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import Remembered, filesystem, new_file, scratch_uri, text_or_empty, written
+from loamline.llm.shared import Remembered, dealt, filesystem, new_file, scratch_uri, text_or_empty, written
 from loamline.operators.rank import running_total
 
 MAGIC = b"DACTOK01"
@@ -120,7 +120,7 @@ def pack(ids: np.ndarray, docs: list[tuple[int | None, int]]) -> bytes:
         high = rest >> CHUNK_BITS
         more = high > 0
         bits = np.packbits(more, bitorder="little")
-        ones = np.concatenate([[0], np.cumsum(np.add.reduceat(more, np.arange(0, len(more), RANK_BITS)))]) if len(more) else np.zeros(1)
+        ones = np.concatenate([[0], np.cumsum(np.add.reduceat(more, np.arange(0, len(more), RANK_BITS), dtype=np.int64))]) if len(more) else np.zeros(1)
         parts += [
             (f"chunks{levels}", rest.astype("u1").tobytes()), (f"more{levels}", bits.tobytes()),
             (f"ranks{levels}", ones.astype("<u8").tobytes()),
@@ -196,11 +196,11 @@ class TokenFile:
         return value
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc id, position of its first id, ids) of each document."""
+        """(doc id, position of its first id, ids) of each document; the levels are read once."""
         ids, nulls, ends = self._part("ids", "<i8"), self._part("nulls", "u1"), self._part("ends", "<i8")
-        start = 0
+        start, whole = 0, self.range(0, self.header["ids"])
         for doc, null, end in zip(ids.tolist(), nulls.tolist(), ends.tolist()):
-            yield (None if null else doc), start, self.range(start, end)
+            yield (None if null else doc), start, whole[start:end]
             start = end
 
 
@@ -290,7 +290,7 @@ def read_store(manifest: DataFrame, folder: str) -> DataFrame:
                     if rows:
                         yield _doc_batch(rows)
 
-    return manifest.select("file", "before").repartition("file").mapInArrow(
+    return dealt(manifest.select("file", "before"), "file").mapInArrow(
         read, "id long, start long, n_tokens long, ids binary"
     )
 
