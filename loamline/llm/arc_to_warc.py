@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import filesystem, new_file, scratch_uri, text_or_empty, written
+from loamline.llm.shared import dealt, filesystem, new_file, scratch_uri, text_or_empty, written
 
 # Header fields of both versions of the format, in its order (fixed values).
 ARC_FIELDS = {
@@ -221,7 +221,7 @@ def index_arcs(manifest: DataFrame, folder: str) -> DataFrame:
                         rows = []
                 yield _rows(_INDEX, rows)
 
-    return written(manifest.repartition("file").mapInArrow(read, _INDEX), "arc-index")
+    return written(dealt(manifest, "file").mapInArrow(read, _INDEX), "arc-index")
 
 
 def _arc_file(folder: str, name: str) -> Iterator[ArcRecord]:
@@ -307,7 +307,7 @@ def convert(decided: DataFrame, folder: str) -> tuple[DataFrame, str]:
 
     rows = decided.select("file", "offset", "keep_file", "keep_offset")
     # A file has a bounded number of bytes, and so of rows.
-    placed = rows.repartition("file").sortWithinPartitions("file", "offset")
+    placed = dealt(rows, "file").sortWithinPartitions("file", "offset")
     return written(placed.mapInArrow(write, "file string"), "warc-files"), target
 
 
@@ -352,7 +352,7 @@ def read_back(manifest: DataFrame, folder: str) -> DataFrame:
                     ))
                 yield _rows(_READ, rows)
 
-    return written(manifest.repartition("file").mapInArrow(read, _READ), "warc-records")
+    return written(dealt(manifest, "file").mapInArrow(read, _READ), "warc-records")
 
 
 def archived(pages: DataFrame, least_bytes: int = 0, **columns: str) -> DataFrame:
