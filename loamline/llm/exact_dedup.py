@@ -108,7 +108,7 @@ def chains(docs: DataFrame, index: DataFrame, text_col: str, key_bits: int) -> D
     Grouping by the text compares bytes. Two texts with one digest under one key are
     refused with an error instead of merged.
     """
-    several = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    several = written(index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "chains")
     texts = docs.select(normalised(text_or_empty(text_col)).alias("norm")).select(
         _key(F.col("norm"), key_bits).alias("key"), "norm"
     )
