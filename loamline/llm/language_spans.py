@@ -201,7 +201,8 @@ def train(
     labelled = docs.where(teach & lang.isNotNull()).select(lang.alias("lang"), text_or_empty(text_col).alias("body"))
     sizes = labelled.groupBy("lang").agg(F.count("*").alias("docs")).select("lang", (F.lit(float(train_docs)) / F.col("docs")).alias("share"))
     chance = F.pmod(F.xxhash64("body"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.join(sizes, "lang").where(chance < F.col("share")).select("lang", "body")
+    # One row a language, fewer than the model itself has.
+    sample = labelled.join(F.broadcast(sizes), "lang").where(chance < F.col("share")).select("lang", "body")
     counts = sample.mapInArrow(_feature_counts, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     rows = counts.groupBy("lang").agg(F.collect_list("feature").alias("features"), F.collect_list("n").alias("counts")).orderBy("lang").collect()
     table = np.zeros((len(rows), BUCKETS + len(SCRIPT_NAMES)))
