@@ -109,7 +109,7 @@ c AS (
          length(regexp_replace(t, '[^a-z]', '', 'g')) AS c0, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS c1,
          length(regexp_replace(t, '[^0-9]', '', 'g')) AS c2,
          length(regexp_replace(t, '[\\x00-\\x7F]', '', 'g')) AS c3,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
 win AS (
   SELECT r, i, n_words, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
   FROM (SELECT r, w, n_words, unnest(range(1, n_words - 1)) AS i FROM c WHERE n_words >= 3)),
