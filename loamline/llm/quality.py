@@ -212,4 +212,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 
 def good_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The documents that are kept, with all their columns."""
-    return judged(docs, text_col, lang_col).where("__kept").select(*docs.columns)
+    # Pushed below the measurements, the filter would repeat all of them inside itself; it is
+    # not pushed below a row number.
+    rows = judged(docs, text_col, lang_col).withColumn("__row", F.monotonically_increasing_id())
+    return rows.where("__kept and __row >= 0").select(*docs.columns)
