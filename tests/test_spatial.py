@@ -113,3 +113,10 @@ def test_sampling_keeps_every_point(spark):
     stack = spark.createDataFrame([(1, 2.5)], "cell_id INT, v DOUBLE")
     got = {r["point_id"]: r["v"] for r in zones.sample_cells(pts, stack, -9999.0).collect()}
     assert got == {1: 2.5, 2: -9999.0}
+
+
+def test_slope_beside_negative_block_border(spark):
+    cells = [(r, c, float(r * r + c)) for r in range(-3, 2) for c in range(-3, 2)]
+    df = spark.createDataFrame(cells, "row INT, col INT, elv DOUBLE")
+    got = terrain.slope_aspect(df, cell_size=10.0).where("row BETWEEN -2 AND 0 AND col BETWEEN -2 AND 0").collect()
+    assert len(got) == 9 and all(r["slope"] is not None for r in got)
