@@ -55,6 +55,19 @@ def test_union_of_polygons(spark, shapes):
     assert got == {0: True, 1: False}
 
 
+def test_holes_and_islands(spark):
+    def square(low, high):
+        return [(low, low), (high, low), (high, high), (low, high)]
+
+    rings = [polygon(1, square(0, 12), "donut"), polygon(1, square(2, 10), "donut"),
+             polygon(1, square(5, 7), "donut"), polygon(2, square(2, 10), "filling")]
+    shapes = spark.createDataFrame(rings, SCHEMA)
+    found = zones.pip_first(points(spark, [(1, 1), (3, 3), (6, 6), (13, 1)]), shapes, ["name"])
+    assert {r["point_id"]: r["name"] for r in found.collect()} == {0: "donut", 1: "filling", 2: "donut", 3: None}
+    hole = zones.inside_any(points(spark, [(1, 1), (3, 3)]), shapes.where("ord = 1"))
+    assert {r["point_id"]: r["inside"] for r in hole.collect()} == {0: True, 1: False}
+
+
 def test_projection(spark):
     df = spark.createDataFrame([(0.0, 0.0), (180.0, 89.9), (-98.2, 26.3), (-0.001, -0.001)], "lon DOUBLE, lat DOUBLE")
     x, y = spatial.web_mercator(F.col("lon"), F.col("lat"))
