@@ -200,9 +200,9 @@ def evaluate(spark, sf):
     f"""WITH {S.PAIRS}, c AS (SELECT least(predicted, (SELECT quantile_cont(predicted, 0.99) FROM pairs)) AS v
           FROM pairs WHERE predicted IS NOT NULL), e AS (SELECT min(v) AS low, max(v) AS high FROM c),
         b AS (SELECT CAST(least(floor((v - low) / ((high - low) / 50)), 49) AS BIGINT) AS bin, low, high FROM c, e)
-        SELECT bin, round(min(low) + bin * ((min(high) - min(low)) / 50), 6) + 0.0 AS low,
-               round(min(low) + (bin + 1) * ((min(high) - min(low)) / 50), 6) + 0.0 AS high, count(*) AS n
-        FROM b GROUP BY bin""",
+        SELECT k AS bin, round(e.low + k * ((e.high - e.low) / 50), 6) + 0.0 AS low,
+               round(e.low + (k + 1) * ((e.high - e.low) / 50), 6) + 0.0 AS high, count(b.bin) AS n
+        FROM range(50) r(k) CROSS JOIN e LEFT JOIN b ON b.bin = k GROUP BY k, e.low, e.high""",
 )
 def histogram(spark, sf):
     return round_all(metrics.histogram(S.pairs(spark, sf), "predicted"))

@@ -106,7 +106,10 @@ def uncertainty_by_depth(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50, clip: float | None = 0.99) -> DataFrame:
-    """Counts in equal bins between minimum and (clipped) maximum: (bin, low, high, n)."""
+    """Counts in equal bins between minimum and (clipped) maximum: (bin, low, high, n).
+
+    Empty bins have n = 0. If all values are equal there is one bin; without values, none.
+    """
     value = F.col(column).cast("double")
     rows = df.where(value.isNotNull()).select(value.alias("v"))
     if clip is not None:
@@ -120,12 +123,12 @@ def histogram(df: DataFrame, column: str, bins: int = 50, clip: float | None = 0
         ).limit(0)
     width = (high - low) / bins or 1.0
     slot = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("bigint")
-    return (
-        rows.groupBy(slot.alias("bin")).agg(F.count("*").alias("n"))
-        .select(
-            "bin", (F.lit(low) + F.col("bin") * width).alias("low"),
-            (F.lit(low) + (F.col("bin") + 1) * width).alias("high"), "n",
-        )
+    counts = rows.groupBy(slot.alias("bin")).agg(F.count("*").alias("n"))
+    every = df.sparkSession.range(bins if high > low else 1).select(F.col("id").alias("bin"))
+    return every.join(counts, "bin", "left").select(
+        "bin", (F.lit(low) + F.col("bin") * width).alias("low"),
+        (F.lit(low) + (F.col("bin") + 1) * width).alias("high"),
+        F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 

@@ -154,5 +154,7 @@ def test_histogram_covers_all_values(spark):
     df = frame(spark, list(range(101)) + [None])
     rows = metrics.histogram(df, "v", 10, None).orderBy("bin").collect()
     assert sum(r["n"] for r in rows) == 101 and rows[0]["low"] == 0 and rows[-1]["high"] == 100
+    ends = metrics.histogram(frame(spark, [0.0, 1.0]), "v", 4, None).orderBy("bin").collect()
+    assert [(r["bin"], r["low"], r["n"]) for r in ends] == [(0, 0, 1), (1, 0.25, 0), (2, 0.5, 0), (3, 0.75, 1)]
     same = metrics.histogram(frame(spark, [2.0, 2.0]), "v", 10).collect()
     assert [(r["bin"], r["n"]) for r in same] == [(0, 2)]
