@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loamline.operators.encode import LAND_COVER, LAND_USE, decode_codes
 from loamline.operators.model import Bundle
-from loamline.operators.stack import at_depths, pending, valid_mask
+from loamline.operators.stack import at_depths, valid_mask
 from loamline.schema import DEPTHS_CM, NODATA, resolve_bands
 from loamline.session import bounded_broadcast, checkpointed
-from loamline.sources.sinks import MAP_BANDS, output_qc, write_maps
+from loamline.sources.sinks import MAP_BANDS, output_qc, read_maps, write_maps
 
 PIXEL = ["tile", "row", "col"]
 
@@ -28,7 +27,7 @@ def decode_bands(df: DataFrame, lrr: DataFrame | None) -> DataFrame:
         {c: decode_codes(F.col(c), table) for c, table in names.items() if c in df.columns}
     )
     if "LRR_group" in df.columns and lrr is not None:
-        table = F.broadcast(  # at most MAX_CATEGORIES rows
+        table = bounded_broadcast(
             lrr.select(F.col("code").alias("__code"), F.col("value").alias("__name"))
         )
         df = (
@@ -42,13 +41,14 @@ def decode_bands(df: DataFrame, lrr: DataFrame | None) -> DataFrame:
 
 def score_tiles(
     tiles: DataFrame, bundles: Sequence[Bundle], depths: Sequence[float] = DEPTHS_CM,
-    lrr: DataFrame | None = None, wanted: DataFrame | None = None,
+    lrr: DataFrame | None = None, wanted: DataFrame | None = None, done: DataFrame | None = None,
 ) -> DataFrame:
     """Map pixels ``(tile, row, col, depth_cm, bands..., valid_data_mask)``.
 
     A pixel is scored only if all bands of all models are valid; the others come out as
-    nodata at every depth. The tiles are read once for all models and depths. ``wanted``
-    restricts the output to (tile, depth_cm) pairs.
+    nodata at every depth. All models and depths share a scan of the valid pixels; the others
+    take a second one. ``wanted`` restricts the output to (tile, depth_cm) pairs, ``done``
+    leaves out (tile, row, col, depth_cm).
     """
     required = list(dict.fromkeys(f for b in bundles for f in b.features))
     bands = resolve_bands(tiles.columns, required)
@@ -61,6 +61,8 @@ def score_tiles(
         todo = wanted.groupBy("tile").agg(F.collect_set("depth_cm").alias("__depths"))
         deep = marked.join(bounded_broadcast(todo), "tile").withColumn("depth_cm", F.explode("__depths"))
     key = [*PIXEL, "depth_cm"]
+    if done is not None:
+        deep = deep.join(done, key, "left_anti")
     valid = decode_bands(deep.where("valid"), lrr).withColumn("z_mid", F.col("depth_cm"))
     scored, carried = valid, key
     for bundle in bundles:
@@ -79,33 +81,44 @@ def score_tiles(
     return done.unionByName(gaps)
 
 
-def written(spark: SparkSession, path: str) -> DataFrame:
-    """(tile, depth_cm) partitions already published; reads the partition columns only."""
-    try:
-        return spark.read.parquet(path).select(
-            F.col("tile").cast("string"), F.col("depth_cm").cast("double")
-        ).distinct()
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], "tile STRING, depth_cm DOUBLE")
-
-
 def run_pending(
     tiles: DataFrame, bundles: Sequence[Bundle], path: str,
     depths: Sequence[float] = DEPTHS_CM, lrr: DataFrame | None = None, overwrite: bool = False,
 ) -> DataFrame | None:
-    """Scores the (tile, depth) pairs that are not written yet and returns their QC rows;
-    None if nothing was left to do."""
-    spark = tiles.sparkSession
-    wanted = at_depths(tiles.select("tile").distinct(), depths, "depth_cm")
-    todo = wanted if overwrite else pending(wanted, written(spark, path), ["tile", "depth_cm"])
-    todo = checkpointed(todo)
+    """Scores what is not published yet and returns the QC rows of the (tile, depth) pairs it
+    went through; None if all of them were complete.
+
+    A pair is complete if number and sum of hashes of its pixels equal those of ``tiles``.
+    In a pair that is published in part only the missing pixels are scored and added, so a
+    tile may come in several files and a repeated run changes nothing. ``overwrite`` scores
+    and replaces every pair.
+    """
+    tiles = tiles.withColumn("tile", F.col("tile").cast("string"))
+    wanted = at_depths(_pixel_sums(tiles, ["tile"]), depths, "depth_cm")
+    schema = wanted.join(tiles.select(*PIXEL), "tile").select(*PIXEL, "depth_cm").schema
+    names = bounded_broadcast(tiles.select("tile").distinct())
+    done = read_maps(tiles.sparkSession, path, schema).join(names, "tile", "left_semi")
+    if overwrite:
+        todo = wanted.withColumn("begun", F.lit(False))
+    else:
+        had = _pixel_sums(done, ["tile", "depth_cm"]).withColumnsRenamed({"n": "had", "mark": "had_mark"})
+        same = (F.col("n") == F.col("had")) & (F.col("mark") == F.col("had_mark"))
+        todo = wanted.join(had, ["tile", "depth_cm"], "left").withColumn("begun", F.col("had").isNotNull()).where(
+            ~F.coalesce(same, F.lit(False))
+        )
+    todo = checkpointed(todo.select("tile", "depth_cm", "begun"))
     if todo.isEmpty():
         return None
-    write_maps(score_tiles(tiles, bundles, depths, lrr, todo), path)
-    maps = spark.read.parquet(path).withColumns(
-        {"tile": F.col("tile").cast("string"), "depth_cm": F.col("depth_cm").cast("double")}
-    )
+    begun = todo.where("begun")
+    known = None if begun.isEmpty() else done.join(begun, ["tile", "depth_cm"], "left_semi")
+    scored = score_tiles(tiles, bundles, depths, lrr, todo, known)
+    write_maps(scored, path, append=not overwrite)
+    maps = read_maps(tiles.sparkSession, path, scored.schema)
     bands = [b for b in MAP_BANDS if b in maps.columns]
-    return output_qc(maps.join(todo, ["tile", "depth_cm"], "left_semi"), bands)
+    # Fixed here: a plan left open would meet the files of later runs.
+    return checkpointed(output_qc(maps.join(todo, ["tile", "depth_cm"], "left_semi"), bands))
+
+
+def _pixel_sums(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
+    mark = F.sum(F.xxhash64(F.col("row").cast("long"), F.col("col").cast("long")).cast("decimal(38,0)"))
+    return pixels.groupBy(*by).agg(F.count("*").alias("n"), mark.alias("mark"))

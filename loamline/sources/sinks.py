@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loamline.schema import require_safe_names
 
@@ -30,15 +32,26 @@ def write_covariates(df: DataFrame, path: str) -> None:
     _write_parts(df, path, ["covariate_cutoff_date"])
 
 
-def write_maps(df: DataFrame, path: str) -> None:
-    """Prediction maps by depth and tile; only the partitions present in ``df`` are replaced."""
-    _write_parts(df, path, ["depth_cm", "tile"])
+def write_maps(df: DataFrame, path: str, append: bool = False) -> None:
+    """Prediction maps by depth and tile; the partitions present in ``df`` are replaced, or
+    with ``append`` added to."""
+    _write_parts(df, path, ["depth_cm", "tile"], "append" if append else "overwrite")
 
 
-def _write_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
+def read_maps(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Published maps; with the types given, a tile named 003 keeps its name."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _write_parts(df: DataFrame, path: str, parts: Sequence[str], mode: str = "overwrite") -> None:
     # The rebalance gives each folder few files; adaptive execution splits a busy one.
     (
-        df.hint("rebalance", *parts).write.mode("overwrite")
+        df.hint("rebalance", *parts).write.mode(mode)
         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     )
 

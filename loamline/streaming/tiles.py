@@ -23,8 +23,8 @@ def score_new_tiles(
 ) -> StreamingQuery:
     """Processes what has arrived and stops.
 
-    A batch that is replayed after a failure finds its published (tile, depth) partitions
-    and skips them, so the output does not change.
+    A batch that is replayed after a failure finds its published pixels and leaves them out,
+    so the output does not change; a later file of a tile adds its pixels.
     """
     def score(batch: DataFrame, _: int) -> None:
         run_pending(batch, bundles, out, depths, lrr)

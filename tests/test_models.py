@@ -148,6 +148,29 @@ def test_second_run_writes_nothing(spark, tiles, bundles, tmp_path):
     assert spark.read.parquet(out).count() == 28
 
 
+def test_tile_in_two_parts(spark, tiles, bundles, tmp_path):
+    out = str(tmp_path / "maps")
+    named = tiles.withColumn("tile", F.when(F.col("tile") == "t0", "003").otherwise("004"))
+    part = named.where("row < 6")
+    first = maps.run_pending(part, bundles, out, (5.0,)).collect()
+    assert sorted((r["tile"], r["n_pixels"]) for r in first) == [("003", 3), ("004", 3)]
+    assert maps.run_pending(part, bundles, out, (5.0,)) is None
+    # The other pixels of the same tiles, as many as before in one of them.
+    second = maps.run_pending(named.where("row >= 6"), bundles, out, (5.0,)).collect()
+    assert sorted((r["tile"], r["n_pixels"]) for r in second) == [("003", 6), ("004", 8)]
+    assert maps.run_pending(named, bundles, out, (5.0,)) is None
+    assert spark.read.parquet(out).select("row", "col").distinct().count() == 14
+    again = maps.run_pending(named, bundles, out, (5.0,), overwrite=True).collect()
+    assert sorted((r["tile"], r["n_pixels"]) for r in again) == [("003", 6), ("004", 8)]
+
+
+def test_many_categories(spark):
+    df = spark.range(20000).selectExpr("concat('c', lpad(id, 5, '0')) AS v")
+    table = encode.categories(df, "v")
+    got = encode.encode_categories(df, "v", table, "code")
+    assert got.where("code <> cast(substr(v, 2) AS int) + 1").count() == 0 and got.count() == 20000
+
+
 def test_stream_scores_each_tile_once(spark, tiles, bundles, tmp_path):
     source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
     tiles.where("tile = 't0'").write.parquet(source)
