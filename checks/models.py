@@ -1,4 +1,4 @@
-"""Cross-fitted models, tile scoring, and the covariate row end to end."""
+"""Cross-fitted models and tile scoring."""
 
 from __future__ import annotations
 
@@ -7,11 +7,12 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from checks import standins as S
+from checks.evaluation import PIXEL_X, PIXEL_Y
 from checks.registry import query, round_all, table
 from checks.sources import scratch
 from loamline.operators import encode, model, stack
+from loamline.operators.conformal import conformal_rank
 from loamline.plans import maps
-from loamline.plans.covariates import point_covariates
 from loamline.schema import NODATA, TARGETS
 from loamline.session import checkpointed
 from loamline.streaming.tiles import score_new_tiles, tile_stream
@@ -133,20 +134,106 @@ def error_scale(spark, sf):
     )
 
 
-@query("M07_run_predictions")
+RANK = "CAST(least(n - 1, ceil(least(1.0::DOUBLE, ceil((n + 1) * 0.9::DOUBLE) / n) * (n - 1))) AS BIGINT)"
+
+
+@query(
+    "M07_run_predictions",
+    f"""WITH {OBSERVATIONS}, sizes AS (SELECT count(*) AS n FROM train)
+        SELECT obs_id, round(y, 6) + 0.0 AS observed, n AS n_scores, {RANK} AS rank, TRUE AS multiplier_at_rank,
+               TRUE AS lower_right, TRUE AS upper_right FROM train, sizes""",
+)
 def run_predictions(spark, sf):
-    """The numbers of a run: they depend on the trees, so only their rows are checked."""
-    return trained(spark, sf, "soc_pct")["oof"].select("obs_id", "predicted", "scale", "lower_90", "upper_90")
+    """The trees' numbers are their own; all that follows from them is worked out again: the
+    multiplier is the score of its rank, and the bounds lie that many scales off."""
+    run = trained(spark, sf, "soc_pct")
+    m = run["manifest"].first()["calibration"]["calibration_multiplier"]
+    scored = run["oof"].selectExpr("*", "abs(observed - predicted) / scale AS score")
+    n, below, upto = scored.selectExpr(
+        "count(score)", f"count_if(score < {m!r}D)", f"count_if(score <= {m!r}D)"
+    ).first()
+    rank = conformal_rank(n)
+    return round_all(scored.select(
+        "obs_id", "observed", F.lit(n).cast("bigint").alias("n_scores"), F.lit(rank).cast("bigint").alias("rank"),
+        F.lit(below <= rank < upto).alias("multiplier_at_rank"),
+        F.expr(f"abs(lower_90 - greatest(0D, predicted - {m!r}D * scale)) < 1e-9D").alias("lower_right"),
+        F.expr(f"abs(upper_90 - (predicted + {m!r}D * scale)) < 1e-9D").alias("upper_right"),
+    ))
+
+
+# Rows and pixel means of both evaluations, from the observations alone.
+EVALUATED = f"""{OBSERVATIONS.split(', train AS')[0]}, dense AS (SELECT *, 0.6::DOUBLE + y / 10 AS density FROM named),
+parts AS (
+  SELECT 'grouped {{kind}}' AS part, * FROM dense WHERE flag <> 'R' AND density IS NOT NULL
+  UNION ALL SELECT 'external', * FROM dense WHERE flag = 'R' AND density <= 2.0::DOUBLE),
+evaluated AS (
+  SELECT CASE part WHEN 'external' THEN 'external rows' ELSE part || ' rows' END AS dataset, density AS v FROM parts
+  UNION ALL SELECT part || ' pixel x depth', avg(density) FROM parts
+  GROUP BY part, {PIXEL_X}, {PIXEL_Y}, CAST(floor(z_mid / 10) AS BIGINT))"""
+
+
+def recomputed(spark, frames, columns, sql):
+    """``sql`` over the run's rows and their pixel means, both told apart by ``dataset``."""
+    means = ", ".join(f"avg({c}) AS {c}" for c in columns)
+    tables = {}
+    for name, rows in frames.items():
+        tables[f"{name} rows"] = rows.select(*columns)
+        tables[f"{name} pixel x depth"] = spark.sql(
+            f"""SELECT {means} FROM {{rows}}
+                GROUP BY {PIXEL_X}, {PIXEL_Y}, CAST(floor(z_mid / 10) AS BIGINT)""", rows=rows,
+        )
+    return spark.sql(sql, evaluated=stack.concat_tagged(tables))
 
 
-@query("M10_run_metrics")
+def same(own, again, names):
+    """Whether the columns of two tables by ``dataset`` agree."""
+    joined = own.join(again.withColumnsRenamed({c: f"again_{c}" for c in names}), "dataset", "full")
+    close = [
+        (F.abs(F.col(c) - F.col(f"again_{c}")) <= 1e-5 * (1 + F.abs(F.col(c)))).alias(f"{c}_same") for c in names
+    ]
+    return joined, close
+
+
+@query(
+    "M10_run_metrics",
+    f"""WITH {EVALUATED.format(kind='OOF')} SELECT dataset, count(*) AS n, round(avg(v), 6) + 0.0 AS mean_observed,
+        TRUE AS r2_same, TRUE AS rmse_same, TRUE AS mae_same, TRUE AS bias_same, TRUE AS mean_predicted_same
+        FROM evaluated GROUP BY dataset""",
+)
 def run_metrics(spark, sf):
-    return trained(spark, sf, "bulk_density")["metrics"]
+    """Metrics of the run next to those worked out again from its predictions."""
+    run = trained(spark, sf, "bulk_density")
+    names = ["r2", "rmse", "mae", "bias", "mean_predicted"]
+    again = recomputed(
+        spark, {"grouped OOF": run["oof"], "external": run["external"]}, ["observed", "predicted"],
+        """SELECT dataset, 1 - sum(power(predicted - observed, 2)) / (count(*) * var_pop(observed)) AS r2,
+                  sqrt(avg(power(predicted - observed, 2))) AS rmse, avg(abs(predicted - observed)) AS mae,
+                  avg(predicted - observed) AS bias, avg(predicted) AS mean_predicted
+           FROM {evaluated} GROUP BY dataset""",
+    )
+    joined, close = same(run["metrics"], again, names)
+    return round_all(joined.select("dataset", "n", "mean_observed", *close))
 
 
-@query("M11_run_intervals")
+@query(
+    "M11_run_intervals",
+    f"""WITH {EVALUATED.format(kind='cross-fit')} SELECT dataset, count(*) AS n, TRUE AS coverage_90_same,
+        TRUE AS mean_interval_width_same, TRUE AS median_interval_width_same, TRUE AS mean_lower_same,
+        TRUE AS mean_upper_same FROM evaluated GROUP BY dataset""",
+)
 def run_intervals(spark, sf):
-    return trained(spark, sf, "bulk_density")["interval_metrics"]
+    """Interval metrics of the run next to those worked out again from its bounds."""
+    run = trained(spark, sf, "bulk_density")
+    names = ["coverage_90", "mean_interval_width", "median_interval_width", "mean_lower", "mean_upper"]
+    again = recomputed(
+        spark, {"grouped cross-fit": run["oof"], "external": run["external"]},
+        ["observed", "predicted", "lower_90", "upper_90"],
+        """SELECT dataset, avg(CASE WHEN observed >= lower_90 AND observed <= upper_90 THEN 1D ELSE 0D END) AS coverage_90,
+                  avg(upper_90 - lower_90) AS mean_interval_width, median(upper_90 - lower_90) AS median_interval_width,
+                  avg(lower_90) AS mean_lower, avg(upper_90) AS mean_upper FROM {evaluated} GROUP BY dataset""",
+    )
+    joined, close = same(run["interval_metrics"], again, names)
+    return joined.select("dataset", "n", *close)
 
 
 @query(
@@ -190,11 +277,35 @@ TILES = """px AS (
   SELECT 't' || (l_suppkey % 4) AS tile, l_quantity NOT IN (49, 50) AS ok FROM lineitem)"""
 
 
-@query("M12_score_tiles")
-def score_tiles(spark, sf):
+def scored_tiles(spark, sf):
     return maps.score_tiles(tiles(spark, sf), bundles(spark, sf), DEPTHS, lrr_lookup(spark, sf))
 
 
+@query(
+    "M12_score_tiles",
+    """SELECT 't' || (l_suppkey % 4) AS tile, l_orderkey AS "row", CAST(l_linenumber AS BIGINT) AS col, d AS depth_cm,
+       CASE WHEN l_quantity NOT IN (49, 50) THEN 1.0::DOUBLE ELSE -9999.0::DOUBLE END AS valid_data_mask,
+       TRUE AS soc_pct_right, TRUE AS bulk_density_right
+       FROM lineitem CROSS JOIN (VALUES (5.0::DOUBLE), (30.0::DOUBLE)) v(d)""",
+)
+def score_tiles(spark, sf):
+    """Every pixel at every depth: a prediction between its bounds, or a gap in all bands."""
+    scored = scored_tiles(spark, sf)
+
+    def right(name):
+        p, low, high, width = (
+            F.col(f"{name}_{b}") for b in ("prediction", "lower_90", "upper_90", "interval_width")
+        )
+        made = (low >= 0) & (low <= p) & (p <= high) & (F.abs(high - low - width) <= 1e-4 * (1 + width))
+        gap = (p == NODATA) & (low == NODATA) & (high == NODATA) & (width == NODATA)
+        return F.when(F.col("valid_data_mask") == 1, made).otherwise(gap).alias(f"{name}_right")
+
+    return scored.select(
+        "tile", F.col("row").cast("bigint").alias("row"), F.col("col").cast("bigint").alias("col"), "depth_cm",
+        F.col("valid_data_mask").cast("double").alias("valid_data_mask"), right("soc_pct"), right("bulk_density"),
+    )
+
+
 @query(
     "M12_scored_pixels",
     f"""WITH {TILES} SELECT tile, d AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_scored,
@@ -202,7 +313,7 @@ def score_tiles(spark, sf):
         GROUP BY tile, d""",
 )
 def scored_pixels(spark, sf):
-    scored = score_tiles(spark, sf)
+    scored = scored_tiles(spark, sf)
     bands = [c for c in scored.columns if "_" in c and c not in ("depth_cm", "valid_data_mask")]
     made, gap = F.col("valid_data_mask") == 1, F.col("valid_data_mask") == NODATA
     for band in bands:
@@ -244,94 +355,3 @@ def stream_tiles(spark, sf):
     return maps_.groupBy("tile", "depth_cm").agg(
         F.count("*").alias("n_pixels"), F.count_if(F.col("valid_data_mask") == 1).alias("n_valid")
     )
-
-
-# --- covariates ------------------------------------------------------------------------
-
-def datasets(spark, sf):
-    """All gridded inputs, restated on order lines and suppliers."""
-    lines = table(spark, sf, "lineitem").withColumnsRenamed(
-        {"l_suppkey": "cell_id", "l_shipdate": "ts"}
-    )
-    price, quantity, line = F.col("l_extendedprice"), F.col("l_quantity"), F.col("l_linenumber")
-    tmin = 20.0 * F.col("l_discount") / 0.1
-    supplier = table(spark, sf, "supplier")
-    key = F.col("s_suppkey")
-
-    def series(**columns):
-        return lines.select("cell_id", "ts", *[v.alias(k) for k, v in columns.items()])
-
-    band = {f"sr_b{i}": (8000 + 900 * i + 4000 * F.col("l_tax") * i).cast("int") for i in range(1, 8)}
-    return {
-        "veg_series": series(
-            ndvi=(price / 10).cast("int"), evi=(quantity * 100).cast("int"),
-            summary_qa=F.when(line <= 5, 0).otherwise(1),
-        ),
-        "refl_series": series(
-            b02=(price / 10).cast("int"), b04=(quantity * 150).cast("int"), state_qa=line.cast("int")
-        ),
-        "et_series": series(
-            et=(quantity * 10).cast("int"), et_qc=F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
-        ),
-        "climate_daily": series(
-            prcp=quantity, tmin=tmin, tmax=tmin + 100 * F.col("l_tax"), vp=F.col("l_tax") * 10000
-        ),
-        "reanalysis_daily": series(
-            temperature_2m=273.15 + tmin, dewpoint_2m=268.15 + tmin, srad_sum=price * 100
-        ),
-        "burn_monthly": series(burn_date=F.when(price > 90000, 100).otherwise(0)),
-        "soil_moisture": series(ssm=F.col("l_tax") * 100),
-        "landsat": series(
-            sensor=F.when(line == 1, "LT04").when(line == 2, "LT05").when(line <= 4, "LE07").otherwise("LC08"),
-            qa_pixel=F.when(F.col("l_returnflag") == "A", 8).otherwise(64), **band,
-        ),
-        "static_cell": supplier.select(
-            key.alias("cell_id"), F.floor(key / 10).alias("row"), (key % 10).alias("col"),
-            F.col("s_acctbal").alias("elv"), (F.col("s_acctbal") / 100).alias("hnd"),
-            (key * 3.0).alias("upa"), (key * 10.0).alias("ai_raw"), F.lit(30.0).alias("clay"),
-            F.lit(40.0).alias("sand"), (key % 12).alias("texture"), (key % 20).alias("lithology"),
-            F.when(F.col("s_acctbal") > 0, key * 100).alias("mukey"), F.lit(1).alias("landmask"),
-        ),
-        "landcover": supplier.select(
-            key.alias("cell_id"), F.explode(F.array(*[F.lit(r) for r in encode.RELEASES])).alias("release_year"),
-            (F.col("s_nationkey") % 5 * 10 + 41).alias("landcover"),
-        ),
-        "zones": S.zones(spark, sf),
-    }
-
-
-@query(
-    "LB_point_covariates",
-    f"""WITH {S.POINTS}, {S.SITES}, {S.ZONES}, first AS (SELECT site_id, min(k) AS k FROM hits GROUP BY site_id),
-        w AS (SELECT t.cell_id, t.cutoff,
-            sum(l_quantity) FILTER (l_shipdate >= cutoff - INTERVAL 1 YEAR) AS ppt_sum,
-            avg(l_tax * 100) AS ssm,
-            quantile_cont(20.0::DOUBLE * l_discount / 0.1::DOUBLE + 50 * l_tax, 0.75)
-              FILTER (l_shipdate >= cutoff - INTERVAL 1 YEAR) AS mat_p75
-          FROM targets t LEFT JOIN lineitem l ON l_suppkey = t.cell_id
-            AND l_shipdate >= cutoff - INTERVAL 5 YEAR AND l_shipdate < cutoff GROUP BY t.cell_id, t.cutoff)
-        SELECT p.point_id, 133 AS n_covariates, strftime(p.cutoff, '%Y-%m-%d') AS extraction_date,
-          CASE WHEN inside THEN round(s_acctbal, 6) + 0.0 ELSE -9999.0::DOUBLE END AS "EL_MERIT",
-          CASE WHEN inside THEN round(s_acctbal / 100, 6) + 0.0 ELSE -9999.0::DOUBLE END AS "HAND",
-          CAST(CASE WHEN NOT inside THEN -9999 WHEN s_acctbal > 0 THEN s_suppkey * 100 ELSE -999 END AS DOUBLE) AS "GNATSGO_MUKEY",
-          CAST(CASE WHEN inside THEN coalesce(k, -9999) ELSE -9999 END AS DOUBLE) AS "MLRA_ID",
-          CAST(CASE WHEN inside THEN s_nationkey % 5 * 10 + 41 ELSE -9999 END AS DOUBLE) AS "LULC",
-          coalesce(CASE WHEN inside THEN round(ppt_sum, 6) + 0.0 END, -9999.0::DOUBLE) AS ppt_sum,
-          coalesce(CASE WHEN inside THEN round(ssm, 6) + 0.0 END, -9999.0::DOUBLE) AS "SMAP_ssm_mm_win",
-          coalesce(CASE WHEN inside THEN round(mat_p75, 6) + 0.0 END, -9999.0::DOUBLE) AS "MAT_p75"
-        FROM (SELECT *, point_id IN (SELECT site_id FROM hits JOIN nation ON k = n_nationkey WHERE n_regionkey < 4) AS inside
-              FROM points) p JOIN w USING (cell_id, cutoff) JOIN supplier ON s_suppkey = cell_id
-        LEFT JOIN first f ON f.site_id = p.point_id""",
-)
-def covariates(spark, sf):
-    points = S.points(spark, sf)
-    region = S.zones(spark, sf).where("aez_groupid < 4")
-    wide, _ = point_covariates(points, datasets(spark, sf), region)
-    tags = {"extraction_scale_m", "covariate_nodata_value", "extraction_date", "extraction_year"}
-    names = [c for c in wide.columns if c not in points.columns and c not in tags]
-    return round_all(
-        wide.select(
-            "point_id", F.lit(len(names)).alias("n_covariates"), "extraction_date", "EL_MERIT", "HAND",
-            "GNATSGO_MUKEY", "MLRA_ID", "LULC", "ppt_sum", "SMAP_ssm_mm_win", "MAT_p75",
-        )
-    )
