@@ -236,6 +236,59 @@ def run_intervals(spark, sf):
     return joined.select("dataset", "n", *close)
 
 
+@query(
+    "M10_fold_and_depth_metrics",
+    f"""WITH {OBSERVATIONS}, sizes AS (SELECT site_id, count(*) AS n FROM train GROUP BY site_id),
+        dealt AS (SELECT site_id, (row_number() OVER (ORDER BY n DESC, site_id) - 1) % 10 AS turn FROM sizes),
+        parts AS (SELECT 'fold ' || CASE WHEN turn < 5 THEN turn + 1 ELSE 10 - turn END AS part, y
+                  FROM train JOIN dealt USING (site_id)
+                  UNION ALL SELECT CASE WHEN z_mid < 30 THEN '0–30 cm' ELSE '>30 cm' END, y FROM train)
+        SELECT part, count(*) AS n, round(avg(y), 6) + 0.0 AS mean_observed, TRUE AS right
+        FROM parts GROUP BY part HAVING count(*) >= 30 OR part LIKE 'fold%'""",
+)
+def part_metrics(spark, sf):
+    """The run's metrics by fold and by depth group; errors are at least as large as the bias."""
+    run = trained(spark, sf, "soc_pct")
+    right = ((F.col("rmse") + 1e-9 >= F.col("mae")) & (F.col("mae") + 1e-9 >= F.abs("bias"))).alias("right")
+    folds = run["fold_metrics"].withColumn("part", F.concat(F.lit("fold "), F.col("fold")))
+    depths = run["depth_metrics"].withColumnRenamed("depth_group", "part")
+    return round_all(
+        folds.drop("fold").unionByName(depths).select("part", "n", "mean_observed", right)
+    )
+
+
+@query(
+    "M11_run_uncertainty_by_depth",
+    f"""WITH {OBSERVATIONS}, parts AS (SELECT 'grouped cross-fit rows' AS dataset, z_mid FROM train
+          UNION ALL SELECT 'external rows', z_mid FROM ext)
+        SELECT dataset, CASE WHEN z_mid < 30 THEN '0–30 cm' ELSE '>30 cm' END AS depth_group, count(*) AS n,
+               TRUE AS right FROM parts GROUP BY ALL""",
+)
+def run_uncertainty_by_depth(spark, sf):
+    found = trained(spark, sf, "soc_pct")["uncertainty_by_depth"]
+    width = F.abs(F.col("mean_upper") - F.col("mean_lower") - F.col("mean_interval_width")) < 1e-6
+    right = (F.col("coverage_90").between(0, 1) & (F.col("mean_lower") >= 0) & width).alias("right")
+    return found.select("dataset", "depth_group", "n", right)
+
+
+@query(
+    "M14_write_run",
+    f"""WITH {OBSERVATIONS} SELECT (SELECT count(*) FROM train) AS oof, (SELECT count(*) FROM ext) AS external,
+        4 AS metrics, 4 AS interval_metrics, 5 AS fold_metrics, 2 AS depth_metrics, 4 AS uncertainty_by_depth,
+        4 AS mapping_interval_metrics, 1 AS manifest""",
+)
+def written_run(spark, sf):
+    """Rows of each table of a run, written and read back."""
+    path = scratch(spark)
+    model.write_run(trained(spark, sf, "soc_pct"), path)
+    rows = {name: spark.read.parquet(f"{path}/{name}").agg(F.count("*")) for name in model.OUTPUTS}
+    counts = [rows[n].first()[0] for n in model.OUTPUTS]
+    wide = {"oof", "external"}
+    return spark.range(1).select(*[
+        F.lit(c).cast("bigint" if n in wide else "int").alias(n) for n, c in zip(model.OUTPUTS, counts)
+    ])
+
+
 @query(
     "M14_run_manifest",
     f"""WITH {OBSERVATIONS} SELECT 'soc_pct' AS target, '%' AS units, (SELECT count(*) FROM train) AS training_rows,
@@ -306,6 +359,30 @@ def score_tiles(spark, sf):
     )
 
 
+@query(
+    "M12_saved_bundle",
+    f"""WITH {TILES} SELECT tile, d AS depth_cm, count(*) AS n_pixels, 0::BIGINT AS n_differ
+        FROM px CROSS JOIN (VALUES (5.0::DOUBLE), (30.0::DOUBLE)) v(d) GROUP BY tile, d""",
+)
+def saved_bundle(spark, sf):
+    """Maps by bundles that were written and read back, against those of the run itself."""
+    loaded = []
+    for bundle in bundles(spark, sf):
+        path = scratch(spark)
+        model.save_bundle(bundle, path, spark)
+        loaded.append(model.load_bundle(spark, path))
+    own = scored_tiles(spark, sf)
+    again = maps.score_tiles(tiles(spark, sf), loaded, DEPTHS, lrr_lookup(spark, sf))
+    sums = [
+        df.groupBy("tile", "depth_cm", F.xxhash64(*own.columns).alias("mark")).agg(F.count("*").alias(name))
+        for df, name in ((own, "a"), (again, "b"))
+    ]
+    off = F.abs(F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0)))
+    return sums[0].join(sums[1], ["tile", "depth_cm", "mark"], "full").groupBy("tile", "depth_cm").agg(
+        F.coalesce(F.sum("b"), F.lit(0)).alias("n_pixels"), F.sum(off).alias("n_differ")
+    )
+
+
 @query(
     "M12_scored_pixels",
     f"""WITH {TILES} SELECT tile, d AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_scored,

@@ -7,8 +7,9 @@ leaf penalties do not exist here.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -17,18 +18,20 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.functions.clean import depth_mid, is_true, measure_range, no_nan, to_number, valid_flag
+from loamline.functions.clean import depth_group, depth_mid, is_true, measure_range, no_nan, to_number, valid_flag
 from loamline.functions.intervals import absolute_error, expm1_clip, floor_scale
 from loamline.operators.conformal import add_intervals, conformal_multiplier
 from loamline.operators.encode import most_frequent
-from loamline.operators.metrics import interval_metrics, pixel_depth, regression_metrics
+from loamline.operators.metrics import (
+    interval_metrics, pixel_depth, regression_metrics, subgroup_metrics, uncertainty_by_depth,
+)
 from loamline.operators.quantiles import quantiles
 from loamline.operators.rank import group_folds
 from loamline.operators.stack import concat_tagged
-from loamline.schema import CATEGORICAL, Target, require_columns
+from loamline.schema import CATEGORICAL, Target, require_columns, require_unique
 from loamline.session import checkpointed
 
 SEED = 42
@@ -291,6 +294,35 @@ class Bundle:
         )
 
 
+def save_bundle(bundle: Bundle, path: str, spark: SparkSession) -> None:
+    """Both pipelines by MLlib's writer, and a table of one row with everything else."""
+    row = {"target": json.dumps(asdict(bundle.target)), "features": bundle.features, "multiplier": bundle.multiplier}
+    for part, fitted in (("point", bundle.point), ("scale", bundle.scale)):
+        fitted.pipeline.write().overwrite().save(f"{path}/{part}")
+        row |= {
+            f"{part}_medians": fitted.medians, f"{part}_modes": fitted.modes, f"{part}_indicators": fitted.indicators
+        }
+    spark.createDataFrame([row], _SETTINGS).write.mode("overwrite").parquet(f"{path}/settings")
+
+
+_SETTINGS = "target string, features array<string>, multiplier double, " + ", ".join(
+    f"{part}_medians map<string,double>, {part}_modes map<string,string>, {part}_indicators array<string>"
+    for part in ("point", "scale")
+)
+
+
+def load_bundle(spark: SparkSession, path: str) -> Bundle:
+    """What ``save_bundle`` wrote, for a job that only scores."""
+    row = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").first()
+
+    def fitted(part: str) -> Fitted:
+        return Fitted(
+            row[f"{part}_medians"], row[f"{part}_modes"], row[f"{part}_indicators"], PipelineModel.load(f"{path}/{part}")
+        )
+
+    return Bundle(Target(**json.loads(row["target"])), row["features"], fitted("point"), fitted("scale"), row["multiplier"])
+
+
 # --- evaluation ------------------------------------------------------------------------
 
 def evaluate_run(oof: DataFrame, external: DataFrame) -> DataFrame:
@@ -313,6 +345,33 @@ def evaluate_intervals(train: DataFrame, external: DataFrame) -> DataFrame:
     return interval_metrics(tagged, ["dataset"])
 
 
+def evaluate_parts(oof: DataFrame, train: DataFrame, external: DataFrame) -> dict[str, DataFrame]:
+    """Metrics by fold, by depth group of at least 30 rows, and intervals by depth group."""
+    columns = ["observed", "predicted", "lower_90", "upper_90", "z_mid"]
+    bounds = concat_tagged({
+        "grouped cross-fit rows": train.select(*columns), "external rows": external.select(*columns)
+    })
+    deep = oof.withColumn("depth_group", depth_group(F.col("z_mid")))
+    return {
+        "fold_metrics": regression_metrics(oof, ["fold"]),
+        "depth_metrics": subgroup_metrics(deep, "depth_group"),
+        "uncertainty_by_depth": uncertainty_by_depth(bounds, ["dataset"]),
+    }
+
+
+OUTPUTS = (
+    "oof", "external", "metrics", "interval_metrics", "fold_metrics", "depth_metrics", "uncertainty_by_depth",
+    "mapping_interval_metrics", "manifest",
+)
+
+
+def write_run(run: dict, path: str) -> None:
+    """Every table of a run as Parquet below ``path``, and its bundle."""
+    for name in OUTPUTS:
+        run[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    save_bundle(run["bundle"], f"{path}/bundle", run["oof"].sparkSession)
+
+
 def run_manifest(
     target: Target, train: DataFrame, external: DataFrame, features: Sequence[str],
     metrics: DataFrame, params: dict[str, float], numbers: dict[str, float],
@@ -342,6 +401,8 @@ def train_target(
     """The whole run of one target: folds, point model, scale model, calibration, metrics."""
     train, external = prepare_tables(train, external, features, target)
     folded, external = with_folds(train), checkpointed(external)
+    require_unique(folded, "obs_id", "training rows")
+    require_unique(external, "obs_id", "external rows")
     oof = oof_predict(folded, features, target, point)
     point_model = fit(folded, features, target.column, point)
     external_points = checkpointed(score_external(point_model, external, target))
@@ -361,7 +422,9 @@ def train_target(
     train_bounds = add_intervals(scaled.oof, fitted["multiplier"])
     external_bounds = add_intervals(external_scored, fitted["multiplier"])
     metrics = evaluate_run(oof, external_points)
+    mapped = evaluate_intervals(add_intervals(scaled.oof, serving), add_intervals(external_scored, serving))
     return {
+        **evaluate_parts(oof, train_bounds, external_bounds), "mapping_interval_metrics": mapped,
         "oof": train_bounds, "external": external_bounds, "metrics": metrics,
         "interval_metrics": evaluate_intervals(train_bounds, external_bounds),
         "bundle": Bundle(target, list(features), point_model, scaled.model, serving),

@@ -37,6 +37,13 @@ def require_columns(df: DataFrame, names: Iterable[str], what: str = "table") ->
     return df
 
 
+def require_unique(df: DataFrame, key: str, what: str = "table") -> DataFrame:
+    """Joins by a key that repeats would multiply rows."""
+    if not df.groupBy(key).count().where("count > 1").isEmpty():
+        raise ContractError(f"{what}: {key} repeats")
+    return df
+
+
 def require_safe_names(df: DataFrame) -> DataFrame:
     """Export names carry neither blanks nor periods."""
     bad = [c for c in df.columns if re.search(r"[ .]", c)]

@@ -132,6 +132,21 @@ def test_scoring_marks_invalid_pixels(tiles, bundles):
     assert good.where("abs(bulk_density_upper_90 - bulk_density_lower_90 - bulk_density_interval_width) > 1e-5").count() == 0
 
 
+def test_bundle_round_trip(spark, tiles, bundles, tmp_path):
+    model.save_bundle(bundles[0], str(tmp_path / "bundle"), spark)
+    loaded = model.load_bundle(spark, str(tmp_path / "bundle"))
+    assert (loaded.target, loaded.features, loaded.multiplier) == (
+        bundles[0].target, bundles[0].features, bundles[0].multiplier
+    )
+    own, again = (maps.score_tiles(tiles, [b]) for b in (bundles[0], loaded))
+    assert own.exceptAll(again).isEmpty() and again.exceptAll(own).isEmpty()
+
+
+def test_repeated_observation_ids_are_refused(rows):
+    with pytest.raises(ContractError, match="obs_id repeats"):
+        model.train_target(rows.union(rows.limit(1)), rows, FEATURES, TARGETS["soc_pct"], SMALL, SMALL)
+
+
 def test_missing_band_fails_early(tiles, bundles):
     with pytest.raises(ContractError):
         maps.score_tiles(tiles.drop("EL_MERIT"), bundles)
