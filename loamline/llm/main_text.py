@@ -3,9 +3,11 @@
 Pages of one host are parsed together, in groups of bounded size (a host with more pages is
 dealt over several groups by page). Each page becomes blocks of words, marked as main (inside
 an article), chrome (menus, headers, footers, sidebars, notices, adverts, forms, comments) or
-other. The token streams of the group are concatenated and their suffixes sorted by prefix
-doubling up to ``RUN`` tokens; neighbours with equal prefixes on at least two pages, and on
-``LEAST_SHARE`` of the group's, are repeated substrings, and longer ones are their overlaps.
+other. The token streams of the group are concatenated and each suffix gets a key by prefix
+doubling up to ``RUN`` tokens; suffixes are sorted by it. Prefixes that stand on two pages of
+the host are repeated substrings, and longer ones are their overlaps. A host of several
+groups counts its pages over all of them: each group sends its distinct keys, once, to the
+key's bucket and gets back those that are repeated.
 
 * Chrome goes.
 * In a page without an article, tokens that repeated substrings cover go and unique runs stay.
@@ -20,6 +22,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+import uuid
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +33,10 @@ from pyspark.sql import functions as F
 from loamline.llm.shared import text_or_empty, written
 
 RUN = 8
-LEAST_SHARE = 0.01
 GROUP_PAGES = 256
+#: Groups of a host whose keys are counted in one task.
+BUCKET_GROUPS = 64
+_ODD, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 MAIN, CHROME, OTHER = 0, 1, 2
 
 # Elements by their part in a page, and words of class, id or role that mark chrome.
@@ -129,56 +135,91 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
-def repeated(tokens: np.ndarray, pages: np.ndarray, chrome: np.ndarray, n_pages: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each token: covered by a substring of ``RUN`` tokens repeated on distinct pages;
-    covered by one that also stands in chrome.
+def _hashed(strings: list[str]) -> np.ndarray:
+    return np.array([int.from_bytes(blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+                     for s in strings], np.uint64)
 
-    ``tokens`` are numbers; equal ranks after each doubling mean equal prefixes. Prefixes
-    that run over the end of a page are given up.
+
+class Windows:
+    """The ``RUN``-token windows of a group's pages, in token order: ``place`` of the first token,
+    ``key``, ``owner`` (number of the page) and ``chrome`` (begins in chrome).
+
+    Equal keys mean equal windows: each doubling mixes the hashes of two neighbours, so that
+    keys of any group can be compared. No window runs over the end of a page.
     """
-    size = len(tokens)
-    covered, from_chrome = np.zeros(size, bool), np.zeros(size, bool)
-    if size < RUN:
-        return covered, from_chrome
-    rank, width = tokens.astype(np.int64), 1
-    while width < RUN:
-        pairs = rank[:-width] * (int(rank.max()) + 1) + rank[width:]
-        rank = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
-        width *= 2
-    place = np.flatnonzero(pages[: len(rank)] == pages[RUN - 1 : RUN - 1 + len(rank)])
-    if not len(place):
-        return covered, from_chrome
-    order = place[np.argsort(rank[place], kind="stable")]
-    ranks, owner = rank[order], pages[order]
-    new = np.concatenate([[True], ranks[1:] != ranks[:-1]])
-    first = np.flatnonzero(new)
-    changes = new | np.concatenate([[True], owner[1:] != owner[:-1]])
-    held = np.add.reduceat(changes.astype(np.int64), first)
-    in_chrome = np.logical_or.reduceat(chrome[order], first)
-    group = np.cumsum(new) - 1
-    many = (held >= max(2, LEAST_SHARE * n_pages))[group]
-    for target, chosen in ((covered, many), (from_chrome, many & in_chrome[group])):
-        edge = np.zeros(size + 1, np.int64)
-        np.add.at(edge, order[chosen], 1)
-        np.add.at(edge, order[chosen] + RUN, -1)
-        target[:] = np.cumsum(edge[:-1]) > 0
-    return covered, from_chrome
-
-
-def main_texts(pages: list[str]) -> list[str]:
-    """The main text of each page of a host's group."""
-    parsed = [blocks(p) for p in pages]
-    numbers: dict[str, int] = {}
-    tokens, owner, chrome = [], [], []
-    for i, page in enumerate(parsed):
-        for kind, text in page:
-            words = [numbers.setdefault(w, len(numbers)) for w in text.split(" ")]
-            tokens += words
-            owner += [i] * len(words)
-            chrome += [kind == CHROME] * len(words)
-    covered, from_chrome = repeated(
-        np.array(tokens, np.int64), np.array(owner, np.int64), np.array(chrome, bool), len(pages)
+
+    def __init__(self, parsed: list[list[tuple[int, str]]]):
+        numbers: dict[str, int] = {}
+        tokens, owner, chrome = [], [], []
+        for i, page in enumerate(parsed):
+            for kind, text in page:
+                words = [numbers.setdefault(w, len(numbers)) for w in text.split(" ")]
+                tokens += words
+                owner += [i] * len(words)
+                chrome += [kind == CHROME] * len(words)
+        self.size = len(tokens)
+        pages = np.array(owner, np.int64)
+        rank, width = _hashed(list(numbers))[np.array(tokens, np.int64)], 1
+        while width < RUN and len(rank) > width:
+            rank = _mixed(rank[:-width] * _ODD + rank[width:])
+            width *= 2
+        if width < RUN:
+            rank = rank[:0]
+        self.place = np.flatnonzero(pages[: len(rank)] == pages[RUN - 1 : RUN - 1 + len(rank)])
+        self.key, self.owner = rank[self.place], pages[self.place]
+        self.chrome = np.array(chrome, bool)[self.place]
+
+    def covered(self, chosen: np.ndarray) -> np.ndarray:
+        """For each token: inside one of the chosen windows."""
+        edge = np.zeros(self.size + 1, np.int64)
+        np.add.at(edge, self.place[chosen], 1)
+        np.add.at(edge, self.place[chosen] + RUN, -1)
+        return np.cumsum(edge[:-1]) > 0
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _SPREAD
+    return x ^ (x >> np.uint64(29))
+
+
+def merged(
+    key: np.ndarray, page: np.ndarray, many: np.ndarray, chrome: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One row a key, in order: key, a page of it, stands on two pages or more, stands in chrome."""
+    if not len(key):
+        return key, page, many, chrome
+    order = np.argsort(key, kind="stable")
+    key, page, many, chrome = key[order], page[order], many[order], chrome[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    least, most = np.minimum.reduceat(page, first), np.maximum.reduceat(page, first)
+    return (
+        key[first], least, np.logical_or.reduceat(many, first) | (least != most),
+        np.logical_or.reduceat(chrome, first),
     )
+
+
+def _table(windows: Windows, parsed: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    names = _page_names(parsed)
+    return merged(windows.key, names[windows.owner], np.zeros(len(windows.key), bool), windows.chrome)
+
+
+def _held(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which of the keys are among the wanted ones, which are in order."""
+    if not len(wanted):
+        return np.zeros(len(keys), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
+
+
+def main_texts(pages: list[str], repeated: tuple[np.ndarray, np.ndarray] | None = None) -> list[str]:
+    """The main text of each page of a group. ``repeated``: the keys, in order, that stand on
+    two pages of the host, and those of them in chrome; by default the group is the host."""
+    parsed = [blocks(p) for p in pages]
+    windows = Windows(parsed)
+    if repeated is None:
+        key, _, many, chrome = _table(windows, parsed)
+        repeated = key[many], key[many & chrome]
+    covered = windows.covered(_held(windows.key, repeated[0]))
+    from_chrome = windows.covered(_held(windows.key, repeated[1]))
     out, at = [], 0
     for page in parsed:
         article = any(kind == MAIN for kind, _ in page)
@@ -198,6 +239,11 @@ def main_texts(pages: list[str]) -> list[str]:
     return out
 
 
+def _page_names(parsed: list[list[tuple[int, str]]]) -> np.ndarray:
+    """A number of each page of the group that no other page of the host has."""
+    return _hashed([f"{uuid.uuid4().hex}" for _ in parsed])
+
+
 def _host(url: str) -> F.Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
@@ -217,12 +263,71 @@ def extract(
         "hosts",
     )
     deal = F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1)))
-    dealt = rows.join(large, "host", "left").select("page_id", "url", "html", "host", deal.alias("part"))
+    dealt = rows.join(large, "host", "left").select(
+        "page_id", "url", "html", "host", deal.cast("int").alias("part"), "groups"
+    )
 
     def run(group: pa.Table) -> pa.Table:
-        texts = main_texts(group.column("html").to_pylist())
-        return pa.table({
-            "page_id": group.column("page_id"), "url": group.column("url"), "text": pa.array(texts, pa.string()),
-        })
+        return _texts(group, None)
+
+    def finish(group: pa.Table, found: pa.Table) -> pa.Table:
+        return _texts(group, tuple(
+            np.sort(np.frombuffer(b"".join(found.column(c).to_pylist()), np.uint64)) for c in ("keys", "chrome_keys")
+        ))
+
+    whole = dealt.where("groups is null").groupBy("host", "part").applyInArrow(run, _TEXTS)
+    parts = dealt.where("groups is not null")
+    tables = parts.groupBy("host", "part").applyInArrow(_emit, _TABLES)
+    found = tables.groupBy("host", "bucket").applyInArrow(_settle, _FOUND)
+    joined = parts.groupBy("host", "part").cogroup(found.groupBy("host", "part")).applyInArrow(finish, _TEXTS)
+    return whole.unionByName(joined)
+
+
+_TEXTS = "page_id long, url string, text string"
+_TABLES = "host string, part int, bucket int, keys binary, pages binary, marks binary"
+_FOUND = "host string, part int, keys binary, chrome_keys binary"
 
-    return dealt.groupBy("host", "part").applyInArrow(run, "page_id long, url string, text string")
+
+def _texts(group: pa.Table, repeated: tuple[np.ndarray, np.ndarray] | None) -> pa.Table:
+    texts = main_texts(group.column("html").to_pylist(), repeated) if len(group) else []
+    return pa.table({
+        "page_id": group.column("page_id"), "url": group.column("url"), "text": pa.array(texts, pa.string()),
+    })
+
+
+def _emit(group: pa.Table) -> pa.Table:
+    """The key table of a group, cut into buckets of keys: one for every ``BUCKET_GROUPS`` of
+    the host's groups, so that no bucket grows with the host."""
+    parsed = [blocks(p) for p in group.column("html").to_pylist()]
+    key, page, many, chrome = _table(Windows(parsed), parsed)
+    buckets = -(-group.column("groups")[0].as_py() // BUCKET_GROUPS)
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    marks = many.astype(np.uint8) | chrome.astype(np.uint8) << 1
+    rows = []
+    for b in range(buckets):
+        own = bucket == b
+        rows.append((b, key[own].tobytes(), (page[own] >> np.uint64(32)).astype(np.uint32).tobytes(), marks[own].tobytes()))
+    host, part = group.column("host")[0].as_py(), group.column("part")[0].as_py()
+    return pa.table(
+        {
+            "host": pa.array([host] * buckets, pa.string()), "part": pa.array([part] * buckets, pa.int32()),
+            "bucket": pa.array([r[0] for r in rows], pa.int32()),
+            **{c: pa.array([r[i] for r in rows], pa.binary()) for i, c in ((1, "keys"), (2, "pages"), (3, "marks"))},
+        }
+    )
+
+
+def _settle(tables: pa.Table) -> pa.Table:
+    """Of a bucket's keys, to each group its own that two pages of the host hold."""
+    keys = [np.frombuffer(x, np.uint64) for x in tables.column("keys").to_pylist()]
+    marks = np.frombuffer(b"".join(tables.column("marks").to_pylist()), np.uint8)
+    page = np.frombuffer(b"".join(tables.column("pages").to_pylist()), np.uint32)
+    key, _, many, chrome = merged(np.concatenate(keys), page, (marks & 1) > 0, (marks & 2) > 0)
+    both, in_chrome = key[many], key[many & chrome]
+    return pa.table(
+        {
+            "host": tables.column("host"), "part": tables.column("part"),
+            "keys": pa.array([k[_held(k, both)].tobytes() for k in keys], pa.binary()),
+            "chrome_keys": pa.array([k[_held(k, in_chrome)].tobytes() for k in keys], pa.binary()),
+        }
+    )

@@ -197,6 +197,21 @@ def test_main_text(spark):
     assert main_text.extract(pages(spark, [])).count() == 0
 
 
+def test_main_text_over_groups(spark):
+    """Boilerplate on two pages of a host goes, whatever groups the pages fall into."""
+    rng = random.Random(5)
+    chrome, notice = (" ".join(f"{c}{i}" for i in range(12)) for c in "cn")
+    own = {i: " ".join(f"p{i}x{rng.randint(0, 10**6)}" for _ in range(9)) for i in range(300)}
+    rows = [
+        (i, f"http://big/{i}", f"<p>{chrome if i in (7, 250) else ''}</p><p>{own[i]}</p>", None, None) for i in range(290)
+    ]
+    rows += [(290, "http://big/290", f"<nav>{notice}</nav><p>{own[290]}</p>", None, None)]
+    rows += [(291, "http://big/291", f"<article><p>{notice}</p><p>{own[291]}</p></article>", None, None)]
+    for group_pages in (256, 8, 1000):
+        got = {r["page_id"]: r["text"] for r in main_text.extract(pages(spark, rows), group_pages=group_pages).collect()}
+        assert got == {i: own[i] for i in range(292)}
+
+
 def test_archives(spark):
     rows = [
         (1, "http://a b/", "same", "x", None), (2, None, "same", None, None), (2, "u", "same", None, None),
