@@ -11,11 +11,14 @@ key's bucket and gets back those that are repeated.
 
 * Chrome goes.
 * In a page without an article, tokens that repeated substrings cover go and unique runs stay.
+  Pages with the same text outside chrome count as one. A page that has under ``LEAST_OWN``
+  of its words for itself is a near copy: it loses only substrings that also stand in chrome.
 * An article's block goes only if such substrings cover it wholly and each of them also
   stands in the chrome of some page of the host: passages that articles share are kept.
 
 Scripts, styles, markup and comments in markup are never text. Null html gives an empty text,
-a null address is a host of its own. Cut-off pages are read to their end.
+a page whose address is null or names no
+host is a host of its own. Cut-off pages are read to their end.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ from loamline.llm.shared import text_or_empty, written
 
 RUN = 8
 GROUP_PAGES = 256
+#: Share of its words that a page with less has in common with a near copy, not with boilerplate.
+LEAST_OWN = 0.1
 #: Groups of a host whose keys are counted in one task.
 BUCKET_GROUPS = 64
 _ODD, _SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -224,6 +229,7 @@ def main_texts(pages: list[str], repeated: tuple[np.ndarray, np.ndarray] | None
     for page in parsed:
         article = any(kind == MAIN for kind, _ in page)
         kept = []
+        gone_words = covered if article or _has_own(page, covered[at:]) else from_chrome
         for kind, text in page:
             words = text.split(" ")
             span = slice(at, at + len(words))
@@ -232,16 +238,28 @@ def main_texts(pages: list[str], repeated: tuple[np.ndarray, np.ndarray] | None
                 if not from_chrome[span].all():
                     kept.append(text)
             elif kind == OTHER and not article:
-                unique = [w for w, gone in zip(words, covered[span]) if not gone]
+                unique = [w for w, gone in zip(words, gone_words[span]) if not gone]
                 if unique:
                     kept.append(" ".join(unique))
         out.append("\n\n".join(kept))
     return out
 
 
+def _has_own(page: list[tuple[int, str]], covered: np.ndarray) -> bool:
+    """Whether ``LEAST_OWN`` of the page's words outside chrome stand in no repeated substring."""
+    at, words, own = 0, 0, 0
+    for kind, text in page:
+        n = text.count(" ") + 1
+        if kind != CHROME:
+            words += n
+            own += n - int(covered[at : at + n].sum())
+        at += n
+    return own >= LEAST_OWN * words
+
+
 def _page_names(parsed: list[list[tuple[int, str]]]) -> np.ndarray:
-    """A number of each page of the group that no other page of the host has."""
-    return _hashed([f"{uuid.uuid4().hex}" for _ in parsed])
+    """The hash of each page's text outside chrome, so that copies of a page count as one."""
+    return _hashed(["\n".join(text for kind, text in page if kind != CHROME) for page in parsed])
 
 
 def _host(url: str) -> F.Column:
@@ -268,21 +286,23 @@ def extract(
     )
 
     def run(group: pa.Table) -> pa.Table:
-        return _texts(group, None)
+        # Pages without a host share nothing.
+        return _texts(group, None if group.column("host")[0].as_py() else _NONE)
 
     def finish(group: pa.Table, found: pa.Table) -> pa.Table:
         return _texts(group, tuple(
             np.sort(np.frombuffer(b"".join(found.column(c).to_pylist()), np.uint64)) for c in ("keys", "chrome_keys")
         ))
 
-    whole = dealt.where("groups is null").groupBy("host", "part").applyInArrow(run, _TEXTS)
-    parts = dealt.where("groups is not null")
+    whole = dealt.where("host = '' or groups is null").groupBy("host", "part").applyInArrow(run, _TEXTS)
+    parts = dealt.where("host <> '' and groups is not null")
     tables = parts.groupBy("host", "part").applyInArrow(_emit, _TABLES)
     found = tables.groupBy("host", "bucket").applyInArrow(_settle, _FOUND)
     joined = parts.groupBy("host", "part").cogroup(found.groupBy("host", "part")).applyInArrow(finish, _TEXTS)
     return whole.unionByName(joined)
 
 
+_NONE = (np.array([], np.uint64), np.array([], np.uint64))
 _TEXTS = "page_id long, url string, text string"
 _TABLES = "host string, part int, bucket int, keys binary, pages binary, marks binary"
 _FOUND = "host string, part int, keys binary, chrome_keys binary"

@@ -212,6 +212,25 @@ def test_main_text_over_groups(spark):
         assert got == {i: own[i] for i in range(292)}
 
 
+def test_main_text_keeps_copies(spark):
+    """Copies and near copies under one host keep their text, and pages without a host share none."""
+    text = " ".join(f"word{i}" for i in range(60))
+    other, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "yz")
+    near = text.replace("word30 ", "changed ")
+    notice = " ".join(f"n{i}" for i in range(10))
+    rows = [
+        (1, "http://h/1", f"<p>{text}</p>", None, None), (1, "http://h/1", f"<p>{text}</p>", None, None),
+        (2, "http://h/2", f"<p>{near}</p>", None, None),
+        (3, "http://h/3", f"<p>{notice}</p><p>{other}</p>", None, None),
+        (4, "http://h/4", f"<p>{notice}</p><p>{other}</p>", None, None),
+        (5, "http://h/5", f"<p>{notice}</p><p>{third}</p>", None, None),
+        (6, None, f"<p>{text}</p>", None, None), (7, "h/7", f"<p>{near}</p>", None, None),
+    ]
+    for group_pages in (256, 1):
+        got = {(r["page_id"], r["text"]) for r in main_text.extract(pages(spark, rows), group_pages=group_pages).collect()}
+        assert got == {(1, text), (2, near), (3, other), (4, other), (5, third), (6, text), (7, near)}
+
+
 def test_archives(spark):
     rows = [
         (1, "http://a b/", "same", "x", None), (2, None, "same", None, None), (2, "u", "same", None, None),
