@@ -231,6 +231,27 @@ def test_main_text_keeps_copies(spark):
         assert got == {(1, text), (2, near), (3, other), (4, other), (5, third), (6, text), (7, near)}
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<div class='wrapper has-sidebar'><article><p>a</p></article></div>", "a"),
+    ("<main class='with-sidebar'><p>a</p></main>", "a"),
+    ("<main class='sidebar'><p>a</p></main>", "a"),
+    ("<article class='post has-comments'>a</article>", "a"),
+    ("<div class=banner><nav>m</nav><p>x</p><div class='alert'><article>a</article></div></div>", "a"),
+    ("<div class=sidebar>m</div><main><article>a</article><section class=comments><article>c</article></section>b</main>", "a\n\nb"),
+    ("<article>a<article class=comment>c</article>b</article>", "a\n\nb"),
+    ("<article><p class='promo'>x<p>a<p>b</article><p>y", "a\n\nb"),
+    ("<article><p class='promo'>x</article><article><p>a</article>", "a"),
+    ("<article><ul><li class='ad'>x<ul><li>y</ul>z<li>a</ul><p>b</p></article>", "a\n\nb"),
+    ("<article><ul><li class='ad'><div>x</div>y</ul>a</article>", "a"),
+    ("<article><table><tr><td class=ad>x<td>a<tr><td>b</table></article>", "a\n\nb"),
+    ("<article><dl><dt class=ad>x<dd>a</dl></article>", "a"),
+    ("<article><div class='cookie-banner'>x<div>y</div>z</div>a</article>", "a"),
+    ("<head><meta charset=utf-8><article>a</article>", "a"),
+])
+def test_main_text_marks(page, text):
+    assert main_text.main_texts([page]) == [text]
+
+
 def test_archives(spark):
     rows = [
         (1, "http://a b/", "same", "x", None), (2, None, "same", None, None), (2, "u", "same", None, None),
