@@ -1,7 +1,8 @@
 """Secret spans: fixed patterns, and a randomness test battery over the remaining long tokens.
 
-A candidate is a run of code signs with a letter and a digit that no pattern span touches. Its
-encoding is the smallest alphabet that holds it. Three tests of "drawn at random from that
+A candidate is a run of code signs with a letter and a digit that no pattern span touches. An
+equals sign ends a run; a run that no alphabet holds is cut at its separators. Its encoding is
+the smallest alphabet that holds it. Three tests of "drawn at random from that
 alphabet" are made on its symbol values: chi-squared uniformity over bins of at least five
 expected symbols, runs above and below the middle, and lag-one serial correlation. Their
 Bonferroni-combined p-value says how surely the token has structure.
@@ -38,7 +39,12 @@ LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 _SIGNS_OF_ASSIGN = ("passw", "secret", "token", "api")
 
 LEAST_RANDOM = 20
-RANDOM = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST_RANDOM)
+# An equals sign is padding, or stands between a name and its value: it ends a token.
+RANDOM = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % LEAST_RANDOM)
+#: Ways to cut a run that no alphabet holds, from the finest.
+SEPARATORS = tuple(re.compile(r"[^%s]+" % signs) for signs in ("+/_-", "_-", "+/"))
+#: p-value from which a piece looks random when the ways are compared.
+LIKELY = 0.01
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _UPPER = _LOWER.upper()
 #: Alphabets from the smallest to the largest.
@@ -129,22 +135,43 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _tested(token: str) -> float | None:
+    name = encoding(token)
+    return structure_p(token, name) if name else None
+
+
+def pieces(run: str) -> list[tuple[int, int, float]]:
+    """(start, end, p-value) of the tokens of a run of code signs.
+
+    A run that an alphabet holds is one token. Another is cut at all separators, at ``-`` and
+    ``_``, or at ``+`` and ``/``, whichever leaves most signs that look random, then most signs.
+    """
+    if not (any(s in run for s in "-_") and any(s in run for s in "+/")):
+        p = _tested(run)
+        return [] if p is None else [(0, len(run), p)]
+    best, most = [], (0, 0)
+    for pattern in SEPARATORS:
+        cut = [(m.start(), m.end(), _tested(m[0])) for m in pattern.finditer(run) if len(m[0]) >= LEAST_RANDOM]
+        cut = [c for c in cut if c[2] is not None]
+        score = (sum(e - s for s, e, p in cut if p >= LIKELY), sum(e - s for s, e, _ in cut))
+        if score > most:
+            best, most = cut, score
+    return best
+
+
 def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
     """(start, end, length class, p step) of the tokens to test, apart from ``spans``."""
     out, at, reach = [], 0, 0
     for m in RANDOM.finditer(text):
-        token = m[0].rstrip("=")
-        start, end = m.start(), m.start() + len(token)
-        while at < len(spans) and spans[at][0] < end:
-            reach = max(reach, spans[at][2])
-            at += 1
-        if len(token) < LEAST_RANDOM or reach > start:
-            continue
-        name = encoding(token)
-        if name:
-            p = structure_p(token, name)
+        for first, last, p in pieces(m[0]):
+            start, end = m.start() + first, m.start() + last
+            while at < len(spans) and spans[at][0] < end:
+                reach = max(reach, spans[at][2])
+                at += 1
+            if reach > start:
+                continue
             step = LEAST_STEP if p <= 0 else min(LEAST_STEP, int(-math.log10(p) * STEPS))
-            size = sum(len(token) >= low for low in LENGTH_CLASSES) - 1
+            size = sum(end - start >= low for low in LENGTH_CLASSES) - 1
             out.append((start, end, size, step))
     return out
 

@@ -163,6 +163,26 @@ def test_secrets(spark):
     assert secret_spans.secrets(frame(spark, [])).count() == 0
 
 
+def test_secrets_after_names_and_paths(spark):
+    rng = random.Random(8)
+    def key(alphabet, n=40):
+        return "".join(rng.choice(secret_spans.ALPHABETS[alphabet]) for _ in range(n))
+    plain, url, wide = key("base62"), key("base64url", 60), key("base64", 60)
+    cases = [
+        (f"DB_PASS={plain}", plain), (f"sig={plain}&x=1", plain), (f"client={plain}==", plain), (f"my_app/{plain}", plain),
+        (f"a+b/{url}", url), (f"a_b-{wide}", wide), (f"{plain}=={plain}", plain), (f"my_longapplication/name/{plain}", plain),
+    ]
+    rows = {r["id"]: r for r in secret_spans.secrets(frame(spark, [(i, c[0]) for i, c in enumerate(cases)])).collect()}
+    for i, (text, secret) in enumerate(cases):
+        covered = set()
+        for kind, start, end in (s.split(":") for s in rows[i]["spans"].split(",")):
+            covered |= set(range(int(start), int(end)))
+        at = text.index(secret)
+        assert covered >= set(range(at + 2, at + len(secret) - 2)) and rows[i]["n_random"] >= 1, text
+    assert [rows[i]["spans"] for i in (0, 2)] == ["random:8:48", "random:7:47"]
+    assert rows[6]["spans"] == "random:0:40,random:42:82"
+
+
 def test_languages(spark):
     rng = random.Random(2)
     syllables = {"xx": "ka lo mi tu", "yy": "sch pfe rau gen", "zz": "жа ло ми ту"}
