@@ -5,6 +5,8 @@
 2. A source's target, in words, becomes a quota: whole passes over its blocks, the blocks
    before a cut, and the few documents of the cut's cell that still fit. The cut is found
    by radix descent on summed sizes: 4,096 sums a source and round, no sort of documents.
+   The places beyond the cell are gone through the same way for the room that is left, over
+   the documents that still fit, until none does.
 3. The quotas (one slot a block to draw) go down a binary tree of output shards. Each node
    hands a random half of its slots to either child, which is a multivariate hypergeometric
    draw of its quota vector; a leaf knows how many blocks of each source it gets.
@@ -123,7 +125,8 @@ def _cuts(sizes: DataFrame, quotas: DataFrame, radix_bits: int, cell_docs: int)
 
 
 def _fitting(sizes: DataFrame, cuts: DataFrame) -> DataFrame:
-    """(source, fits): places in the cut's cell whose documents fit, first come first served.
+    """(source, fits, left): places in the cut's cell whose documents fit, first come first
+    served, and the words that are left.
 
     A cell holds at most ``CELL_DOCS`` documents, but for rows with the very same place,
     which are added up first, so the list is bounded.
@@ -140,9 +143,40 @@ def _fitting(sizes: DataFrame, cuts: DataFrame) -> DataFrame:
     fits = F.expr(
         """aggregate(docs, named_struct('room', room, 'fits', array(bigint(-1))),
              (a, d) -> if(d.size <= a.room,
-               named_struct('room', a.room - d.size, 'fits', concat(a.fits, array(d.u))), a)).fits"""
+               named_struct('room', a.room - d.size, 'fits', concat(a.fits, array(d.u))), a))"""
     )
-    return listed.select("source", fits.alias("fits"))
+    return listed.withColumn("got", fits).select("source", "got.fits", F.col("got.room").alias("left"))
+
+
+def _further(sizes: DataFrame, cuts: DataFrame, fits: DataFrame, radix_bits: int, cell_docs: int) -> DataFrame | None:
+    """(source, u) of the places beyond the cut's cell that are drawn as well; None without any.
+
+    Each round looks only at documents no larger than the room; rows of one place count together.
+    """
+    rest, taken = sizes, None
+    while True:
+        done = fits.select(F.col("source").alias("s"), "left")
+        state = cuts.join(done, cuts["source"].eqNullSafe(F.col("s"))).where("left > 0").select(
+            F.col("source").alias("s"), (F.col("cut") + F.col("wide")).alias("start"), "left"
+        )
+        rest = written(
+            rest.join(state, rest["source"].eqNullSafe(F.col("s")))
+            .where((F.col("u") >= F.col("start")) & (F.col("size") > 0) & (F.col("size") <= F.col("left")))
+            .groupBy("source", "u").agg(F.sum("size").alias("size"), F.max("left").alias("left"))
+            .where(F.col("size") <= F.col("left")),
+            "rest",
+        )
+        if not rest.limit(1).count():
+            return taken
+        rooms = rest.groupBy("source").agg(F.max("left").alias("part"), F.count("*").alias("docs"))
+        rest = rest.drop("left")
+        cuts = _cuts(rest, rooms, radix_bits, cell_docs)
+        fits = written(_fitting(rest, cuts), "fits")
+        below = cuts.select(F.col("source").alias("s"), "cut")
+        before = rest.join(below, rest["source"].eqNullSafe(F.col("s"))).where(F.col("u") < F.col("cut"))
+        listed = fits.select("source", F.explode("fits").alias("u")).where("u >= 0")
+        new = written(before.select("source", "u").unionByName(listed), "further")
+        taken = new if taken is None else taken.unionByName(new)
 
 
 def _split(slots: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -157,21 +191,27 @@ def _split(slots: DataFrame, shards: int, seed: int) -> DataFrame:
     return node.groupBy("source", F.col("node").alias("shard")).agg(F.count("*").alias("quota"))
 
 
-def _blocks(quotas: DataFrame, cuts: DataFrame) -> DataFrame:
+def _blocks(quotas: DataFrame, cuts: DataFrame, further: DataFrame | None) -> DataFrame:
     """Adds ``bits`` (of a source's block numbers), ``per_pass`` and ``quota`` (blocks to draw).
 
     Blocks go to the sources by their documents. The partial pass takes the blocks up to the
-    one in which the cut's cell ends.
+    one in which the cut's cell ends, or the one of the last place drawn beyond it.
     """
-    side = cuts.select(F.col("source").alias("s"), "cut", "wide")
+    side = cuts.select(F.col("source").alias("s"), "cut", "wide", (F.col("cut") + F.col("wide") - 1).alias("end"))
+    if further is not None:
+        most = further.groupBy("source").agg(F.max("u").alias("most")).withColumnRenamed("source", "f")
+        side = side.join(most, side["s"].eqNullSafe(F.col("f")), "left").select(
+            "s", "cut", "wide", F.greatest("end", "most").alias("end")
+        )
     per = quotas.join(side, quotas["source"].eqNullSafe(F.col("s"))).drop("s")
     total = per.agg(F.sum("docs")).first()[0] or 1
     rich = F.greatest(F.lit(1.0), F.col("docs") * F.lit(BLOCKS / total))
-    last = F.expr(f"shiftright(cut + wide - 1, {PLACE_BITS} - bits)") + 1
+    last = F.expr(f"shiftright(end, {PLACE_BITS} - bits)") + 1
     return (
         per.withColumn("bits", F.floor(F.log2(rich)).cast("int"))
         .withColumn("per_pass", F.expr("shiftleft(bigint(1), bits)"))
         .withColumn("quota", F.col("per_pass") * F.col("passes") + F.when(F.col("part") > 0, last).otherwise(0))
+        .drop("end")
     )
 
 
@@ -197,8 +237,8 @@ def _draws(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
 def plan(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     shards: int = SHARDS, seed: int = 7, radix_bits: int = RADIX_BITS, cell_docs: int = CELL_DOCS,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sizes, quotas, draws).
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """(sizes, quotas, draws, further).
 
     sizes: id, source, size and place of each document. quotas: one row a source with words,
     target, passes, cut, fits and bits. draws: one row a drawn block, with pass and shard.
@@ -218,17 +258,21 @@ def plan(
         "quotas",
     )
     cuts = _cuts(sizes, quotas, radix_bits, cell_docs)
-    blocks = written(_blocks(quotas, cuts), "blocks")
-    fits = _fitting(sizes, cuts).withColumnRenamed("source", "f")
+    fits = written(_fitting(sizes, cuts), "fits")
+    further = _further(sizes, cuts, fits, radix_bits, cell_docs)
+    blocks = written(_blocks(quotas, cuts, further), "blocks")
+    fits = fits.drop("left").withColumnRenamed("source", "f")
     full = blocks.join(fits, blocks["source"].eqNullSafe(F.col("f")), "left").drop("f")
-    return sizes, written(full, "plan"), written(_draws(blocks, shards, seed), "draws")
+    return sizes, written(full, "plan"), written(_draws(blocks, shards, seed), "draws"), further
 
 
-def _drawn(rows: DataFrame, quotas: DataFrame, draws: DataFrame, source: str, u: str) -> DataFrame:
+def _drawn(
+    rows: DataFrame, quotas: DataFrame, draws: DataFrame, further: DataFrame | None, source: str, u: str
+) -> DataFrame:
     """The rows with ``__draws``: (pass, shard) of each draw that takes the row, maybe none.
 
-    A whole pass takes all of a block; the partial pass takes places below the cut and those
-    in the list that fits.
+    A whole pass takes all of a block; the partial pass takes places below the cut, those in
+    the list that fits and the further ones.
     """
     names = quotas.select(
         F.col("source").alias("__s"), F.col("target").alias("__target"), F.col("words").alias("__words"),
@@ -244,8 +288,13 @@ def _drawn(rows: DataFrame, quotas: DataFrame, draws: DataFrame, source: str, u:
     met = placed.join(
         blocks, placed[source].eqNullSafe(F.col("__t")) & (F.col("__own") == F.col("__block")), "left"
     )
+    if further is None:
+        met = met.withColumn("__more", F.lit(False))
+    else:
+        more = further.select(F.col("source").alias("__f"), F.col("u").alias("__at"), F.lit(True).alias("__more"))
+        met = met.join(more, met[source].eqNullSafe(F.col("__f")) & (F.col(u) == F.col("__at")), "left")
     taken = F.expr(
-        f"""filter(coalesce(__all, array()), d -> d.pass < __passes or `{u}` < __cut
+        f"""filter(coalesce(__all, array()), d -> d.pass < __passes or `{u}` < __cut or coalesce(__more, false)
               or array_contains(coalesce(__fits, array()), `{u}`))"""
     )
     return met.withColumn("__draws", taken)
@@ -253,8 +302,8 @@ def _drawn(rows: DataFrame, quotas: DataFrame, draws: DataFrame, source: str, u:
 
 def mixed_sizes(docs: DataFrame, **options) -> DataFrame:
     """One row a document: id, size, source_size, target, taken (words, repeats counted)."""
-    sizes, quotas, draws = plan(docs, **options)
-    return _drawn(sizes, quotas, draws, "source", "u").select(
+    sizes, quotas, draws, further = plan(docs, **options)
+    return _drawn(sizes, quotas, draws, further, "source", "u").select(
         "id", "size", F.col("__words").alias("source_size"), F.col("__target").alias("target"),
         (F.col("size") * F.size("__draws")).alias("taken"),
     )
@@ -269,10 +318,10 @@ def mix(
 
     Rows of a shard lie together, shuffled by a random key. Texts move once, to their shard.
     """
-    _, quotas, draws = plan(docs, id_col, text_col, source_col, shards, seed)
+    _, quotas, draws, further = plan(docs, id_col, text_col, source_col, shards, seed)
     u, shard = free_name(docs, "place"), free_name(docs, "shard")
     rows = docs.withColumn(u, place(F.col(id_col), text_or_empty(text_col), seed))
-    met = _drawn(rows, quotas, draws, source_col, u).select(*docs.columns, u, F.explode("__draws").alias("__draw"))
+    met = _drawn(rows, quotas, draws, further, source_col, u).select(*docs.columns, u, F.explode("__draws").alias("__draw"))
     order = F.xxhash64(F.lit(seed), u, F.col("__draw.pass"))
     # The place splits a shard over several tasks, so that no task holds a whole one.
     return (

@@ -123,6 +123,22 @@ def test_mix(spark, corpus):
     assert mixing.mixed_sizes(frame(spark, [])).count() == 0 == mixing.mix(frame(spark, [])).count()
 
 
+def test_mix_goes_on_after_a_long_document(spark):
+    """A document larger than the room left does not end the partial pass."""
+    rows = [(i, "w " * (4000 if i % 150 == 0 else 5 + i % 3), None, "a") for i in range(1500)]
+    docs = frame(spark, rows)
+    got = mixing.mixed_sizes(docs, radix_bits=4, cell_docs=16).collect()
+    part = round(got[0]["target"] - got[0]["source_size"])
+    again = {r["id"]: r["taken"] - r["size"] for r in got}
+    places = sorted((int(hashlib.md5(f"7|{r['id']}".encode()).hexdigest()[:15], 16), r["id"], r["size"]) for r in got)
+    room, wanted = part, {}
+    for _, i, n in places:
+        wanted[i] = n if n <= room else 0
+        room -= wanted[i]
+    assert again == wanted and any(n == 0 for n in wanted.values())
+    assert mixing.mix(docs).count() == 1500 + sum(n > 0 for n in wanted.values())
+
+
 def test_splitting_tree_is_exact(spark):
     slots = spark.createDataFrame([(s, i) for s, n in (("a", 37), (None, 5), ("b", 90)) for i in range(n)], "source string, slot long")
     rows = mixing._split(slots, 8, 1).collect()
