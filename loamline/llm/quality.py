@@ -3,11 +3,13 @@
 The references are learnt from all documents: for each language the shares of character
 classes, and of its common words (each at least ``COMMON`` of the language's words). A
 document is compared with the reference of its language by the Jensen-Shannon distance of
-either histogram, where it is long enough for one; documents without a language, or in one
-that under ``LEAST_LANGUAGE`` of the documents have, are compared with the reference of all.
+either histogram, where it is long enough for one. A language that under ``LEAST_LANGUAGE`` of
+the documents have has a reference too if they hold ``LEAST_REFERENCE`` words, and else its
+documents get no verdict from distances. Documents without a language are compared with the
+reference of all.
 
-Both share bounds also bound the references: at most 100 languages with 250 words each, so
-they may pass through the driver and be broadcast. Everything about one document is worked
+At most 100 languages have that share, with 250 words each, so their references may pass
+through the driver; the others stay a table. Everything about one document is worked
 out in its own row: no document is shuffled. Only DataFrame and SQL functions are used.
 
 Null texts have no words and fail the base rule, as do short texts.
@@ -22,6 +24,9 @@ from loamline.llm.shared import BLANKS, text_or_empty, written
 
 COMMON = 0.004
 LEAST_LANGUAGE = 0.01
+#: Words a rarer language must have for a reference, and rarer languages that are broadcast.
+LEAST_REFERENCE = 10_000
+BROADCAST_LANGUAGES = 2_000
 #: Fewest words and signs for which a histogram is compared.
 LEAST_WORDS = 100
 LEAST_SIGNS = 400
@@ -90,9 +95,13 @@ def with_repeats(df: DataFrame) -> DataFrame:
     ).drop("__keys", "__hits", "__bits", "__mask")
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[tuple]:
+_REFERENCE = "__key string, __q_signs array<double>, __q_ids array<bigint>, __q_words array<double>"
+
+
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[tuple], DataFrame]:
     """(key, class shares, word hashes, word shares) of each language that
-    ``LEAST_LANGUAGE`` of the documents have (key ``=`` and its name), and of all (key empty)."""
+    ``LEAST_LANGUAGE`` of the documents have (key ``=`` and its name), and of all (key empty);
+    the same of each rarer language with enough words, as a table."""
     lang = F.col(lang_col).cast("string")
     narrow = docs.select(lang.alias("lang"), F.col(text_col).alias("text"))
     sums = measured(narrow).groupBy("lang").agg(
@@ -104,12 +113,13 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     signs = {f"={r['lang']}": [r[c] or 0.0 for c in CLASSES] for r in held.collect()}
     signs[""] = [total[c] or 0.0 for c in CLASSES]
 
-    key = _key(F.col("lang"), signs)
-    hashed = narrow.select(key.alias("key"), F.explode(_hashes(_words(text_or_empty("text")))).alias("word"))
-    # Rows with the empty key are those of no held language.
+    hashed = narrow.select(
+        _key(F.col("lang")).alias("key"), F.explode(_hashes(_words(text_or_empty("text")))).alias("word")
+    )
     counts = written(hashed.groupBy("key", "word").agg(F.count("*").alias("n")), "words")
-    words = {r["key"]: r["n"] for r in counts.groupBy("key").agg(F.sum("n").alias("n")).collect()}
-    all_words = sum(words.values())
+    totals = written(counts.groupBy("key").agg(F.sum("n").alias("n")), "totals")
+    words = {r["key"]: r["n"] for r in totals.where(F.col("key").isin([k for k in signs if k])).collect()}
+    all_words = totals.agg(F.sum("n")).first()[0] or 0
     least = F.lit(None)
     for k in signs:
         if k:
@@ -124,7 +134,25 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         whole = sum(counted) or 1.0
         listed = sorted(common[k])
         out.append((k, [c / whole for c in counted], [w for w, _ in listed], [q for _, q in listed]))
-    return out
+    return out, _rare(sums, counts, totals, [k for k in signs])
+
+
+def _rare(sums: DataFrame, counts: DataFrame, totals: DataFrame, held: list[str]) -> DataFrame:
+    rare = totals.where(~F.col("key").isin(held) & (F.col("n") >= LEAST_REFERENCE)).select("key", F.col("n").alias("all"))
+    common = counts.join(rare, "key").where(F.col("n") >= COMMON * F.col("all")).groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("all")).alias("q")))).alias("common")
+    )
+    whole = sum((F.col(c) for c in CLASSES[1:]), F.col(CLASSES[0]))
+    classes = sums.select(_key(F.col("lang")).alias("key"), F.array(*[F.col(c) / whole for c in CLASSES]).alias("signs"))
+    none = F.array().cast("array<struct<word:bigint,q:double>>")
+    table = rare.join(classes, "key").join(common, "key", "left").withColumn("common", F.coalesce("common", none))
+    return written(
+        table.select(
+            F.col("key").alias("__key"), F.col("signs").alias("__q_signs"),
+            F.col("common.word").alias("__q_ids"), F.col("common.q").alias("__q_words"),
+        ),
+        "rare",
+    )
 
 
 def _words(text: Column) -> Column:
@@ -135,9 +163,8 @@ def _hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _key(lang: Column, keys) -> Column:
-    named = F.concat(F.lit("="), lang)
-    return F.when(named.isin([k for k in keys if k]), named).otherwise(F.lit(""))
+def _key(lang: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), lang), F.lit(""))
 
 
 def _divergence(p: str, q: str) -> str:
@@ -156,15 +183,19 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
     """The documents with ``__words``, ``__signs``, ``__symbols``, ``__dup_lines``,
     ``__repeats``, ``__base_failed``, ``__word_distance``, ``__sign_distance`` (null where the
     text is too short for one) and ``__kept``."""
-    refs = references(docs, text_col, lang_col)
-    table = docs.sparkSession.createDataFrame(
-        refs, "__key string, __q_signs array<double>, __q_ids array<bigint>, __q_words array<double>"
-    )
+    refs, rare = references(docs, text_col, lang_col)
+    table = docs.sparkSession.createDataFrame(refs, _REFERENCE)
     df = with_repeats(measured(docs, text_col))
-    df = df.withColumn("__key", _key(F.col(lang_col).cast("string"), [r[0] for r in refs]))
-    df = df.join(F.broadcast(table), "__key")
+    df = df.withColumn("__key", _key(F.col(lang_col).cast("string")))
+    n_rare = rare.count()
+    if n_rare <= BROADCAST_LANGUAGES:
+        df = df.join(F.broadcast(table.unionByName(rare)), "__key", "left")
+    else:
+        df = df.join(table.unionByName(rare), "__key", "left")
     every = sorted({w for r in refs for w in r[2]})
     common = F.filter("__h", lambda h: h.isin(every)) if every else F.array().cast("array<bigint>")
+    if n_rare:
+        common = F.when(F.col("__key").isin([r[0] for r in refs]), common).otherwise(F.col("__h"))
     df = df.withColumn("__common", F.sort_array(F.filter(common, lambda h: F.array_contains("__q_ids", h))))
     df = df.withColumn(
         "__ends",
@@ -187,8 +218,8 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
         f"(p, q) -> {_divergence('p', 'q')}), 0D, (a, x) -> a + x)"
     )
     df = df.withColumns({
-        "__word_distance": F.when(F.col("__words") >= LEAST_WORDS, _distance(words)),
-        "__sign_distance": F.when(F.col("__signs") >= LEAST_SIGNS, _distance(signs)),
+        "__word_distance": F.when(F.col("__q_ids").isNotNull() & (F.col("__words") >= LEAST_WORDS), _distance(words)),
+        "__sign_distance": F.when(F.col("__q_ids").isNotNull() & (F.col("__signs") >= LEAST_SIGNS), _distance(signs)),
         "__base_failed": (F.col("__words") < BASE_WORDS) | (100 * F.col("__repeats") > 50 * F.col("__words")),
     })
     far = (F.coalesce("__word_distance", F.lit(0.0)) > MOST_WORD_DISTANCE) | (

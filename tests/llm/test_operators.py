@@ -165,6 +165,25 @@ def test_quality(spark, corpus):
     assert 500 not in kept and 400 in kept
 
 
+def test_quality_of_rare_languages(spark):
+    """Clean documents of a language under 1% are held against their own language, or not at all."""
+    rng = random.Random(12)
+    def say(letters, n):
+        common = [letters[k % 10] + letters[k // 10] for k in range(30)]
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else "".join(rng.choices(letters, k=8)) for _ in range(n))
+    rows = [(i, say("abcdefghij", 60), "en", "a") for i in range(1600)]
+    rows += [(5000 + i, say("αβγδεζηθικ", 1200), "el", "a") for i in range(12)]
+    rows += [(6000, say("жзийклмноп", 300), "ru", "a")]
+    rows += [(7000, " ".join("#$%&" for _ in range(300)) + " " + say("αβγδεζηθικ", 300), "el", "a")]
+    got = {r["id"]: r for r in quality.scored(frame(spark, rows)).where("id >= 5000").collect()}
+    clean = [got[5000 + i] for i in range(12)]
+    assert not any(r["base_failed"] for r in got.values() if r["id"] != 7000)
+    assert all(r["kept"] and r["sign_distance"] is not None and r["word_distance"] is not None for r in clean)
+    assert got[6000]["kept"] and got[6000]["sign_distance"] is None and got[6000]["word_distance"] is None
+    assert got[7000]["sign_distance"] > quality.MOST_SIGN_DISTANCE and not got[7000]["kept"]
+    assert not any(r["kept"] for r in quality.scored(frame(spark, [(1, None, "el"), (2, "a b", "ru")])).collect())
+
+
 def test_secrets(spark):
     rng = random.Random(4)
     key = "".join(rng.choice(secret_spans.ALPHABETS["base62"]) for _ in range(40))
