@@ -211,7 +211,8 @@ def index_arcs(manifest: DataFrame, folder: str) -> DataFrame:
             for name in batch.column(0).to_pylist():
                 rows = []
                 for record in _arc_file(folder, name):
-                    if record.fields["URL"].startswith("filedesc:"):
+                    # The version block is the file's first record; a page may have such an address.
+                    if record.offset == 0:
                         continue
                     head, _, payload = http_split(record.body)
                     page = head.get("X-Page-Id")

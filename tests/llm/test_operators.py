@@ -319,3 +319,8 @@ def test_archives(spark):
     assert [r["payload_digest"] for r in got if r["payload_bytes"] == 4] == [digest] * 3
     assert {r["record_type"] for r in arc_to_warc.archived(pages(spark, rows), least_bytes=10**6).collect()} == {"response"}
     assert arc_to_warc.archived(pages(spark, [])).count() == 0
+
+
+def test_archives_keep_pages_named_like_the_version_block(spark):
+    rows = [(1, "filedesc://x", "a", None, None), (2, "u", "b", None, None)]
+    assert {r["page_id"] for r in arc_to_warc.archived(pages(spark, rows)).collect()} == {1, 2}
