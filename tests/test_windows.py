@@ -222,3 +222,49 @@ def test_window_bounds(spark):
     first, second = df.select(w["1y"][0], w["spring"][0], w["spring"][1], w["clim10"][0]).collect()
     assert list(first) == [dt.date(2011, 2, 28), dt.date(2011, 3, 1), dt.date(2011, 6, 1), dt.date(2002, 1, 1)]
     assert second[1] == dt.date(2012, 3, 1)
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 200])
+def test_quantiles_with_ties(spark, hot_rows):
+    """Four of five values are one and the same; two value columns, the second with gaps."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    v = np.where(rng.random(n) < 0.8, 5.0, rng.normal(5, 2, n).round(2))
+    w = np.where(rng.random(n) < 0.3, np.nan, rng.integers(0, 4, n))
+    days = pd.Timestamp("2009-01-01") + pd.to_timedelta(rng.integers(0, 700, n), "D")
+    frame = pd.DataFrame({"cell_id": rng.choice([1, 1, 1, 2], n), "ts": days, "v": v, "w": w})
+    rows = [(int(c), t.to_pydatetime(), float(a), None if np.isnan(b) else float(b)) for c, t, a, b in frame.itertuples(index=False)]
+    series = spark.createDataFrame(rows, "cell_id BIGINT, ts TIMESTAMP_NTZ, v DOUBLE, w DOUBLE")
+    cutoffs = [dt.date(2010, 3, 1), dt.date(2010, 6, 17), dt.date(2010, 11, 30), dt.date(2030, 1, 1)]
+    targets = distinct_targets(spark.createDataFrame([(c, d) for c in (1, 2, 3) for d in cutoffs], "cell_id BIGINT, cutoff DATE"))
+    probs = (0.0, 0.1, 0.5, 0.9, 1.0)
+    got = {(r["cell_id"], r["cutoff"]): r for r in window_quantiles(series, targets, "1y", ["v", "w"], probs, hot_rows).collect()}
+    assert len(got) == 6
+    for (cell, cutoff), row in got.items():
+        values = inside(frame, cell, cutoff, "1y")
+        for name in ("v", "w"):
+            assert row[name] == pytest.approx(list(np.quantile(values[name].dropna(), probs)), abs=1e-12)
+
+
+def jobs(spark, work):
+    """Jobs that ``work`` starts."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        result = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_run_nothing_beforehand(data, spark):
+    series, targets, *_ = data
+    found, n = jobs(spark, lambda: window_quantiles(series, targets, "1y", ["v"], (0.25, 0.75), 500))
+    assert n == 0
+    final = plan_of(found).split("Initial Plan")[0]
+    # The counts by value have one exchange; every other reader of them uses it again.
+    assert final.count("Exchange hashpartitioning(cell_id#") > 0 and "ReusedExchange" in final
