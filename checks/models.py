@@ -13,8 +13,9 @@ from checks.sources import scratch
 from loamline.operators import encode, model, stack
 from loamline.operators.conformal import conformal_rank
 from loamline.plans import maps
-from loamline.schema import NODATA, TARGETS
+from loamline.schema import DEPTHS_CM, NODATA, TARGETS
 from loamline.session import checkpointed
+from loamline.sources import snapshots
 from loamline.streaming.tiles import score_new_tiles, tile_stream
 
 FEATURES = ["z_mid", "caco3", "bd", "clay_pct", "LRR_group", "LU_scraped"]
@@ -416,19 +417,22 @@ def run_pending(spark, sf):
     )
 
 
+PUBLISHED = "tile STRING, depth_cm DOUBLE, row BIGINT, col BIGINT, valid_data_mask FLOAT"
+
+
 @query(
     "M13s_stream_tiles",
-    f"""WITH {TILES} SELECT tile, 5.0::DOUBLE AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_valid
-        FROM px GROUP BY tile""",
+    f"""WITH {TILES} SELECT tile, d AS depth_cm, count(*) AS n_pixels, count(*) FILTER (ok) AS n_valid
+        FROM px CROSS JOIN (VALUES {", ".join(f"({d}::DOUBLE)" for d in DEPTHS_CM)}) v(d) GROUP BY tile, d""",
 )
 def stream_tiles(spark, sf):
-    """The same job as a file stream over tile files."""
+    """The same job as a file stream over tile files, at all depths."""
     source, out, state = scratch(spark), scratch(spark), scratch(spark)
     pixels = tiles(spark, sf)
     pixels.write.parquet(source)
     stream = tile_stream(spark, source, pixels.schema)
-    score_new_tiles(stream, bundles(spark, sf), out, state, DEPTHS[:1], lrr_lookup(spark, sf)).awaitTermination()
-    maps_ = spark.read.parquet(out).withColumn("depth_cm", F.col("depth_cm").cast("double"))
+    score_new_tiles(stream, bundles(spark, sf), out, state, DEPTHS_CM, lrr_lookup(spark, sf)).awaitTermination()
+    maps_ = snapshots.read_snapshot(spark, out, PUBLISHED)
     return maps_.groupBy("tile", "depth_cm").agg(
         F.count("*").alias("n_pixels"), F.count_if(F.col("valid_data_mask") == 1).alias("n_valid")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks import standins as S
 from checks.registry import query, round_all, rounded, table
 from loamline.session import checkpoint_dir
-from loamline.sources import sinks, tables
+from loamline.sources import sinks, snapshots, tables
 
 ALL = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -203,25 +203,45 @@ MAP_PIXELS = """px AS (
 )
 def map_sink(spark, sf):
     path = scratch(spark)
-    maps = map_pixels(spark, sf)
-    sinks.write_maps(maps, path)
-    # Written again for one depth only: the other partitions must stay.
-    sinks.write_maps(maps.where("depth_cm = 5"), path)
-    back = spark.read.parquet(path).withColumn("depth_cm", F.col("depth_cm").cast("double"))
+    pixels_ = map_pixels(spark, sf)
+    snapshots.publish(pixels_.where("row % 2 = 0"), path)
+    snapshots.publish(pixels_.where("row % 2 = 1"), path)
+    # One depth is published again in place of the former; the other pairs stay.
+    snapshots.publish(pixels_.where("depth_cm = 5"), path, replace=True)
+    back = snapshots.read_snapshot(spark, path, pixels_.schema)
     return back.groupBy("tile", "depth_cm").agg(
         F.count("*").alias("n"), rounded(F.sum("band1")).alias("total")
     )
 
 
+EXACT = "CAST(CAST({c} AS DECIMAL(38,10)) AS VARCHAR)"
+NAMED = " || ',' || ".join(['CAST("row" AS VARCHAR)', "CAST(col AS VARCHAR)", *[EXACT.format(c=c) for c in ("band1", "band2", "valid_data_mask")]])
+
+
 @query(
     "S16_output_qc",
-    f"""WITH {MAP_PIXELS} SELECT tile, depth_cm, count(*) AS n_pixels,
-        count(*) FILTER (valid_data_mask = 1) AS n_valid, TRUE AS has_fingerprint
-        FROM px GROUP BY tile, depth_cm""",
+    f"""WITH {MAP_PIXELS},
+        leaf AS (
+          SELECT depth_cm, tile, count(*) AS n_pixels, count(*) FILTER (valid_data_mask = 1) AS n_valid,
+                 CAST(sum(('0x' || substr(sha256({NAMED}), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS fingerprint
+          FROM px GROUP BY depth_cm, tile),
+        leaves AS (
+          SELECT *, substr(sha256(tile), 1, 3) AS branch,
+                 sha256(tile || '|' || {EXACT.format(c='depth_cm')} || '|' || n_pixels || '|' || fingerprint) AS digest FROM leaf),
+        branches AS (SELECT depth_cm, branch, sum(n_pixels) AS n_pixels, sha256(string_agg(digest, '' ORDER BY tile)) AS digest
+                     FROM leaves GROUP BY depth_cm, branch),
+        depths AS (SELECT depth_cm, sum(n_pixels) AS n_pixels, sha256(string_agg(digest, '' ORDER BY branch)) AS digest
+                   FROM branches GROUP BY depth_cm)
+        SELECT 'tile' AS level, depth_cm, tile, n_pixels, n_valid, fingerprint, digest FROM leaves
+        UNION ALL SELECT 'depth', depth_cm, NULL, n_pixels::BIGINT, NULL, NULL, digest FROM depths
+        UNION ALL SELECT 'map', NULL, NULL, sum(n_pixels)::BIGINT, NULL, NULL, sha256(string_agg(digest, '' ORDER BY depth_cm))
+        FROM depths""",
 )
 def output_qc(spark, sf):
-    qc = sinks.output_qc(map_pixels(spark, sf), ["band1", "band2", "valid_data_mask"])
-    return qc.select(
-        "tile", "depth_cm", "n_pixels", "n_valid",
-        F.col("fingerprint").isNotNull().alias("has_fingerprint"),
-    )
+    """Counts and fingerprints by tile and depth, and the digests of tiles, depths and map."""
+    maps = map_pixels(spark, sf)
+    bands = ["band1", "band2", "valid_data_mask"]
+    tree = snapshots.merkle(maps, bands).where("level <> 'branch'")
+    qc = sinks.output_qc(maps, bands).drop("n_pixels")
+    joined = tree.join(qc, ["tile", "depth_cm"], "left")
+    return joined.select("level", "depth_cm", "tile", "n_pixels", "n_valid", "fingerprint", "digest")

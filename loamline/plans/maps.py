@@ -12,7 +12,8 @@ from loamline.operators.model import Bundle
 from loamline.operators.stack import at_depths, valid_mask
 from loamline.schema import DEPTHS_CM, NODATA, resolve_bands
 from loamline.session import bounded_broadcast, checkpointed
-from loamline.sources.sinks import MAP_BANDS, output_qc, read_maps, write_maps
+from loamline.sources.sinks import MAP_BANDS, output_qc
+from loamline.sources.snapshots import PAIR, pixel_sums, publish, published_pairs, read_snapshot
 
 PIXEL = ["tile", "row", "col"]
 
@@ -84,41 +85,36 @@ def score_tiles(
 def run_pending(
     tiles: DataFrame, bundles: Sequence[Bundle], path: str,
     depths: Sequence[float] = DEPTHS_CM, lrr: DataFrame | None = None, overwrite: bool = False,
+    batch: str | None = None, files: DataFrame | None = None,
 ) -> DataFrame | None:
-    """Scores what is not published yet and returns the QC rows of the (tile, depth) pairs it
-    went through; None if all of them were complete.
-
-    A pair is complete if number and sum of hashes of its pixels equal those of ``tiles``.
-    In a pair that is published in part only the missing pixels are scored and added, so a
-    tile may come in several files and a repeated run changes nothing. ``overwrite`` scores
-    and replaces every pair.
+    """Scores what is not published yet, publishes it in one commit and returns the QC rows of
+    the (tile, depth) pairs it went through; None if all of them were complete.
+
+    A pair is complete if number and sum of hashes of its pixels, as the manifest has them,
+    equal those of ``tiles``. In a pair that is published in part only the missing pixels are
+    scored and added, so a tile may come in several files and a repeated run changes nothing;
+    published pixels are read for such pairs alone. ``overwrite`` scores and replaces every
+    pair. ``batch`` and ``files`` go to the ledger.
     """
+    spark = tiles.sparkSession
     tiles = tiles.withColumn("tile", F.col("tile").cast("string"))
-    wanted = at_depths(_pixel_sums(tiles, ["tile"]), depths, "depth_cm")
-    schema = wanted.join(tiles.select(*PIXEL), "tile").select(*PIXEL, "depth_cm").schema
-    names = bounded_broadcast(tiles.select("tile").distinct())
-    done = read_maps(tiles.sparkSession, path, schema).join(names, "tile", "left_semi")
+    wanted = at_depths(pixel_sums(tiles, ["tile"]), depths, "depth_cm")
     if overwrite:
         todo = wanted.withColumn("begun", F.lit(False))
     else:
-        had = _pixel_sums(done, ["tile", "depth_cm"]).withColumnsRenamed({"n": "had", "mark": "had_mark"})
+        had = published_pairs(spark, path).withColumnsRenamed({"n": "had", "mark": "had_mark"})
         same = (F.col("n") == F.col("had")) & (F.col("mark") == F.col("had_mark"))
-        todo = wanted.join(had, ["tile", "depth_cm"], "left").withColumn("begun", F.col("had").isNotNull()).where(
+        todo = wanted.join(had, PAIR, "left").withColumn("begun", F.col("had").isNotNull()).where(
             ~F.coalesce(same, F.lit(False))
         )
-    todo = checkpointed(todo.select("tile", "depth_cm", "begun"))
+    todo = checkpointed(todo.select(*PAIR, "begun"))
     if todo.isEmpty():
         return None
-    begun = todo.where("begun")
-    known = None if begun.isEmpty() else done.join(begun, ["tile", "depth_cm"], "left_semi")
+    begun, known = todo.where("begun"), None
+    if not begun.isEmpty():
+        schema = wanted.join(tiles.select(*PIXEL), "tile").select(*PIXEL, "depth_cm").schema
+        known = read_snapshot(spark, path, schema).join(begun, PAIR, "left_semi")
     scored = score_tiles(tiles, bundles, depths, lrr, todo, known)
-    write_maps(scored, path, append=not overwrite)
-    maps = read_maps(tiles.sparkSession, path, scored.schema)
-    bands = [b for b in MAP_BANDS if b in maps.columns]
-    # Fixed here: a plan left open would meet the files of later runs.
-    return checkpointed(output_qc(maps.join(todo, ["tile", "depth_cm"], "left_semi"), bands))
-
-
-def _pixel_sums(pixels: DataFrame, by: Sequence[str]) -> DataFrame:
-    mark = F.sum(F.xxhash64(F.col("row").cast("long"), F.col("col").cast("long")).cast("decimal(38,0)"))
-    return pixels.groupBy(*by).agg(F.count("*").alias("n"), mark.alias("mark"))
+    version = publish(scored, path, overwrite, batch, files)
+    maps = read_snapshot(spark, path, scored.schema, version)
+    return output_qc(maps.join(todo, PAIR, "left_semi"), [b for b in MAP_BANDS if b in maps.columns])

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from loamline.schema import require_safe_names
+from loamline.sources.snapshots import row_hash
 
 MAP_BANDS = [
     f"{target}_{part}"
@@ -32,34 +31,19 @@ def write_covariates(df: DataFrame, path: str) -> None:
     _write_parts(df, path, ["covariate_cutoff_date"])
 
 
-def write_maps(df: DataFrame, path: str, append: bool = False) -> None:
-    """Prediction maps by depth and tile; the partitions present in ``df`` are replaced, or
-    with ``append`` added to."""
-    _write_parts(df, path, ["depth_cm", "tile"], "append" if append else "overwrite")
-
-
-def read_maps(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Published maps; with the types given, a tile named 003 keeps its name."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def _write_parts(df: DataFrame, path: str, parts: Sequence[str], mode: str = "overwrite") -> None:
+def _write_parts(df: DataFrame, path: str, parts: Sequence[str]) -> None:
     # The rebalance gives each folder few files; adaptive execution splits a busy one.
     (
-        df.hint("rebalance", *parts).write.mode(mode)
+        df.hint("rebalance", *parts).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
     )
 
 
 def output_qc(maps: DataFrame, bands: Sequence[str] = tuple(MAP_BANDS)) -> DataFrame:
-    """Per tile and depth: pixels, valid pixels and an order-free fingerprint of the values."""
+    """Per tile and depth: pixels, valid pixels and an order-free fingerprint of the values, a
+    sum, so that a row that occurs twice changes it."""
     return maps.groupBy("tile", "depth_cm").agg(
         F.count("*").alias("n_pixels"),
         F.sum(F.col("valid_data_mask").eqNullSafe(1.0).cast("int")).cast("bigint").alias("n_valid"),
-        F.bit_xor(F.xxhash64("row", "col", *bands)).alias("fingerprint"),
+        F.sum(row_hash(maps, ["row", "col", *bands])).cast("decimal(38,0)").cast("string").alias("fingerprint"),
     )

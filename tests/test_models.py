@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from loamline.operators import encode, model
 from loamline.plans import maps
 from loamline.schema import NODATA, TARGETS, ContractError
-from loamline.sources import sinks, tables
-from loamline.streaming.tiles import score_new_tiles, tile_stream
+from loamline.sources import sinks, snapshots, tables
+from loamline.streaming.tiles import score_batch, score_new_tiles, tile_stream
 
 FEATURES = ["z_mid", "clay_pct", "EL", "LU_scraped"]
 SMALL = model.Boosting(rounds=3, max_depth=2, learning_rate=0.4)
@@ -160,7 +160,8 @@ def test_second_run_writes_nothing(spark, tiles, bundles, tmp_path):
     done = sorted((r["tile"], r["depth_cm"]) for r in second.collect())
     assert done == [("t0", 15.0), ("t1", 5.0), ("t1", 15.0)]
     assert maps.run_pending(tiles, bundles, out, (5.0, 15.0)) is None
-    assert spark.read.parquet(out).count() == 28
+    assert published(spark, out).count() == 28
+    assert published(spark, out, 1).count() == 6
 
 
 def test_tile_in_two_parts(spark, tiles, bundles, tmp_path):
@@ -174,7 +175,7 @@ def test_tile_in_two_parts(spark, tiles, bundles, tmp_path):
     second = maps.run_pending(named.where("row >= 6"), bundles, out, (5.0,)).collect()
     assert sorted((r["tile"], r["n_pixels"]) for r in second) == [("003", 6), ("004", 8)]
     assert maps.run_pending(named, bundles, out, (5.0,)) is None
-    assert spark.read.parquet(out).select("row", "col").distinct().count() == 14
+    assert published(spark, out).select("row", "col").distinct().count() == 14
     again = maps.run_pending(named, bundles, out, (5.0,), overwrite=True).collect()
     assert sorted((r["tile"], r["n_pixels"]) for r in again) == [("003", 6), ("004", 8)]
 
@@ -191,10 +192,93 @@ def test_stream_scores_each_tile_once(spark, tiles, bundles, tmp_path):
     tiles.where("tile = 't0'").write.parquet(source)
     stream = tile_stream(spark, source, tiles.schema)
     score_new_tiles(stream, bundles, out, state, (5.0,)).awaitTermination()
-    assert spark.read.parquet(out).count() == 6
+    assert published(spark, out).count() == 6
     tiles.where("tile = 't1'").write.mode("append").parquet(source)
     score_new_tiles(stream, bundles, out, state, (5.0,)).awaitTermination()
-    assert spark.read.parquet(out).count() == 14
+    assert published(spark, out).count() == 14
+    # With the state lost, the files come again; the ledger knows them.
+    score_new_tiles(stream, bundles, out, str(tmp_path / "new"), (5.0,)).awaitTermination()
+    assert published(spark, out).count() == 14 and snapshots.latest(spark, out) == 2
+    assert sorted(r["n"] for r in snapshots.sources(spark, out).groupBy("batch").agg(F.sum("n").alias("n")).collect()) == [6, 8]
+
+
+def test_killed_between_write_and_commit(spark, tiles, bundles, tmp_path, monkeypatch):
+    source, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    tiles.write.parquet(source)
+    stream = tile_stream(spark, source, tiles.schema)
+    commit = snapshots._commit
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(snapshots, "_commit", killed)
+    with pytest.raises(Exception, match="killed"):
+        score_new_tiles(stream, bundles, out, state, (5.0, 15.0)).awaitTermination()
+    # All files lie there, none of them is seen.
+    assert spark.read.parquet(f"{out}/data").count() == 28 and published(spark, out).count() == 0
+    monkeypatch.setattr(snapshots, "_commit", commit)
+    score_new_tiles(stream, bundles, out, state, (5.0, 15.0)).awaitTermination()
+    assert published(spark, out).count() == 28
+
+    # A batch that is replayed after its commit reads no pixel of the maps.
+    def no_scan(*_):
+        raise AssertionError("scan of the maps")
+
+    monkeypatch.setattr(maps, "read_snapshot", no_scan)
+    batch = spark.read.schema(tiles.schema).parquet(source).withColumn("source_file", F.col("_metadata.file_path"))
+    name = snapshots.commits(spark, out).first()["batch"]
+    assert score_batch(batch, name, bundles, out, (5.0, 15.0)) is False
+    assert score_batch(batch, "another name", bundles, out, (5.0, 15.0)) is False
+
+
+def test_reader_sees_none_or_all_of_a_publication(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "maps")
+    schema = "tile STRING, row INT, col INT, v DOUBLE, depth_cm DOUBLE"
+    pixels = spark.createDataFrame([("003", i, 0, float(i), d) for i in range(10) for d in (5.0, 15.0)], schema)
+    read = lambda version=None: snapshots.read_snapshot(spark, path, pixels.schema, version)
+    assert read().count() == 0 and snapshots.latest(spark, path) == 0
+    seen = []
+    commit = snapshots._commit
+    monkeypatch.setattr(snapshots, "_commit", lambda *a: seen.append(read().count()) or commit(*a))
+    snapshots.publish(pixels.where("row < 4"), path)
+    snapshots.publish(pixels.where("row >= 4"), path)
+    snapshots.publish(pixels.where("depth_cm = 5").withColumn("v", F.lit(-1.0)), path, replace=True)
+    snapshots.publish(pixels.limit(0), path)
+    assert seen == [0, 8, 20, 20]
+    assert [read(v).count() for v in range(5)] == [0, 8, 20, 20, 20]
+    assert [read(v).where("v = -1").count() for v in range(5)] == [0, 0, 0, 10, 10]
+    assert read().select("tile").distinct().collect()[0][0] == "003"
+    found = {r["depth_cm"]: (r["n"], r["mark"]) for r in snapshots.published_pairs(spark, path).collect()}
+    want = {r["depth_cm"]: (r["n"], r["mark"]) for r in snapshots.pixel_sums(pixels, ["depth_cm"]).collect()}
+    assert found == want
+
+
+def test_digests_find_what_differs(spark):
+    schema = "tile STRING, row INT, col INT, depth_cm DOUBLE, v FLOAT, w DOUBLE"
+    rows = [(f"t{k}", i, 0, d, float(k + i), None if i == 2 else 1.5 * i) for k in range(30) for i in range(4) for d in (5.0, 15.0)]
+    rows += [("x", 0, 0, 5.0, float("nan"), float("inf")), (None, 0, 0, 5.0, 1.0, 1.0)]
+    one = spark.createDataFrame(rows, schema)
+    tree = snapshots.merkle(one, ["v", "w"])
+    tops = lambda t: [r["digest"] for r in t.where("level = 'map'").collect()]
+    assert tops(tree) == tops(snapshots.merkle(spark.createDataFrame(rows[::-1], schema), ["v", "w"]))
+    assert {r["level"]: r["n"] for r in tree.groupBy("level").agg(F.sum("n_pixels").alias("n")).collect()} == dict.fromkeys(
+        ("tile", "branch", "depth", "map"), len(rows)
+    )
+    twice = snapshots.merkle(spark.createDataFrame([*rows, rows[0], rows[0]], schema), ["v", "w"])
+    changed = snapshots.merkle(spark.createDataFrame([*rows[:-5], ("t29", 1, 0, 15.0, -1.0, 1.5), *rows[-4:]], schema), ["v", "w"])
+    for other, want in ((twice, ("t0", rows[0][3])), (changed, (rows[-5][0], rows[-5][3]))):
+        assert tops(other) != tops(tree)
+        assert ("t0" if other is twice else "t29", want[1]) in {(r["tile"], r["depth_cm"]) for r in snapshots.differing_tiles(tree, other).collect()}
+    assert snapshots.differing_tiles(tree, tree).count() == 0 and tops(snapshots.merkle(one.limit(0), ["v", "w"])) == []
+
+
+def published(spark, path, version=None):
+    return snapshots.read_snapshot(spark, path, "tile STRING, row INT, col INT, depth_cm DOUBLE", version)
+
+
+def test_batches_without_rows(spark, tiles, bundles, tmp_path):
+    batch = tiles.limit(0).withColumn("source_file", F.lit("f"))
+    assert score_batch(batch, "b#0", bundles, str(tmp_path / "out")) is False
 
 
 def test_tables_round_trip(spark, tmp_path):
