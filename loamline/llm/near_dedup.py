@@ -54,18 +54,19 @@ _VALUE = _BYTE[_LOWER]
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
+#: Bytes that are hashed at once, and characters of a list of texts.
+CHUNK = 1 << 18
+SLICE = 200_000
 
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2^64."""
-    if not _POWERS or len(_POWERS[0]) < size:
-        _POWERS.clear()
-        for base in (_BASE, pow(_BASE, -1, 2**64)):
-            step = np.full(max(size, 1 << 20), base, np.uint64)
-            step[0] = 1
-            _POWERS.append(np.cumprod(step, dtype=np.uint64))
-    return _POWERS[0], _POWERS[1]
+def _powers(base: int) -> np.ndarray:
+    """Powers of an odd base modulo 2^64."""
+    step = np.full(CHUNK + 1, base, np.uint64)
+    step[0] = 1
+    return np.cumprod(step, dtype=np.uint64)
+
+
+_POWER, _INVERSE = _powers(_BASE), _powers(pow(_BASE, -1, 2**64))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -74,22 +75,54 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_sets(texts: list[str]) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text; A-Z count as a-z.
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of every word of the bytes; A-Z count as a-z.
 
-    Words are hashed by differences of running sums over all bytes at once.
+    Words are hashed by differences of running sums over a chunk of bytes at a time; a word
+    that a chunk's end cuts is carried on, so memory is bounded by the number of words.
     """
+    places, sums, sizes = [], [], []
+    held = None  # place, sum and size of a word that goes on
+    for at in range(0, len(data), CHUNK):
+        piece = data[at : at + CHUNK]
+        sign = ~_BLANK[piece]
+        run = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(np.where(sign, _VALUE[piece] * _POWER[: len(piece)], np.uint64(0)), out=run[1:])
+        first = np.flatnonzero(sign & ~np.concatenate([[False], sign[:-1]]))
+        last = np.flatnonzero(sign & ~np.concatenate([sign[1:], [False]])) + 1
+        total, size = (run[last] - run[first]) * _INVERSE[first], last - first
+        place = first + at
+        if held is not None:
+            if len(first) and first[0] == 0:
+                total[0] = np.uint64((held[1] + int(total[0]) * pow(_BASE, held[2], 2**64)) % 2**64)
+                size[0] += held[2]
+                place[0] = held[0]
+            else:
+                places.append(np.array([held[0]]))
+                sums.append(np.array([held[1]], np.uint64))
+                sizes.append(np.array([held[2]]))
+            held = None
+        if len(last) and last[-1] == len(piece):
+            held = int(place[-1]), int(total[-1]), int(size[-1])
+            place, total, size = place[:-1], total[:-1], size[:-1]
+        places.append(place)
+        sums.append(total)
+        sizes.append(size)
+    if held is not None:
+        places.append(np.array([held[0]]))
+        sums.append(np.array([held[1]], np.uint64))
+        sizes.append(np.array([held[2]]))
+    if not places:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(places), _mixed(np.concatenate(sums) + np.concatenate(sizes).astype(np.uint64))
+
+
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; A-Z count as a-z."""
     bodies = [t.encode() for t in texts]
     data = np.frombuffer(b" ".join(bodies) + b" ", np.uint8)
     ends = np.cumsum([len(b) + 1 for b in bodies])
-    power, inverse = _powers(len(data) + 1)
-    blank = _BLANK[data]
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(np.where(blank, np.uint64(0), _VALUE[data] * power[: len(data)]), out=sums[1:])
-    before = np.concatenate([[True], blank[:-1]])
-    first = np.flatnonzero(before & ~blank)
-    last = np.flatnonzero(~before & blank)
-    words = _mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    first, words = word_hashes(data)
     starts = np.searchsorted(first, np.concatenate([[0], ends[:-1]]))
     stops = np.searchsorted(first, ends)
     wide = len(words) - SHINGLE + 1
@@ -134,7 +167,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keys = batch.column(2).to_pylist()
         at = 0
-        for ids, texts in slices(iter([batch])):
+        for ids, texts in slices(iter([batch]), SLICE):
             sets = shingle_sets(texts)
             mins = np.stack([minima(s) for s in sets])
             bands = band_keys(mins)
