@@ -89,25 +89,14 @@ class Remembered:
         """The value of every string of every list."""
         if len(self.young) >= self.limit:
             self.old, self.young = self.young, {}
-        find = self.young.get
-        out, spots = [], []
-        for strings in lists:
-            values = list(map(find, strings))
-            at = -1
-            for _ in range(values.count(None)):
-                at = values.index(None, at + 1)
-                spots.append((values, at, strings[at]))
-            out.append(values)
-        new = []
-        for string in {s for _, _, s in spots}:
-            value = self.old.get(string)
-            if value is None:
-                new.append(string)
-            else:
-                self.young[string] = value
-        self.young.update(zip(new, self.learn(new)))
-        for values, at, string in spots:
-            values[at] = self.young[string]
+        young, old = self.young, self.old
+        new = set().union(*lists).difference(young)
+        if new:
+            met = new.intersection(old)
+            young.update(zip(met, map(old.__getitem__, met)))
+            fresh = list(new.difference(met))
+            young.update(zip(fresh, self.learn(fresh)))
+        out = [list(map(young.__getitem__, strings)) for strings in lists]
         for string in [s for s in new if len(s) > self.longest]:
-            del self.young[string]
+            del young[string]
         return out

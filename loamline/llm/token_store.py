@@ -51,6 +51,12 @@ LONG_PIECE = 64
 _PLAIN = "!-~¡-ᙿ"
 _UNSURE = re.compile(f"[^{_PLAIN}] ")
 _CUT = re.compile(f"(?<=[{_PLAIN}]) ")
+# So may a line feed between two such signs, and a comma or full stop behind a letter or digit
+# and before white space: each is a pre-token of its own. What follows such a cut is marked,
+# since no blank stands before it.
+_MARK = "\x01"
+_LETTER = "0-9A-Za-zªµºÀ-ÖØ-öø-ʯ"
+_WHOLE = re.compile(f"[^{_PLAIN}][ \n]|\n[^{_PLAIN}]|[^{_LETTER}][.,][ \n]")
 _STARTS = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x1680)]))
 
 
@@ -74,11 +80,16 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in found]
 
     def _after_blank(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece behind a blank.
+        """Ids of each piece behind a blank, or, where it is marked, of the piece alone."""
+        marked = [p for p in pieces if p[:1] == _MARK]
+        known = dict(zip(marked, self._alone([p[1:] for p in marked])))
+        others = [p for p in pieces if p[:1] != _MARK]
+        known.update(zip(others, self._behind_blank(others)))
+        return [known[p] for p in pieces]
 
-        Pieces without a blank of their own are encoded in one go: each of them begins with
-        the only token that opens with a blank.
-        """
+    def _behind_blank(self, pieces: list[str]) -> list[bytes]:
+        """Pieces without a blank of their own are encoded in one go: each of them begins with
+        the only token that opens with a blank."""
         plain = [p for p in pieces if p and " " not in p and p[0] in _STARTS]
         joined = self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0] if plain else None
         ids = np.array(joined.ids if joined else [], "<u4")
@@ -91,9 +102,20 @@ class Encoder:
         known.update(zip(rest, self._alone([" " + p for p in rest])))
         return [known[p] for p in pieces]
 
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """The text up to its first cut, and the pieces behind each cut."""
+        if _MARK in text:
+            return [text]
+        if not _WHOLE.search(text):
+            for signs in ("\n", ", ", ". "):
+                text = text.replace(signs, f" {_MARK}{signs}")
+            return text.split(" ")
+        return _CUT.split(text) if _UNSURE.search(text) else text.split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, four bytes an id."""
-        cut = [(_CUT.split(t) if _UNSURE.search(t) else t.split(" ")) for t in texts]
+        cut = [self._cut(t) for t in texts]
         heads = self._alone([c[0] for c in cut])
         tails = self.tails.values([c[1:] for c in cut])
         return [head + b"".join(tail) for head, tail in zip(heads, tails)]

@@ -19,7 +19,10 @@ ODD = [
 def texts():
     rng = random.Random(5)
     signs = " \n\tabehtxé▁  '中,.sß0189🙂"
-    return ODD + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(500)]
+    plain = ["word", "B", "é", "12", "don't", "x!", "%%", ", ", ". ", ".", ",", "\n", " ", " ", ".\n", ",\n", "\x01"]
+    mixed = ["".join(rng.choice(plain[: rng.choice((10, 13, 16, 17))]) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    lines = ["".join(rng.choice(("foo ", "bar, ", "Baz. ", "x\n", "y.\n", "z,\n", "q ")) for _ in range(60)) + "end" for _ in range(200)]
+    return ODD + mixed + lines + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(500)]
 
 
 def numbers(ids):
