@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,28 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder of this application below the shared folder; ``clear_scratch`` removes it."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/loamline-{spark.sparkContext.applicationId}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: computed once, lineage cut there.
+
+    Unlike a checkpoint the table has a known size, so joins with it are planned right, and its
+    readers take only the columns they need.
+    """
+    uri = f"{scratch_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(uri)
+    return df.sparkSession.read.schema(df.schema).parquet(uri)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes all that this application has stored; frames read from there end with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, weight: Column | None = None
 ) -> DataFrame:

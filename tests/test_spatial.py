@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamline.functions import spatial
-from loamline.operators import composite, terrain, zones
+from loamline.operators import composite, polygon_index, terrain, zones
 
 
 def polygon(ord_, points, name):
@@ -133,3 +133,69 @@ def test_slope_beside_negative_block_border(spark):
     df = spark.createDataFrame(cells, "row INT, col INT, elv DOUBLE")
     got = terrain.slope_aspect(df, cell_size=10.0).where("row BETWEEN -2 AND 0 AND col BETWEEN -2 AND 0").collect()
     assert len(got) == 9 and all(r["slope"] is not None for r in got)
+
+
+def even_odd(x, y, rings):
+    """The plain test over all edges."""
+    count = np.zeros(len(x), int)
+    for ring in rings:
+        a, b = np.asarray(ring), np.roll(np.asarray(ring), -1, axis=0)
+        for (x1, y1), (x2, y2) in zip(a, b):
+            if y1 != y2:
+                straddles = (y1 <= y) != (y2 <= y)
+                count += straddles & (x < x1 + (y - y1) * (x2 - x1) / (y2 - y1))
+    return count % 2 == 1
+
+
+def star(rng, n, centre, low, high):
+    angle = np.sort(rng.uniform(0, 2 * np.pi, n))
+    radius = rng.uniform(low, high, n)
+    return np.round(np.column_stack([centre[0] + radius * np.cos(angle), centre[1] + radius * np.sin(angle)]), 3)
+
+
+@pytest.mark.parametrize("most", [4, 48, 10**6])
+def test_leaves_equal_the_plain_test(spark, monkeypatch, most):
+    """Parts, holes and islands across many leaf borders; points on vertices, borders and edges."""
+    rng = np.random.default_rng(21)
+    shapes = {
+        1: [star(rng, 300, (0, 0), 5, 9), star(rng, 60, (0, 0), 1, 3), star(rng, 20, (0, 0), 0.3, 0.9)],
+        2: [star(rng, 40, (6, -7), 2, 4)],
+        3: [np.array([(-8.0, -8), (8, -8), (8, 8), (-8, 8)]), np.array([(-4.0, -4), (4, -4), (4, 4), (-4, 4)])],
+    }
+    rows = [polygon(o, ring.tolist(), f"p{o}") for o, rings in shapes.items() for ring in rings]
+    places = [*rng.uniform(-12, 12, (800, 2)).tolist(), *np.concatenate([r for v in shapes.values() for r in v]).tolist()]
+    places += [(i / 2, j / 2) for i in range(-20, 21) for j in range(-20, 21)]
+    x, y = np.array(places).T
+    monkeypatch.setattr(polygon_index.polygon_index, "__defaults__", (4.0, most))
+    hits = zones.candidates(points(spark, places), spark.createDataFrame(rows, SCHEMA)).where("inside")
+    got = {(r["point_id"], r["ord"]) for r in hits.select("point_id", "ord").collect()}
+    want = {(i, o) for o, rings in shapes.items() for i in np.flatnonzero(even_odd(x, y, rings))}
+    assert got == want
+
+
+def test_point_of_a_large_polygon_meets_few_edges(spark):
+    """100,000 edges: a leaf holds tens of them, and so does a point's test."""
+    n = 100_000
+    angle = np.arange(n) * 2 * np.pi / n
+    radius = 30 + np.sin(50 * angle) + 0.02 * np.sin(9000 * angle)
+    ring = np.column_stack([radius * np.cos(angle) - 100, radius * np.sin(angle) + 10])
+    shapes = spark.createDataFrame([polygon(1, ring.tolist(), "coast")], SCHEMA)
+    index = polygon_index.polygon_index(shapes)
+    rng = np.random.default_rng(3)
+    places = rng.uniform(-135, -65, (400, 2)) * [1, 0] + rng.uniform(-25, 45, (400, 2)) * [0, 1]
+    keyed = index.keyed(points(spark, places.tolist())).join(index.leaves, polygon_index.KEY)
+    assert keyed.agg(F.max(F.size("__edges"))).first()[0] <= polygon_index.EDGES
+    assert keyed.groupBy("point_id").count().where("count > 1").count() == 0
+    got = {r["point_id"]: r["inside"] for r in zones.inside_any(points(spark, places.tolist()), shapes).collect()}
+    x, y = places.T
+    off = np.hypot(x + 100, y - 10) - (30 + np.sin(50 * np.arctan2(y - 10, x + 100)))
+    clear = np.abs(off) > 0.1
+    assert clear.sum() > 380 and all(got[i] == (off[i] < 0) for i in np.flatnonzero(clear))
+
+
+def test_points_without_a_place(spark, shapes):
+    odd = spark.createDataFrame(
+        [(1, None, 1.0), (2, 1.0, None), (3, float("nan"), 1.0), (4, 1.0, 1.0)], "point_id INT, lat DOUBLE, lon DOUBLE"
+    )
+    assert {r["point_id"]: r["name"] for r in zones.pip_first(odd, shapes, ["name"]).collect()} == {1: None, 2: None, 3: None, 4: "square"}
+    assert zones.pip_first(odd, shapes.limit(0), ["name"]).where("name is not null").count() == 0
