@@ -10,7 +10,7 @@ from checks import standins as S
 from checks.registry import query, round_all, table
 from loamline.functions import physical
 from loamline.operators import composite, harmonic, stack
-from loamline.operators.blocks import Stat, distinct_targets, image_counts, window_stats
+from loamline.operators.blocks import Stat, distinct_targets, image_counts, in_time_range, window_stats
 from loamline.operators.window_join import window_join, window_quantiles, window_quartiles
 from loamline.operators.zones import asof_values, sample_cells
 from loamline.plans.covariates import array_cv, fire_frequency
@@ -232,7 +232,9 @@ def harmonic_monthly(spark, sf):
 def count_images(spark, sf):
     series, points, targets = inputs(spark, sf)
     parts = [
-        image_counts(series, targets, w).withColumnRenamed("n_images", f"n_images_{w}") for w in ("10y", "1y")
+        image_counts(in_time_range(series.select("ts"), targets, [w]).distinct(), targets, w)
+        .withColumnRenamed("n_images", f"n_images_{w}")
+        for w in ("10y", "1y")
     ]
     return round_all(parts[0].join(parts[1], "cutoff"))
 

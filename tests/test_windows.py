@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -11,7 +12,7 @@ from loamline.operators import blocks, harmonic
 from loamline.operators.blocks import Stat, distinct_targets, window_stats
 from loamline.operators.composite import bare_soil, soil_flags
 from loamline.operators.window_join import window_join, window_quantiles, window_quartiles
-from loamline.plans.covariates import array_cv, evapotranspiration, fire_frequency
+from loamline.plans.covariates import array_cv, evapotranspiration, fire_frequency, series_family
 
 
 def day(text):
@@ -257,14 +258,64 @@ def jobs(spark, work):
 
 
 def plan_of(df):
+    """The plan that ran."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan")[0]
 
 
-def test_quantiles_run_nothing_beforehand(data, spark):
+def exchanges_of_counts(plan):
+    """The exchanges of counts by value, made or used again; a stage may be shown only where it is reused."""
+    return set(re.findall(r"Exchange hashpartitioning\(cell_id#\w+, k#\w+, day#\w+, v#.*?\[plan_id=(\d+)\]", plan))
+
+
+def test_quantiles_run_nothing_beforehand(data, spark, tmp_path):
     series, targets, *_ = data
-    found, n = jobs(spark, lambda: window_quantiles(series, targets, "1y", ["v"], (0.25, 0.75), 500))
+    series.write.parquet(str(tmp_path / "series"))
+    stored = spark.read.parquet(str(tmp_path / "series"))
+    found, n = jobs(spark, lambda: window_quantiles(stored, targets, "1y", ["v"], (0.25, 0.75), 500))
     assert n == 0
-    final = plan_of(found).split("Initial Plan")[0]
+    final = plan_of(found)
     # The counts by value have one exchange; every other reader of them uses it again.
-    assert final.count("Exchange hashpartitioning(cell_id#") > 0 and "ReusedExchange" in final
+    assert len(exchanges_of_counts(final)) == 1 and final.count("ReusedExchange") >= 3
+
+
+def scans(plan):
+    return len(re.findall(r"FileScan parquet .*\bts#", plan))
+
+
+def test_a_dataset_is_scanned_once_and_once_for_quartiles(spark, data, tmp_path, monkeypatch):
+    """Sums, harmonic moments and image dates share a scan; only quartiles take another."""
+    series, targets, pandas, points = data
+    path = str(tmp_path / "series")
+    series.withColumn("w", F.col("v") * 2).write.parquet(path)
+    plans, stored = [], blocks.stored
+    monkeypatch.setattr(blocks, "stored", lambda df: plans.append(plan_of(df)) or stored(df))
+    stats = [Stat("v_mean", "v", "mean", "1y"), Stat("w_sum", "w", "sum", "5y")]
+    family = series_family(spark.read.parquet(path), targets, stats, ["v", "w"], ["v"])
+    assert [scans(p) for p in plans] == [1]
+    final = plan_of(family)
+    assert scans(final) <= 1 and len(exchanges_of_counts(final)) == 1
+    # The same as by separate scans.
+    alone = window_stats(series.withColumn("w", F.col("v") * 2), targets, stats)
+    fits = harmonic.harmonic_fit(series, targets, "10y", {"v": "v"})
+    got = {(r["cell_id"], r["cutoff"]): r for r in family.collect()}
+    for row in alone.collect():
+        same = got[row["cell_id"], row["cutoff"]]
+        assert same["w_sum"] == pytest.approx(row["w_sum"]) and same["v_mean"] == pytest.approx(row["v_mean"])
+    for row in fits.collect():
+        assert got[row["cell_id"], row["cutoff"]]["v_a1"] == pytest.approx(row["v_a1"])
+
+
+def test_images_of_other_cells_count(spark):
+    """A time counts as an image though no target's cell has a row in it."""
+    rows = [(1, day("2010-01-05"), 1.0), (2, day("2010-01-05"), 1.0), (2, day("2010-02-07"), None), (3, day("2001-02-07"), 2.0)]
+    series = spark.createDataFrame(rows, "cell_id BIGINT, ts TIMESTAMP_NTZ, v DOUBLE")
+    targets = distinct_targets(spark.createDataFrame([(1, dt.date(2010, 6, 17))], "cell_id BIGINT, cutoff DATE"))
+    stats = [Stat("s", "v", "sum", "10y"), Stat("t", "v", "max", "1y")]
+    shared = blocks.shared_partials(series, targets, stats)
+    images = blocks.images_of(shared)
+    assert sorted(r["ts"].isoformat()[:10] for r in images.collect()) == ["2001-02-07", "2010-01-05", "2010-02-07"]
+    counts = {w: blocks.image_counts(images, targets, w).first()["n_images"] for w in ("1y", "10y")}
+    assert counts == {"1y": 2, "10y": 3}
+    row = window_stats(series, targets, stats, shared=shared).first()
+    assert (row["s"], row["t"]) == (1.0, 1.0)
