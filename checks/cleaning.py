@@ -220,6 +220,29 @@ def clean_relational(spark, sf):
     )
 
 
+EXPORTED = """exported AS (SELECT * FROM dated
+  WHERE lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180 AND NOT (lat = 0 AND lon = 0)
+    AND soc_pct >= 0 AND observation_date IS NOT NULL)"""
+
+
+@query(
+    "LB_relational_qc",
+    f"""WITH {LAB}, {EXPORTED}, counts AS (
+          SELECT count(DISTINCT cooplabmst_id) AS source_lab_rows, count(*) AS joined_rows, count(soc_pct) AS rows_with_soc,
+                 count(bulk_density) AS rows_with_measured_bulk_density, count(hzdesg) AS rows_with_horizon_designation,
+                 count(sampled) AS rows_with_explicit_sampling_date,
+                 count(*) FILTER (observation_date_source = 'award_start_date_proxy') AS rows_using_award_start_proxy,
+                 count(*) FILTER (observation_date_source = 'missing') AS rows_missing_all_date_sources,
+                 (SELECT count(*) FROM exported) AS export_rows,
+                 (SELECT count(DISTINCT dsp_pedon_id) FROM exported) AS export_unique_pedons,
+                 (SELECT count(bulk_density) FROM exported) AS export_rows_with_measured_bulk_density FROM dated)
+        UNPIVOT counts ON COLUMNS(*) INTO NAME name VALUE n""",
+)
+def relational_qc(spark, sf):
+    joined = observations.join_relational(lab_tables(spark, sf))
+    return observations.relational_qc(joined, observations.clean_relational(joined))
+
+
 @query(
     "J03_row_counts",
     """SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_ids FROM orders
@@ -295,6 +318,32 @@ def clean_campaign(spark, sf):
     )
 
 
+def _named(counts: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, CAST(({sql}) AS BIGINT) AS n" for name, sql in counts.items())
+
+
+@query(
+    "LA_campaign_qc",
+    f"WITH {CAMPAIGN} " + _named({
+        "source_horizon_rows": "SELECT count(*) FROM horizons",
+        "source_unique_sites": "SELECT count(DISTINCT site_id) FROM horizons",
+        "coordinate_rows": "SELECT count(*) FROM site_xy",
+        "duplicate_coordinate_keys_resolved":
+            "SELECT coalesce(sum(n), 0) FROM (SELECT count(*) AS n FROM site_xy GROUP BY site_id HAVING count(*) > 1)",
+        "zero_zero_coordinate_sites_rejected": "SELECT count(*) FROM deduped WHERE lat = 0 AND lon = 0",
+        "rows_with_lab_carbon": "SELECT count(c_tot) FROM horizons WHERE l_linenumber <> 7",
+        "rows_with_observation_date": "SELECT count(f.observation_date) FROM horizons JOIN first_dates f USING (site_id)",
+        "rows_with_measured_bulk_density": "SELECT count(bd) FROM horizons",
+        "export_rows": "SELECT count(*) FROM campaign", "export_unique_sites": "SELECT count(DISTINCT site_id) FROM campaign",
+        "export_rows_with_measured_bulk_density": "SELECT count(bd) FROM campaign",
+    }),
+)
+def campaign_qc(spark, sf):
+    raw, xy, dates = campaign(spark, sf)
+    joined = observations.join_campaign(raw, xy, dates)
+    return observations.campaign_qc(raw, xy, joined, observations.clean_campaign(joined, WINDOW))
+
+
 POINT_IDS = f"""{CAMPAIGN}, places AS (SELECT DISTINCT observation_date, lat, lon FROM campaign),
 ids AS (SELECT 'camp_' || lpad(CAST(row_number() OVER (ORDER BY observation_date, lat, lon) AS VARCHAR), 6, '0')
   AS point_id, * FROM places)"""
@@ -416,7 +465,7 @@ def feature_report(spark, sf):
 )
 def head(spark, sf):
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    return table(spark, sf, "lineitem").select(*keys).orderBy(*keys).limit(20)
+    return rank.first_rows(table(spark, sf, "lineitem").select(*keys), keys, 20)
 
 
 @query(

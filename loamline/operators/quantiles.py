@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.operators.rank import running_total
-from loamline.session import bounded_broadcast, checkpointed
+from loamline.session import bounded_broadcast, stored
 
 HOT_ROWS = 200_000
 _GRID = 1000  # sketch read-outs per pass
@@ -123,7 +123,7 @@ def order_statistics(
 
     ``ranks(n)`` gives the ranks wanted from a column with ``n`` values. Result per column:
     its ``n`` and rank -> element. The frame is scanned a few times, so an expensive plan
-    should be checkpointed or written before.
+    should be stored or written before.
     """
     searches = {name: _Search(_clean(value)) for name, value in columns.items()}
     first = df.agg(
@@ -165,7 +165,7 @@ def _ranked_quantiles(df: DataFrame, keys: list[str], value: str, probs: Sequenc
     weighted = (
         df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__w"))
     )
-    placed = checkpointed(running_total(weighted, [*keys, value], "__w", "__end"))
+    placed = stored(running_total(weighted, [*keys, value], "__w", "__end"))
     bounds = placed.groupBy(*keys).agg(
         F.min(F.col("__end") - F.col("__w")).alias("__first"), F.sum("__w").alias("__n")
     )
@@ -203,10 +203,10 @@ def group_quantiles(
     hot = sizes.where(F.col("__n") > hot_rows).select(*keys)
     if hot.isEmpty():
         return df.groupBy(*keys).agg(*exact)
-    hot = checkpointed(hot)
+    hot = stored(hot)
     marker = bounded_broadcast(hot)
     cold = df.join(marker, keys, "left_anti").groupBy(*keys).agg(*exact)
-    large = checkpointed(df.join(marker, keys, "left_semi").select(*keys, *values))
+    large = stored(df.join(marker, keys, "left_semi").select(*keys, *values))
     result = hot
     for value in values:
         result = result.join(_ranked_quantiles(large, keys, value, probs), keys, "left")

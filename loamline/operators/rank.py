@@ -8,20 +8,23 @@ there are partitions) turns them into global positions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loamline.functions.clean import pad_id
-from loamline.session import checkpointed
+from loamline.session import stored
 
+#: Rows that the tasks' first rows are merged to in one place.
+TOP_ROWS = 10_000
 _SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
 def _ranged(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Rows in global order, tagged with partition and slot, fixed by a checkpoint."""
-    tagged = checkpointed(
+    tagged = stored(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__slot", F.monotonically_increasing_id())
@@ -76,10 +79,36 @@ def assign_point_ids(observations: DataFrame, prefix: str) -> DataFrame:
 def systematic_sample(
     df: DataFrame, by: str, tiebreak: Sequence[str], wanted: int = 600
 ) -> DataFrame:
-    """Every ``max(1, n // wanted)``-th row of the frame sorted by ``by``."""
-    ranked = global_position(df, [by, *tiebreak], "__n")
+    """Every ``max(1, n // wanted)``-th row of the frame sorted by ``by``.
+
+    Only the keys are ranked and stored; the few sampled keys (under twice ``wanted``)
+    then fetch their rows. ``by`` and ``tiebreak`` together must tell rows apart.
+    """
+    keys = list(dict.fromkeys([by, *tiebreak]))
+    ranked = global_position(df.select(*keys), keys, "__n")
     step = max(1, ranked.count() // wanted)
-    return ranked.where(F.col("__n") % step == 0).drop("__n")
+    sampled = ranked.where(F.col("__n") % step == 0).select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    return df.join(F.broadcast(sampled), same, "left_semi")
+
+
+def first_rows(df: DataFrame, order: Sequence[str], n: int = 20) -> DataFrame:
+    """The first ``n`` rows in the order of the given columns.
+
+    Up to ``TOP_ROWS`` rows every task keeps its own first rows and these are merged; beyond,
+    the keys alone are ranked and rows up to the n-th key stay, so that no task gathers them.
+    ``order`` must then tell rows apart.
+    """
+    if n <= TOP_ROWS:
+        return df.orderBy(*order).limit(n)
+    keys = list(order)
+    last = global_position(df.select(*keys), keys, "__n").where(F.col("__n") == n - 1).select(
+        F.struct(*keys).alias("__last")
+    ).first()
+    if last is None:
+        return df
+    limit = F.struct(*[F.lit(last["__last"][k]).cast(df.schema[k].dataType).alias(k) for k in keys])
+    return df.where(F.struct(*keys) <= limit)
 
 
 def group_folds(df: DataFrame, key: str, k: int = 5) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,11 @@ from loamline.functions.clean import (
     non_negative, to_number, valid_coord,
 )
 from loamline.operators.cleaning import (
-    assemble_lab, assert_one_row_per, award_dates, dedupe_sites, first_date, lookup,
+    assemble_lab, assert_one_row_per, award_dates, dedupe_sites, duplicate_key_rows, first_date, lookup,
+    named_counts,
 )
 from loamline.operators.rank import assign_point_ids
 from loamline.schema import require_columns
-from loamline.session import checkpointed
 
 # The campaign's sampling dates, and the project names of the relational source.
 CAMPAIGN = ("2010-05-01", "2012-01-31")
@@ -127,16 +129,59 @@ def clean_relational(joined: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def campaign_qc(horizons: DataFrame, site_xy: DataFrame, joined: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Counters of the campaign's flow, as rows (name, n): sources, joins and export.
+
+    Each table is read once; the places are the same as in the join, one a site.
+    """
+    numeric = site_xy.withColumns({c: to_number(F.col(c)) for c in ("lat", "lon")})
+    sites = dedupe_sites(numeric, "raca_site", [], "ingest_order")
+    zero = (F.col("lat") == 0) & (F.col("lon") == 0)
+    parts = [
+        named_counts(horizons, {
+            "source_horizon_rows": F.count("*"), "source_unique_sites": F.count_distinct("rcasiteid"),
+        }),
+        named_counts(site_xy, {"coordinate_rows": F.count("*")}),
+        duplicate_key_rows(site_xy, "raca_site", "duplicate_coordinate_keys_resolved"),
+        named_counts(sites, {"zero_zero_coordinate_sites_rejected": F.count_if(zero)}),
+        named_counts(joined, {
+            "rows_with_lab_carbon": F.count("c_tot_ncs"), "rows_with_observation_date": F.count("observation_date"),
+            "rows_with_measured_bulk_density": F.count("measured_bulk_density_g_cm3"),
+        }),
+        _export_counts(cleaned, "export_unique_sites", "rcasiteid"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def relational_qc(joined: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Counters of the relational source's flow, as rows (name, n)."""
+    source = F.col("observation_date_source")
+    counts = named_counts(joined, {
+        "source_lab_rows": F.count_distinct("cooplabmst_id"), "joined_rows": F.count("*"),
+        "rows_with_soc": F.count("soc_pct"), "rows_with_measured_bulk_density": F.count("bulk_density"),
+        "rows_with_horizon_designation": F.count("hzdesg"),
+        "rows_with_explicit_sampling_date": F.count(mixed_date(F.col("date_sampled"))),
+        "rows_using_award_start_proxy": F.count_if(source == "award_start_date_proxy"),
+        "rows_missing_all_date_sources": F.count_if(source == "missing"),
+    })
+    return counts.unionByName(_export_counts(cleaned, "export_unique_pedons", "dsp_pedon_id"))
+
+
+def _export_counts(cleaned: DataFrame, name: str, key: str) -> DataFrame:
+    return named_counts(cleaned, {
+        "export_rows": F.count("*"), name: F.count_distinct(key),
+        "export_rows_with_measured_bulk_density": F.count("measured_bulk_density_g_cm3"),
+    })
+
+
 def with_points(observations: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
     """Observations with their point id, and the table of unique points.
 
     A point is a place and a cutoff date; the cutoff is the observation date, so no
-    covariate window reaches past it. The observations are checkpointed: they are read once
-    for the points and once for the join.
+    covariate window reaches past it. Only the distinct places are checkpointed, for their
+    ranks; the observations stay a plan, of which the points read three columns.
     """
-    dated = checkpointed(
-        observations.withColumn("covariate_cutoff_date", F.col("observation_date"))
-    )
+    dated = observations.withColumn("covariate_cutoff_date", F.col("observation_date"))
     points = assign_point_ids(dated, prefix)
     # The points are distinct places and dates, so they cannot repeat the key.
     return dated.join(points, ["lat", "lon", "covariate_cutoff_date"], "left"), points

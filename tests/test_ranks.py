@@ -158,3 +158,37 @@ def test_histogram_covers_all_values(spark):
     assert [(r["bin"], r["low"], r["n"]) for r in ends] == [(0, 0, 1), (1, 0.25, 0), (2, 0.5, 0), (3, 0.75, 1)]
     same = metrics.histogram(frame(spark, [2.0, 2.0]), "v", 10).collect()
     assert [(r["bin"], r["n"]) for r in same] == [(0, 2)]
+
+
+def test_sample_fetches_whole_rows(spark):
+    df = spark.range(1000).selectExpr("id", "CAST(id % 40 AS DOUBLE) AS v", "concat('row ', id) AS wide", "IF(id = 3, NULL, id) AS tie")
+    got = sorted(r["id"] for r in rank.systematic_sample(df, "v", ["tie", "id"], 100).collect())
+    order = sorted(range(1000), key=lambda i: (float(i % 40), i != 3, i))
+    assert got == sorted(order[::10])
+    final = rank.systematic_sample(df, "v", ["id"], 100)
+    assert final.columns == df.columns
+
+
+@pytest.mark.parametrize("limit", [10_000, 2])
+def test_first_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(rank, "TOP_ROWS", limit)
+    df = spark.range(300).selectExpr("id", "IF(id % 7 = 0, NULL, id % 10) AS k", "concat('r', id) AS wide")
+    want = sorted(range(300), key=lambda i: (i % 7 != 0, 0 if i % 7 == 0 else i % 10, i))
+    for n in (1, 50, 300, 400):
+        assert sorted(r["id"] for r in rank.first_rows(df, ["k", "id"], n).collect()) == sorted(want[:n])
+
+
+def test_profile_counts(spark):
+    from loamline.operators import cleaning
+
+    rows = [(i % 5, None if i % 4 == 0 else f"t{i % 9}", float("nan") if i % 2 else -0.0 if i % 3 else 0.0, dt.date(2000, 1, 1 + i % 3), None)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "a INT, b STRING, c DOUBLE, d DATE, e INT")
+    got = {r["column_name"]: (r["dtype"], r["non_missing"], r["missing"], r["distinct_values"]) for r in cleaning.profile(df).collect()}
+    assert got == {
+        "a": ("int", 200, 0, 5), "b": ("string", 150, 50, 9), "c": ("double", 200, 0, 2), "d": ("date", 200, 0, 3), "e": ("int", 0, 200, 0),
+    }
+    rough = {r["column_name"]: r["distinct_values"] for r in cleaning.profile(df, exact=False).collect()}
+    assert rough == {"a": 5, "b": 9, "c": 2, "d": 3, "e": 0}
+    plan = cleaning.profile(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(a" not in plan and cleaning.profile(df.limit(0)).count() == 0
