@@ -26,10 +26,10 @@ DEPTHS = (5.0, 30.0)
 
 
 def observations(spark, sf):
-    """One row per order line id, with features, both targets and the external flag."""
-    rows = S.horizons(spark, sf)
-    unique = rows.groupBy(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("obs_id")).agg(
-        *[F.max(c).alias(c) for c in rows.columns if c not in ("l_orderkey", "l_linenumber")]
+    """Every order line, under an id of its own, with features, both targets and the external flag."""
+    unique = S.horizons(spark, sf).withColumn(
+        "obs_id",
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("c_tot") * 4).cast("bigint")),
     )
     region = S.zones(spark, sf).select(F.col("ord").alias("c_nationkey"), "lrr")
     site = table(spark, sf, "customer").join(F.broadcast(region), "c_nationkey").select(  # 25 nations
@@ -60,10 +60,10 @@ def trained(spark, sf, name):
 
 
 OBSERVATIONS = f"""{S.HORIZONS}, obs AS (
-  SELECT l_orderkey || '-' || l_linenumber AS obs_id, max(site_id) AS site_id, max(lat) AS lat, max(lon) AS lon,
-         (max(top_cm) + max(bottom_cm)) / 2 AS z_mid, max(caco3) AS caco3, max(bd) AS bd,
-         CAST(max(l_partkey) % 60 AS DOUBLE) AS clay_pct, max(c_tot) AS y, max(l_returnflag) AS flag
-  FROM horizons GROUP BY l_orderkey, l_linenumber),
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(c_tot * 4 AS BIGINT)) AS obs_id, site_id, lat, lon,
+         (top_cm + bottom_cm) / 2 AS z_mid, caco3, bd, CAST(l_partkey % 60 AS DOUBLE) AS clay_pct, c_tot AS y,
+         l_returnflag AS flag
+  FROM horizons),
 named AS (
   SELECT o.*, r_name AS lrr, CASE substr(c_mktsegment, 1, 1) WHEN 'B' THEN 'C' WHEN 'A' THEN 'F'
          WHEN 'M' THEN 'R' WHEN 'H' THEN 'X' END AS lu
@@ -135,6 +135,45 @@ def error_scale(spark, sf):
     )
 
 
+KNOWN = model.Boosting(rounds=8, max_depth=3, learning_rate=0.3)
+
+
+@lru_cache(maxsize=4)
+def known_run(spark, sf):
+    """A run whose answer is known: carbon is 2 or 8 by clay, with noise below 30 cm alone."""
+    clay, deep = F.col("clay_pct") < 30, F.col("top_cm") >= 30
+    noise = F.pmod(F.xxhash64("obs_id"), F.lit(1000)) / 1000 - 0.5
+    rows = sample(spark, sf).withColumn(
+        "SOC_pct", F.when(clay, 2.0).otherwise(8.0) + F.when(deep, 2 * noise).otherwise(0.0)
+    )
+    train, external = rows.where("l_returnflag <> 'R'"), rows.where("l_returnflag = 'R'")
+    return model.train_target(train, external, FEATURES, TARGETS["soc_pct"], KNOWN, KNOWN)
+
+
+@query(
+    "M03_M06_known_split",
+    f"""WITH {OBSERVATIONS.split(', train AS')[0]}
+        SELECT obs_id, CASE flag WHEN 'R' THEN 'external' ELSE 'out of fold' END AS part, TRUE AS predicted_near,
+               TRUE AS scale_right, TRUE AS interval_right FROM named
+        WHERE flag <> 'R' OR (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180)""",
+)
+def known_split(spark, sf):
+    """A constant, or a model that learns anything else, is wrong for one of the two steps; a
+    constant scale is wrong above or below 30 cm."""
+    run = known_run(spark, sf)
+    steps = sample(spark, sf).select("obs_id", F.when(F.col("clay_pct") < 30, 2.0).otherwise(8.0).alias("step"))
+    deep = F.col("z_mid") >= 30
+    rows = stack.concat_tagged({
+        name: run[key].select("obs_id", "z_mid", "observed", "predicted", "scale", "lower_90", "upper_90")
+        for name, key in (("out of fold", "oof"), ("external", "external"))
+    }, "part")
+    width = F.col("upper_90") - F.col("lower_90")
+    return rows.join(steps, "obs_id").select(
+        "obs_id", "part", (F.abs(F.col("predicted") - F.col("step")) < 0.6).alias("predicted_near"),
+        ((F.col("scale") > 0.2) == deep).alias("scale_right"), ((width > 0.6) == deep).alias("interval_right"),
+    )
+
+
 RANK = "CAST(least(n - 1, ceil(least(1.0::DOUBLE, ceil((n + 1) * 0.9::DOUBLE) / n) * (n - 1))) AS BIGINT)"
 
 

@@ -25,13 +25,14 @@ from loamline.functions.clean import depth_group, depth_mid, is_true, measure_ra
 from loamline.functions.intervals import absolute_error, expm1_clip, floor_scale
 from loamline.operators.conformal import add_intervals, conformal_multiplier
 from loamline.operators.encode import most_frequent
+from loamline.operators.features import contract, contract_table, load_contract
 from loamline.operators.metrics import (
     interval_metrics, pixel_depth, regression_metrics, subgroup_metrics, uncertainty_by_depth,
 )
 from loamline.operators.quantiles import quantiles
 from loamline.operators.rank import group_folds
 from loamline.operators.stack import concat_tagged
-from loamline.schema import CATEGORICAL, Target, require_columns, require_unique
+from loamline.schema import CATEGORICAL, ContractError, Target, require_columns, require_unique
 from loamline.session import checkpointed
 
 SEED = 42
@@ -295,13 +296,15 @@ class Bundle:
 
 
 def save_bundle(bundle: Bundle, path: str, spark: SparkSession) -> None:
-    """Both pipelines by MLlib's writer, and a table of one row with everything else."""
+    """Both pipelines by MLlib's writer, the feature contract, and a table of one row with
+    everything else."""
     row = {"target": json.dumps(asdict(bundle.target)), "features": bundle.features, "multiplier": bundle.multiplier}
     for part, fitted in (("point", bundle.point), ("scale", bundle.scale)):
         fitted.pipeline.write().overwrite().save(f"{path}/{part}")
         row |= {
             f"{part}_medians": fitted.medians, f"{part}_modes": fitted.modes, f"{part}_indicators": fitted.indicators
         }
+    contract_table(spark, contract(bundle.features)).write.mode("overwrite").parquet(f"{path}/contract")
     spark.createDataFrame([row], _SETTINGS).write.mode("overwrite").parquet(f"{path}/settings")
 
 
@@ -312,15 +315,20 @@ _SETTINGS = "target string, features array<string>, multiplier double, " + ", ".
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
-    """What ``save_bundle`` wrote, for a job that only scores."""
+    """What ``save_bundle`` wrote, for a job that only scores. A bundle whose contract is not
+    the one that tiles are resolved by is refused."""
     row = spark.read.schema(_SETTINGS).parquet(f"{path}/settings").first()
+    if load_contract(spark.read.parquet(f"{path}/contract")) != contract(row["features"]):
+        raise ContractError(f"{path}: the features were resolved by another contract")
+    target = json.loads(row["target"])
+    target["features"] = tuple(target["features"])
 
     def fitted(part: str) -> Fitted:
         return Fitted(
             row[f"{part}_medians"], row[f"{part}_modes"], row[f"{part}_indicators"], PipelineModel.load(f"{path}/{part}")
         )
 
-    return Bundle(Target(**json.loads(row["target"])), row["features"], fitted("point"), fitted("scale"), row["multiplier"])
+    return Bundle(Target(**target), row["features"], fitted("point"), fitted("scale"), row["multiplier"])
 
 
 # --- evaluation ------------------------------------------------------------------------

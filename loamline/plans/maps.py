@@ -7,39 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.operators.encode import LAND_COVER, LAND_USE, decode_codes
+from loamline.operators.features import contract, resolved
 from loamline.operators.model import Bundle
 from loamline.operators.stack import at_depths, valid_mask
 from loamline.schema import DEPTHS_CM, NODATA, resolve_bands
-from loamline.session import bounded_broadcast, checkpointed
+from loamline.session import bounded_broadcast, stored
 from loamline.sources.sinks import MAP_BANDS, output_qc
 from loamline.sources.snapshots import PAIR, pixel_sums, publish, published_pairs, read_snapshot
 
 PIXEL = ["tile", "row", "col"]
 
 
-def decode_bands(df: DataFrame, lrr: DataFrame | None) -> DataFrame:
-    """Category codes of the tile to the names the models were trained on.
-
-    ``lrr(value, code)`` is the lookup kept when the codes were made.
-    """
-    names = {"LU_scraped": LAND_USE, "NLCD_name": LAND_COVER}
-    df = df.withColumns(
-        {c: decode_codes(F.col(c), table) for c, table in names.items() if c in df.columns}
-    )
-    if "LRR_group" in df.columns and lrr is not None:
-        table = bounded_broadcast(
-            lrr.select(F.col("code").alias("__code"), F.col("value").alias("__name"))
-        )
-        df = (
-            df.withColumn("__code", F.rint("LRR_group").cast("int"))
-            .join(table, "__code", "left")
-            .withColumn("LRR_group", F.col("__name"))
-            .drop("__code", "__name")
-        )
-    return df
-
-
 def score_tiles(
     tiles: DataFrame, bundles: Sequence[Bundle], depths: Sequence[float] = DEPTHS_CM,
     lrr: DataFrame | None = None, wanted: DataFrame | None = None, done: DataFrame | None = None,
@@ -52,6 +30,7 @@ def score_tiles(
     leaves out (tile, row, col, depth_cm).
     """
     required = list(dict.fromkeys(f for b in bundles for f in b.features))
+    features = contract(required)
     bands = resolve_bands(tiles.columns, required)
     pixels = tiles.select(*PIXEL, *[F.col(band).alias(f) for f, band in bands.items()])
     marked = valid_mask(pixels, list(bands))
@@ -64,7 +43,9 @@ def score_tiles(
     key = [*PIXEL, "depth_cm"]
     if done is not None:
         deep = deep.join(done, key, "left_anti")
-    valid = decode_bands(deep.where("valid"), lrr).withColumn("z_mid", F.col("depth_cm"))
+    # The same contract as in training; the bands already have their features' names.
+    named = deep.where("valid").withColumn("z_mid", F.col("depth_cm"))
+    valid = resolved(named, features, key, lrr)
     scored, carried = valid, key
     for bundle in bundles:
         keep = list(dict.fromkeys([*carried, *required]))
@@ -107,7 +88,7 @@ def run_pending(
         todo = wanted.join(had, PAIR, "left").withColumn("begun", F.col("had").isNotNull()).where(
             ~F.coalesce(same, F.lit(False))
         )
-    todo = checkpointed(todo.select(*PAIR, "begun"))
+    todo = stored(todo.select(*PAIR, "begun"))
     if todo.isEmpty():
         return None
     begun, known = todo.where("begun"), None

@@ -67,6 +67,15 @@ BULK_DENSITY_FEATURES = (
     "T2M_beta0 T2M_trend VPD_a1_10y VPD_b1_10y VPD_tcoef_10y ppt_a1_10y ppt_b1_10y "
     "ppt_beta0_10y ppt_tcoef_10y ET_a1 ET_b1 ET_a2 ET_b2 ET_beta0 ET_trend"
 ).split()
+SOC_DENSITY_FEATURES = (
+    "z_mid EL HAND TWI SOIL_TEXTURE clay_pct sand_pct lithology_class AEZ_GROUPID MLRA_ID "
+    "LRR_group LULC LU_scraped NLCD_name AI MAT_mean Tmin_spring_min SRAD_1y_mean_MJ EVI_mean "
+    "NDVI_mean NDWI_mean SF VPD_kPa VPD_mean_10y VPD_max_10y VPD_gs_mean_10y ppt_sum ppt_cv_10y "
+    "ET_sum EVI_a1 EVI_b1 EVI_a2 EVI_b2 EVI_beta0 NDVI_a1 NDVI_b1 NDVI_beta0 NDVI_trend NDWI_a1 "
+    "NDWI_b1 NDWI_beta0 NDWI_trend T2M_a1 T2M_b1 T2M_beta0 T2M_trend VPD_a1_10y VPD_b1_10y "
+    "VPD_tcoef_10y ppt_a1_10y ppt_b1_10y ppt_beta0_10y ppt_tcoef_10y ET_a1 ET_b1 ET_a2 ET_b2 "
+    "ET_beta0 ET_trend"
+).split()
 CATEGORICAL = ["LRR_group", "LU_scraped", "NLCD_name"]
 # Bands that may stand in for a feature, in order of preference.
 BAND_ALIASES = {"EL": ["EL", "EL_MERIT"], "SF": ["SF", "SF_median"]}
@@ -85,16 +94,20 @@ class Target:
     external_max: float | None = None
     valid_flag: str | None = None
     external_multiplier: bool = False
+    #: Model inputs, and boosting rounds of the point model.
+    features: tuple[str, ...] = ()
+    rounds: int = 500
 
 
 TARGETS = {
-    "soc_pct": Target("soc_pct", "SOC_pct", "%", 0.01, minimum=0.0, below=12.5),
+    "soc_pct": Target("soc_pct", "SOC_pct", "%", 0.01, minimum=0.0, below=12.5, features=tuple(SOC_FEATURES)),
     "bulk_density": Target(
         "bulk_density", "Measure_BD", "g cm-3", 1e-4, external_max=2.0,
-        valid_flag="BD_valid_basic", external_multiplier=True,
+        valid_flag="BD_valid_basic", external_multiplier=True, features=tuple(BULK_DENSITY_FEATURES), rounds=550,
     ),
     "soc_density": Target(
         "soc_density", "SOC_density", "g cm-3", 1e-4, valid_flag="SOC_density_valid",
+        features=tuple(SOC_DENSITY_FEATURES),
     ),
 }
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loamline.operators.model import Bundle
 from loamline.plans.maps import run_pending
 from loamline.schema import DEPTHS_CM
-from loamline.session import checkpointed
+from loamline.session import stored
 from loamline.sources.snapshots import is_published, sources
 
 #: Column of a stream that names the file a row comes from.
@@ -37,7 +37,7 @@ def score_batch(
     if is_published(spark, out, name):
         return False
     files = batch.groupBy(F.col(FILE).alias("file")).agg(F.count("*").alias("n"))
-    files = checkpointed(files.join(sources(spark, out).select("file"), "file", "left_anti"))
+    files = stored(files.join(sources(spark, out).select("file"), "file", "left_anti"))
     if files.isEmpty():
         return False
     fresh = batch.join(files.select(F.col("file").alias(FILE)), FILE, "left_semi").drop(FILE)

@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loamline.operators import encode, model
-from loamline.plans import maps
+from loamline.operators import encode, features, model
+from loamline.plans import maps, modelling
 from loamline.schema import NODATA, TARGETS, ContractError
 from loamline.sources import sinks, snapshots, tables
 from loamline.streaming.tiles import score_batch, score_new_tiles, tile_stream
@@ -316,6 +316,46 @@ def test_series_scan_prunes(spark, tmp_path):
 
 def test_decoding_uses_the_kept_lookup(spark):
     table = encode.categories(spark.createDataFrame([("N",), ("M",)], "v STRING"), "v")
-    df = spark.createDataFrame([(1.0, 81.0), (2.0, 12.0), (7.0, 42.0)], "LRR_group DOUBLE, NLCD_name DOUBLE")
-    got = [(r["LRR_group"], r["NLCD_name"]) for r in maps.decode_bands(df, table).collect()]
-    assert sorted(got, key=str) == sorted([("M", "Pasture/Hay"), ("N", None), (None, "Evergreen Forest")], key=str)
+    df = spark.createDataFrame(
+        [(1.0, 81.0, -9999.0), (2.0, 12.0, float("nan")), (7.0, 42.0, 3.0), (-999.0, -9999.0, None)],
+        "LRR_group DOUBLE, NLCD_name DOUBLE, EL_MERIT DOUBLE",
+    )
+    names = ["LRR_group", "NLCD_name", "EL"]
+    got = [tuple(r) for r in features.resolved(df, features.contract(names), (), table).collect()]
+    assert sorted(got, key=str) == sorted(
+        [("M", "Pasture/Hay", None), ("N", None, None), (None, "Evergreen Forest", 3.0), (None, None, None)], key=str
+    )
+    # What holds names already keeps them; the table of the contract comes back as it was.
+    again = features.resolved(features.resolved(df, features.contract(names), (), table), features.contract(names), (), None)
+    assert sorted((tuple(r) for r in again.collect()), key=str) == sorted(got, key=str)
+    made = features.contract(TARGETS["soc_density"].features)
+    assert features.load_contract(features.contract_table(spark, made)) == made and len(made) == 59
+    with pytest.raises(ContractError):
+        features.resolved(df, features.contract(["HAND"]))
+
+
+def test_modelling_table(spark):
+    observations = spark.createDataFrame(
+        [("a", "s", 40.0, -100.0, 0, 10, "p1", "2", 1.5), ("b", "s", 40.0, -100.0, 10, 30, "p1", "x", 1.0),
+         ("c", "t", 41.0, -101.0, 0, 20, "p2", "1", 0.0), ("d", None, 41.0, -101.0, 0, 20, "p9", "1", 1.2)],
+        "obs_id STRING, site_id STRING, lat DOUBLE, lon DOUBLE, top_cm INT, bottom_cm INT, point_id STRING, "
+        "soc_pct_mass STRING, measured_bulk_density_g_cm3 DOUBLE",
+    )
+    target = TARGETS["soc_density"]
+    bands = {"EL": "EL_MERIT", "SF": "SF_median"}
+    names = [bands.get(f, f) for f in target.features if f != "z_mid"]
+    values = {"EL_MERIT": -9999.0, "LU_scraped": 2.0, "NLCD_name": 41.0, "LRR_group": 1.0}
+    rows = [(p, *[values.get(n, float(k + i)) for i, n in enumerate(names)]) for k, p in enumerate(("p1", "p2"))]
+    covariates = spark.createDataFrame(rows, ["point_id", *names])
+    lookup = spark.createDataFrame([("M", 1)], "value STRING, code INT")
+    table = modelling.modelling_table(observations, covariates, target, lookup)
+    got = {r["obs_id"]: r for r in table.collect()}
+    assert set(table.columns) >= {*target.features, "SOC_density", "SOC_density_valid"} and len(got) == 4
+    assert (got["a"]["SOC_density"], got["a"]["z_mid"], got["a"]["EL"]) == (pytest.approx(0.03), 5.0, None)
+    assert (got["b"]["SOC_density"], got["b"]["SOC_density_valid"], got["c"]["SOC_density_valid"]) == (None, False, False)
+    assert [got["a"][c] for c in ("LU_scraped", "NLCD_name", "LRR_group")] == ["F", "Deciduous Forest", "M"]
+    assert got["d"]["HAND"] is None and got["d"]["LRR_group"] is None
+    train, external = model.prepare_tables(table, table, target.features, target)
+    assert [r["obs_id"] for r in train.collect()] == ["a"] and external.count() == 2
+    with pytest.raises(ContractError, match="point_id repeats"):
+        modelling.modelling_table(observations, covariates.union(covariates), target, lookup)
