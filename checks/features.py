@@ -66,6 +66,25 @@ def one_hot(spark, sf):
     return coded.select("l_orderkey", "l_linenumber", "l_partkey", *[f"kind_{i}" for i in range(1, 5)])
 
 
+@query(
+    "A29_one_hot_vector",
+    f"""WITH {S.HORIZONS}, levels AS (
+          SELECT kind, row_number() OVER (ORDER BY kind) - 1 AS place, count(*) OVER () AS size
+          FROM (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS kind FROM horizons WHERE {TRAIN}))
+        SELECT l_orderkey, l_linenumber, l_partkey, CAST((SELECT max(size) FROM levels) AS INTEGER) AS size,
+               CAST(place AS INTEGER) AS place, CASE WHEN place IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS total
+        FROM horizons LEFT JOIN levels ON kind = CAST(l_partkey AS VARCHAR)""",
+)
+def one_hot_vector(spark, sf):
+    """As many levels as there are parts, as a sparse vector."""
+    train, rest = (df.withColumn("kind", F.col("l_partkey").cast("string")) for df in train_and_all(spark, sf))
+    coded = encode.one_hot_vector(train, rest, "kind", "hot")
+    return coded.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "hot.size", F.get("hot.indices", F.lit(0)).alias("place"),
+        F.aggregate("hot.values", F.lit(0.0), lambda a, x: a + x).alias("total"),
+    )
+
+
 @query(
     "M01_prepare_tables",
     f"""WITH {S.HORIZONS} SELECT 'train' AS part, l_orderkey || '-' || l_linenumber AS obs_id,

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.functions.intervals import absolute_error, conformity, interval
+from loamline.functions.intervals import conformity, interval
 from loamline.operators.quantiles import order_statistics
 
 
@@ -82,7 +82,3 @@ def mapping_multiplier(
         "calibration_multiplier": own, "mapping_multiplier": mapped,
         "mapping_ratio": mapped / own,
     }
-
-
-def with_error(df: DataFrame) -> DataFrame:
-    return df.withColumn("absolute_error", absolute_error(F.col("observed"), F.col("predicted")))

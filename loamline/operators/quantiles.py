@@ -22,6 +22,7 @@ from loamline.session import bounded_broadcast, stored
 HOT_ROWS = 200_000
 _GRID = 1000  # sketch read-outs per pass
 _ACCURACY = 10_000  # rank error of the sketch is at most rows / accuracy
+_ROUNDS = 20  # passes of narrowing; a few settle any bracket that shrinks
 _FETCH = 5_000  # distinct values a final bracket may hold when it is read out
 
 
@@ -102,6 +103,19 @@ def _narrow(df: DataFrame, searches: list[_Search]) -> None:
                 search.look(*_around(sketches[f"g{i}"], rest, inside), rank)
 
 
+def _ranked(df: DataFrame, search: _Search) -> None:
+    """What brackets did not settle in ``_ROUNDS`` passes: ranked by range partitions of the
+    distinct values."""
+    ranks = [rank for found in search.open.values() for rank in found]
+    if not ranks:
+        return
+    weighted = df.select(search.value.alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+    placed = running_total(weighted, ["v"], "n", "stop").withColumn("rank", F.explode(F.array(*[F.lit(r) for r in ranks])))
+    here = placed.where((F.col("rank") < F.col("stop")) & (F.col("rank") >= F.col("stop") - F.col("n")))
+    search.found.update({r["rank"]: r["v"] for r in here.collect()})  # a row a wanted rank
+    search.open.clear()
+
+
 def _read_out(df: DataFrame, short: list) -> list[list[float]]:
     """Sorted values inside short brackets: at most ``_FETCH`` numbers each."""
     tagged = F.array(
@@ -135,8 +149,13 @@ def order_statistics(
         if search.count:
             for rank in sorted(set(ranks(search.count))):
                 search.look(*_around(search.grid, rank, search.count), rank)
-    while any(s.open for s in searches.values()):
-        _narrow(df, [s for s in searches.values() if s.open])
+    for _ in range(_ROUNDS):
+        still = [s for s in searches.values() if s.open]
+        if not still:
+            break
+        _narrow(df, still)
+    for search in searches.values():
+        _ranked(df, search)
     return {name: (s.count, s.found) for name, s in searches.items()}
 
 

@@ -48,6 +48,14 @@ def test_order_statistics_of_any_list(spark, values, data):
     assert n == len(values) and found[at] == sorted(values)[at]
 
 
+def test_quantiles_without_a_round_of_narrowing(spark, monkeypatch):
+    """What brackets leave open is ranked, so the search ends whatever the sketches say."""
+    monkeypatch.setattr(quantiles, "_ROUNDS", 0)
+    values = SAMPLES["a third equal"]
+    got = quantiles.quantiles(frame(spark, [*values, None]), {"v": F.col("v")}, PROBS)["v"]
+    assert got == pytest.approx(list(np.quantile(values, PROBS)))
+
+
 def test_quantiles_of_nothing(spark):
     assert quantiles.quantiles(frame(spark, [None]), {"v": F.col("v")}, (0.5,)) == {"v": [None]}
 
