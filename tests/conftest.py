@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from loamline.session import build_session
+from loamline.session import build_session, clear_scratch
 
 
 @pytest.fixture(scope="session")
@@ -19,4 +19,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()

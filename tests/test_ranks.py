@@ -200,3 +200,15 @@ def test_profile_counts(spark):
     assert rough == {"a": 5, "b": 9, "c": 2, "d": 3, "e": 0}
     plan = cleaning.profile(df)._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(a" not in plan and cleaning.profile(df.limit(0)).count() == 0
+
+
+def test_scratch_is_one_folder_with_an_end(spark, monkeypatch, tmp_path):
+    from loamline import session
+
+    assert session.scratch_dir(spark).endswith(spark.sparkContext.applicationId)
+    folder = tmp_path / "scratch"
+    monkeypatch.setattr(session, "scratch_dir", lambda _: str(folder))
+    df = session.stored(spark.range(7).withColumn("v", F.col("id") * 2))
+    assert df.count() == 7 and len(list(folder.iterdir())) == 1
+    session.clear_scratch(spark)
+    assert not folder.exists() and session.stored(spark.range(3)).count() == 3
