@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import free_name, text_or_empty, written
+from loamline.llm.shared import packed, text_or_empty, unpacked, written
 from loamline.llm.token_store import slices
 
 SHINGLE = 5
@@ -222,16 +222,23 @@ def _sketches_allow(pairs: DataFrame, nodes: DataFrame, threshold: int) -> DataF
     return joined.mapInArrow(compare, "a long, b long")
 
 
-def _texts(docs: DataFrame, shared: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
-    """(row, body) of the nodes that share a bucket; equal texts of many documents are read
-    as one. Texts are dealt by their digests here, once, for both rounds of links."""
-    wanted = written(nodes.join(shared.select("row").distinct(), "row", "left_semi").select("row", "text_key"), "wanted")
-    keys = written(wanted.select("text_key").distinct(), "keys")
+def _texts(docs: DataFrame, signed: DataFrame, shared: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, body) of the nodes that share a bucket.
+
+    A text is fetched by its digest and the id of one document that has it, so that the copies
+    of a text do not meet anywhere; rows alike in both are read as one."""
+    rows = shared.select("row").distinct()
+    wanted = written(signed.join(rows, "row", "left_semi").select("row", "text_key", "id"), "wanted")
+    name = F.concat_ws(":", "text_key", F.col("id").cast("string"))
+    keys = written(wanted.groupBy("text_key").agg(F.min_by("id", "row").alias("id")).select("text_key", name.alias("name")), "keys")
     text = text_or_empty(text_col)
-    found = docs.select(F.md5(text).alias("text_key"), text.alias("body"))
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.md5(text).alias("text_key"), text.alias("body")).select(
+        name.alias("name"), "body"
+    )
     # Merged at any size, so that the cost grows with the input alone.
-    once = found.join(keys.hint("merge"), "text_key", "left_semi").dropDuplicates(["text_key"])
-    return written(wanted.join(once, "text_key").select("row", "body"), "texts")
+    once = found.join(keys.select("name").hint("merge"), "name", "left_semi").dropDuplicates(["name"])
+    named = wanted.join(keys, "text_key").select("row", "name")
+    return written(named.join(once, "name").select("row", "body"), "texts")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
@@ -325,7 +332,7 @@ def grouped(
     pairs = shared.where((F.col("row") != F.col("first")) & _sizes_allow("n", "first_n", threshold)).select(
         F.col("row").alias("a"), F.col("first").alias("b")
     ).distinct()
-    texts = _texts(docs, shared, nodes, text_col)
+    texts = _texts(docs, signed, shared, id_col, text_col)
     found = links(_sketches_allow(pairs, nodes, threshold), texts, threshold)
     roots = written(components(found), "roots")
     # The likeliest partners first: they join most of a large group, whose other pairs are
@@ -458,10 +465,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .where("stay > 0").select("id", "text_key", (F.col("stay") < F.col("held")).alias("again")),
         "stays",
     )
-    key, again = free_name(docs, "text_key"), free_name(docs, "again")
-    marked = docs.withColumn(key, F.md5(text_or_empty(text_col)))
-    side = stays.select(F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.col("again").alias(again))
-    on = marked[id_col].cast("long").eqNullSafe(F.col("__id")) & (marked[key] == F.col("__key"))
-    met = marked.join(side, on).drop("__id", "__key")
-    once = met.where(~F.col(again)).select(*docs.columns)
-    return once.unionByName(met.where(F.col(again)).dropDuplicates([id_col, key]).select(*docs.columns))
+    marked = packed(docs, id=F.col(id_col).cast("long"), key=F.md5(text_or_empty(text_col)))
+    side = stays.select(F.col("id").alias("kept_id"), F.col("text_key").alias("kept_key"), "again")
+    on = marked["id"].eqNullSafe(side["kept_id"]) & (marked["key"] == side["kept_key"])
+    met = marked.join(side, on).drop("kept_id", "kept_key")
+    again = met.where("again").dropDuplicates(["id", "key"]).select("doc")
+    return unpacked(met.where("not again").select("doc").unionByName(again))

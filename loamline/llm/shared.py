@@ -73,6 +73,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def packed(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The rows as one column ``doc`` beside the named ones, so that the names of an operator
+    cannot clash with those of the table; ``unpacked`` gives the rows back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *[c.alias(n) for n, c in columns.items()])
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.select("doc.*")
+
+
 class Remembered:
     """Values of equal strings, worked out once, in two generations of bounded size.
 
