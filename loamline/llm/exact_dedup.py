@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import BLANKS, free_name, text_or_empty, written
+from loamline.llm.shared import BLANKS, packed, text_or_empty, unpacked, written
 
 #: Bits of the key that a directory may use, and entries of a bucket before it splits.
 MAX_DEPTH = 20
@@ -164,18 +164,19 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .groupBy("id", "text_sha256", "n_chars").agg(F.count("*").alias("n")),
         "stays",
     )
-    digest, size, rows = (free_name(docs, n) for n in ("digest", "size", "rows"))
     text = text_or_empty(text_col)
-    marked = docs.withColumns({digest: F.sha2(normalised(text), 256), size: F.length(text).cast("long")})
+    marked = packed(
+        docs, id=F.col(id_col), digest=F.sha2(normalised(text), 256), size=F.length(text).cast("long")
+    )
     side = wanted.select(
-        F.col("id").alias("__id"), F.col("text_sha256").alias("__sha"),
-        F.col("n_chars").alias("__n"), F.col("n").alias(rows),
+        F.col("id").alias("kept_id"), F.col("text_sha256").alias("kept_digest"),
+        F.col("n_chars").alias("kept_size"), F.col("n").alias("rows"),
     )
     on = (
-        marked[id_col].eqNullSafe(F.col("__id")) & (marked[digest] == F.col("__sha"))
-        & (marked[size] == F.col("__n"))
+        marked["id"].eqNullSafe(side["kept_id"]) & (marked["digest"] == side["kept_digest"])
+        & (marked["size"] == side["kept_size"])
     )
-    found = marked.join(side, on).drop("__id", "__sha", "__n")
-    once = found.where(F.col(rows) == 1).select(*docs.columns)
-    again = found.where(F.col(rows) > 1).dropDuplicates([id_col, digest, size]).select(*docs.columns)
-    return once.unionByName(again)
+    found = marked.join(side, on).drop("kept_id", "kept_digest", "kept_size")
+    once = found.where("rows = 1").select("doc")
+    again = found.where("rows > 1").dropDuplicates(["id", "digest", "size"]).select("doc")
+    return unpacked(once.unionByName(again))

@@ -20,11 +20,13 @@ the same place and are taken together. Reruns give the same mix.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import free_name, text_or_empty, word_count, written
+from loamline.llm.shared import free_name, packed, text_or_empty, word_count, written
 from loamline.operators.rank import global_position
 
 PLACE_BITS = 60
@@ -35,6 +37,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SHARDS = 16
+#: Words of a shard that one task shuffles.
+PIECE_WORDS = 4_000_000
 #: Blocks of all sources together; each source has at least one.
 BLOCKS = 32_768
 
@@ -319,13 +323,14 @@ def mix(
     Rows of a shard lie together, shuffled by a random key. Texts move once, to their shard.
     """
     _, quotas, draws, further = plan(docs, id_col, text_col, source_col, shards, seed)
-    u, shard = free_name(docs, "place"), free_name(docs, "shard")
-    rows = docs.withColumn(u, place(F.col(id_col), text_or_empty(text_col), seed))
-    met = _drawn(rows, quotas, draws, further, source_col, u).select(*docs.columns, u, F.explode("__draws").alias("__draw"))
-    order = F.xxhash64(F.lit(seed), u, F.col("__draw.pass"))
-    # The place splits a shard over several tasks, so that no task holds a whole one.
+    shard = free_name(docs, "shard")
+    rows = packed(docs, source=F.col(source_col), u=place(F.col(id_col), text_or_empty(text_col), seed))
+    met = _drawn(rows, quotas, draws, further, "source", "u").select("doc", "u", F.explode("__draws").alias("draw"))
+    words = quotas.agg(F.sum("target")).first()[0] or 0
+    # The place splits a shard over more tasks the more words it gets, so no task holds a whole one.
+    pieces = max(8, math.ceil(words / shards / PIECE_WORDS))
     return (
-        met.withColumn(shard, F.col("__draw.shard")).withColumn("__order", order)
-        .repartition(F.col(shard), F.col(u) % 8).sortWithinPartitions(shard, "__order")
-        .select(*docs.columns, shard)
+        met.select("doc", "u", F.col("draw.shard").alias("to"), F.xxhash64(F.lit(seed), "u", "draw.pass").alias("turn"))
+        .repartition(F.col("to"), F.col("u") % pieces).sortWithinPartitions("to", "turn")
+        .select("doc.*", F.col("to").alias(shard))
     )

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loamline.llm.shared import BLANKS, text_or_empty, written
+from loamline.llm.shared import BLANKS, packed, text_or_empty, unpacked, written
 
 COMMON = 0.004
 LEAST_LANGUAGE = 0.01
@@ -245,5 +245,6 @@ def good_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """The documents that are kept, with all their columns."""
     # Pushed below the measurements, the filter would repeat all of them inside itself; it is
     # not pushed below a row number.
-    rows = judged(docs, text_col, lang_col).withColumn("__row", F.monotonically_increasing_id())
-    return rows.where("__kept and __row >= 0").select(*docs.columns)
+    rows = packed(docs, text=F.col(text_col), lang=F.col(lang_col))
+    rows = judged(rows).withColumn("__row", F.monotonically_increasing_id())
+    return unpacked(rows.where("__kept and __row >= 0"))

@@ -324,3 +324,36 @@ def test_archives(spark):
 def test_archives_keep_pages_named_like_the_version_block(spark):
     rows = [(1, "filedesc://x", "a", None, None), (2, "u", "b", None, None)]
     assert {r["page_id"] for r in arc_to_warc.archived(pages(spark, rows)).collect()} == {1, 2}
+
+
+CLASHING = (
+    "doc id key name row rows again digest size u to turn draw shard place text_key kept_id kept_key __w __t __h __key __row __words "
+    "__id __sha __n __s __cut __draws __order __draw __own __kept"
+).split()
+
+
+@pytest.mark.parametrize("stage", [
+    quality.good_documents, exact_dedup.deduplicate, near_dedup.deduplicate,
+    lambda docs: mixing.mix(docs, shards=2).select(*docs.columns),
+])
+def test_columns_of_any_name_pass_unchanged(spark, stage):
+    rng = random.Random(11)
+    rows = [(i, " ".join(words(rng, 80)), "en", rng.choice("ab"), *[f"{c} {i}" for c in CLASHING]) for i in range(40)]
+    rows += [(100, rows[0][1], "en", "a", *[None] * len(CLASHING)), (None, None, None, None, *[""] * len(CLASHING))]
+    schema = "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHING)
+    docs = spark.createDataFrame(rows, schema)
+    got = stage(docs)
+    assert got.columns == docs.columns
+    found = [tuple(r) for r in got.collect()]
+    assert found and set(found) <= set(rows)
+    assert stage(docs.limit(0)).count() == 0
+
+
+def test_a_text_of_many_documents_is_read_once(spark):
+    """Copies of one text, some with one id or none, beside near copies of it."""
+    rng = random.Random(12)
+    base = words(rng, 200)
+    near = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in (3, 90, 180)]
+    rows = [(i % 30 if i % 7 else None, " ".join(base)) for i in range(90)] + [(200 + k, t) for k, t in enumerate(near)]
+    got = near_dedup.grouped(frame(spark, rows)).collect()
+    assert len(got) == 93 and {r["component_id"] for r in got} == {min(i for i, _ in rows if i is not None)} and sum(r["kept"] for r in got) == 1
