@@ -11,7 +11,7 @@ bounded size. Only files named in a committed manifest are read. Payloads that a
 as digests, in a grouping that combines on the map side, never as bytes.
 
 Null payloads are empty, null addresses are written as ``about:blank``, null page ids are
-left out. Of equal payloads the largest page id (null is least; then the first by file and
+left out. Of equal payloads the largest page id (null is least; then the last by file and
 offset) is the response and the others revisit it; a payload under ``least_bytes`` is always
 a response.
 """
