@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from checks import evaluation
 from loamline.operators import conformal, metrics, quantiles, rank
 
 PROBS = (0.0, 0.01, 0.25, 0.5, 0.9, 1.0)
@@ -212,3 +213,14 @@ def test_scratch_is_one_folder_with_an_end(spark, monkeypatch, tmp_path):
     assert df.count() == 7 and len(list(folder.iterdir())) == 1
     session.clear_scratch(spark)
     assert not folder.exists() and session.stored(spark.range(3)).count() == 3
+
+
+def test_subgroup_query_has_every_part(spark, tmp_path):
+    """Parts are groups of their own, however many there are."""
+    spark.sql(
+        """SELECT p AS l_orderkey, 1 AS l_linenumber, p * 97 AS l_partkey, 2L AS l_suppkey, 0.0D AS l_discount, id + 1.0D AS l_quantity,
+                  0.0D AS l_tax, 9000D * id AS l_extendedprice, 'N' AS l_returnflag
+           FROM range(30) JOIN (SELECT id AS p FROM range(1, 4)) ON true"""
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = evaluation.subgroup_metrics(spark, str(tmp_path)).collect()
+    assert sorted((r["grp"], r["n"]) for r in found) == [(97, 30), (194, 30), (291, 30)]
