@@ -1,6 +1,9 @@
 import datetime as dt
 import math
 import re
+import threading
+import time
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -85,6 +88,40 @@ def test_block_statistics_equal_brute_force(data, monkeypatch, limit):
                     assert row[f"{fn}_{w}"] is None
 
 
+def test_cells_of_many_targets_are_not_broadcast(spark):
+    """What is broadcast lies on the driver, once for each dataset that runs."""
+    points = spark.range(101_000).selectExpr("id AS cell_id", "DATE'2010-06-15' AS cutoff")
+    series = spark.createDataFrame([(1, day("2010-05-31"), 1.0)], "cell_id BIGINT, ts TIMESTAMP_NTZ, v DOUBLE")
+    plan = window_stats(series, distinct_targets(points), [Stat("s", "v", "sum", "1y")])._jdf.queryExecution()
+    assert "strategy=broadcast" not in plan.analyzed().toString()
+
+
+def test_few_datasets_run_at_once(spark, monkeypatch):
+    """The driver holds the plans of those that run."""
+    running, most, lock = [0], [0], threading.Lock()
+
+    def slow(df):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        time.sleep(0.3)
+        with lock:
+            running[0] -= 1
+        return df
+
+    points = spark.createDataFrame([(1, 1.0, 1.0, 1, dt.date(2010, 6, 1))], "point_id BIGINT, lat DOUBLE, lon DOUBLE, cell_id BIGINT, cutoff DATE")
+    data = defaultdict(lambda: None)
+    part = lambda *_, **__: points.select("cell_id", "cutoff")
+    for name in ("land_cover_family", "series_family", "climate_family", "fire_frequency", "window_stats", "bare_soil_family",
+                 "vegetation", "water_index", "evapotranspiration", "daily_climate", "reanalysis"):
+        monkeypatch.setattr(covariates, name, part)
+    monkeypatch.setattr(covariates, "stored", slow)
+    monkeypatch.setattr(covariates, "zone_family", lambda *_: (points.select("point_id"), None))
+    monkeypatch.setattr(covariates, "static_family", lambda *_: points.select("cell_id").distinct())
+    covariates.point_covariates(points, data)
+    assert 1 < most[0] <= 3
+
+
 def test_nothing_on_or_after_the_cutoff(spark):
     rows = [(1, day("2010-05-31"), 1.0), (1, day("2010-06-01"), 99.0), (1, day("2009-06-01"), 2.0), (1, day("2009-05-31"), 99.0)]
     series = spark.createDataFrame(rows, "cell_id BIGINT, ts TIMESTAMP_NTZ, v DOUBLE")
