@@ -34,17 +34,23 @@ def score_tiles(
     bands = resolve_bands(tiles.columns, required)
     pixels = tiles.select(*PIXEL, *[F.col(band).alias(f) for f, band in bands.items()])
     marked = valid_mask(pixels, list(bands))
-    if wanted is None:
-        deep = at_depths(marked, depths, "depth_cm")
-    else:
+    key = [*PIXEL, "depth_cm"]
+    if wanted is not None:
         # One row per tile; on a table partitioned by tile the join prunes its partitions.
         todo = wanted.groupBy("tile").agg(F.collect_set("depth_cm").alias("__depths"))
-        deep = marked.join(bounded_broadcast(todo), "tile").withColumn("depth_cm", F.explode("__depths"))
-    key = [*PIXEL, "depth_cm"]
-    if done is not None:
-        deep = deep.join(done, key, "left_anti")
-    # The same contract as in training; the bands already have their features' names.
-    named = deep.where("valid").withColumn("z_mid", F.col("depth_cm"))
+        marked = marked.join(bounded_broadcast(todo), "tile")
+
+    def exploded(df: DataFrame) -> DataFrame:
+        if wanted is None:
+            deep = at_depths(df, depths, "depth_cm")
+        else:
+            deep = df.withColumn("depth_cm", F.explode("__depths"))
+        return deep if done is None else deep.join(done, key, "left_anti")
+
+    # Models cost far more than a shuffle of their inputs, and a file of one row group would
+    # else be scored by one task. The same contract as in training; the bands already have
+    # their features' names.
+    named = exploded(marked.where("valid").repartition(*PIXEL)).withColumn("z_mid", F.col("depth_cm"))
     valid = resolved(named, features, key, lrr)
     scored, carried = valid, key
     for bundle in bundles:
@@ -53,14 +59,14 @@ def score_tiles(
         scored = bundle.score(scored, keep)
         carried = [*carried, *out]
     values = carried[len(key):]
-    done = scored.select(
+    made = scored.select(
         *key, *[F.col(c).cast("float").alias(c) for c in values],
         F.lit(1.0).cast("float").alias("valid_data_mask"),
     )
-    gaps = deep.where(~F.col("valid")).select(
+    gaps = exploded(marked.where(~F.col("valid"))).select(
         *key, *[F.lit(NODATA).cast("float").alias(c) for c in [*values, "valid_data_mask"]]
     )
-    return done.unionByName(gaps)
+    return made.unionByName(gaps)
 
 
 def run_pending(

@@ -132,6 +132,26 @@ def test_scoring_marks_invalid_pixels(tiles, bundles):
     assert good.where("abs(bulk_density_upper_90 - bulk_density_lower_90 - bulk_density_interval_width) > 1e-5").count() == 0
 
 
+def test_models_score_in_many_tasks(spark, tiles, bundles):
+    """Inputs of one row group are dealt over the tasks before the models, not scored by one."""
+    plan = maps.score_tiles(tiles.coalesce(1), bundles, (5.0, 30.0))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [tile" in plan
+    assert maps.score_tiles(tiles.coalesce(1), bundles, (5.0, 30.0)).count() == 2 * tiles.count()
+
+
+def test_training_has_few_partitions(spark, rows, monkeypatch):
+    """Passes over small training tables are not spent on as many tasks as a shuffle has."""
+    cores = spark.sparkContext.defaultParallelism
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(4 * cores + 1))
+        assert model.with_folds(rows).rdd.getNumPartitions() == cores
+        monkeypatch.setattr(model, "TASK_ROWS", 20)
+        assert model.with_folds(rows).rdd.getNumPartitions() == max(cores, 30)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_bundle_round_trip(spark, tiles, bundles, tmp_path):
     model.save_bundle(bundles[0], str(tmp_path / "bundle"), spark)
     loaded = model.load_bundle(spark, str(tmp_path / "bundle"))
