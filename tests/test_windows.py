@@ -306,6 +306,15 @@ def exchanges_of_counts(plan):
     return set(re.findall(r"Exchange hashpartitioning\(cell_id#\w+, k#\w+, day#\w+, v#.*?\[plan_id=(\d+)\]", plan))
 
 
+def test_no_join_sends_a_hot_cell_to_one_task(data):
+    """The counts of a cell are joined with its cuts in parts, whether or not these are broadcast."""
+    series, targets, *_ = data
+    found = window_quantiles(series, targets, "1y", ["v"], (0.25, 0.75), hot_rows=10)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftSemi, [^\n]*\(part#\d+L? = part#\d+L?\)", plan)
+    assert re.search(r"Join Inner, [^\n]*\(part#\d+L? = part#\d+L?\)", plan)
+
+
 def test_quantiles_run_nothing_beforehand(data, spark, tmp_path):
     series, targets, *_ = data
     series.write.parquet(str(tmp_path / "series"))
