@@ -110,3 +110,19 @@ class Remembered:
         for string in [s for s in new if len(s) > self.longest]:
             del young[string]
         return out
+
+    def of_different(self, strings: list[str]) -> list[bytes]:
+        """The value of every string of a list in which none stands twice."""
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, strings))
+        places = [i for i, value in enumerate(found) if value is None]
+        new = [strings[i] for i in places]
+        values = list(map(self.old.get, new))
+        fresh = [s for s, value in zip(new, values) if value is None]
+        learned = iter(self.learn(fresh))
+        for place, string, value in zip(places, new, values):
+            found[place] = value = next(learned) if value is None else value
+            if len(string) <= self.longest:
+                self.young[string] = value
+        return found

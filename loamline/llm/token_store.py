@@ -22,13 +22,14 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,24 +40,31 @@ from loamline.operators.rank import running_total
 MAGIC = b"DACTOK01"
 CHUNK_BITS = 8
 RANK_BITS = 512
-#: Ids after which a file is closed (at a document's end), and bytes of text encoded at once.
+#: Ids after which a file is closed (at a document's end), code points taken from a batch at once,
+#: and those encoded at once.
 FILE_IDS = 6_000_000
 SLICE_CHARS = 1_000_000
+ENCODED_CHARS = 2_000_000
 #: Encoded pieces that a Python worker remembers.
 CACHED_PIECES = 450_000
 LONG_PIECE = 64
+#: Pieces that the tokenizer gets in one go, so that what it holds meanwhile stays small.
+JOINED = 16_000
 
 # A blank may be a cut if a sign other than white space stands before it: pre-tokenization
 # then begins anew at the blank, whatever comes before.
 _PLAIN = "!-~¡-ᙿ"
-_UNSURE = re.compile(f"[^{_PLAIN}] ")
-_CUT = re.compile(f"(?<=[{_PLAIN}]) ")
+_CUT = f"([{_PLAIN}]) "
 # So may a line feed between two such signs, and a comma or full stop behind a letter or digit
 # and before white space: each is a pre-token of its own. What follows such a cut is marked,
 # since no blank stands before it.
 _MARK = "\x01"
 _LETTER = "0-9A-Za-zªµºÀ-ÖØ-öø-ʯ"
-_WHOLE = re.compile(f"[^{_PLAIN}][ \n]|\n[^{_PLAIN}]|[^{_LETTER}][.,][ \n]")
+_WHOLE = f"[^{_PLAIN}][ \n]|\n[^{_PLAIN}]|[^{_LETTER}][.,][ \n]"
+# Stands for the blank of a cut where other blanks are kept. A text with one of the two signs
+# of its own is one piece.
+_SPLIT = "\x02"
+_OWN = f"[{_MARK}{_SPLIT}]"
 _STARTS = frozenset(map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x1680)]))
 
 
@@ -81,44 +89,59 @@ class Encoder:
 
     def _after_blank(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece behind a blank, or, where it is marked, of the piece alone."""
+        plain = [p for p in pieces if p[:1] in _STARTS and " " not in p]
+        known: dict[str, bytes] = {}
+        for start in range(0, len(plain), JOINED):
+            some = plain[start : start + JOINED]
+            known.update(zip(some, self._behind_blank(some)))
         marked = [p for p in pieces if p[:1] == _MARK]
-        known = dict(zip(marked, self._alone([p[1:] for p in marked])))
-        others = [p for p in pieces if p[:1] != _MARK]
-        known.update(zip(others, self._behind_blank(others)))
-        return [known[p] for p in pieces]
+        known.update(zip(marked, self._alone([p[1:] for p in marked])))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, self._alone([" " + p for p in rest])))
+        return list(map(known.__getitem__, pieces))
 
-    def _behind_blank(self, pieces: list[str]) -> list[bytes]:
+    def _behind_blank(self, plain: list[str]) -> list[bytes]:
         """Pieces without a blank of their own are encoded in one go: each of them begins with
         the only token that opens with a blank."""
-        plain = [p for p in pieces if p and " " not in p and p[0] in _STARTS]
-        joined = self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0] if plain else None
-        ids = np.array(joined.ids if joined else [], "<u4")
-        starts = np.flatnonzero(self.opens[ids]).tolist() if plain else []
+        joined = self.tokenizer.encode_batch_fast([" " + " ".join(plain)], add_special_tokens=False)[0]
+        ids = np.array(joined.ids, "<u4")
+        starts = np.flatnonzero(self.opens[ids]).tolist()
         if len(starts) != len(plain):
-            return self._alone([" " + p for p in pieces])
+            return self._alone([" " + p for p in plain])
         body, ends = ids.tobytes(), [*starts[1:], len(ids)]
-        known = {p: body[4 * s : 4 * e] for p, s, e in zip(plain, starts, ends)}
-        rest = [p for p in pieces if p not in known]
-        known.update(zip(rest, self._alone([" " + p for p in rest])))
-        return [known[p] for p in pieces]
+        return [body[4 * s : 4 * e] for s, e in zip(starts, ends)]
 
     @staticmethod
-    def _cut(text: str) -> list[str]:
-        """The text up to its first cut, and the pieces behind each cut."""
-        if _MARK in text:
-            return [text]
-        if not _WHOLE.search(text):
-            for signs in ("\n", ", ", ". "):
-                text = text.replace(signs, f" {_MARK}{signs}")
-            return text.split(" ")
-        return _CUT.split(text) if _UNSURE.search(text) else text.split(" ")
+    def _cut(texts: pa.Array) -> tuple[pa.ListArray, np.ndarray]:
+        """Lists of pieces, and the place of each list's text. The first piece of a text is
+        marked too, since no blank stands before it."""
+        own = pc.match_substring_regex(texts, _OWN).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, _WHOLE).to_numpy(zero_copy_only=False) & ~own
+        mark, nothing = pa.scalar(_MARK, texts.type), pa.scalar("", texts.type)
+        heads, kinds = pc.binary_join_element_wise(mark, texts, nothing), (~own & ~whole, whole, own)
+        plain, unsure, single = (heads.filter(pa.array(kind)) for kind in kinds)
+        for signs in ("\n", ", ", ". "):
+            plain = pc.replace_substring(plain, signs, f" {_MARK}{signs}")
+        lists = [
+            pc.split_pattern(plain, " "),
+            pc.split_pattern(pc.replace_substring_regex(unsure, _CUT, rf"\1{_SPLIT}"), _SPLIT),
+            pa.ListArray.from_arrays(pa.array(np.arange(len(single) + 1, dtype="<i4")), single),
+        ]
+        return pa.concat_arrays(lists), np.concatenate([np.flatnonzero(kind) for kind in kinds])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, four bytes an id."""
-        cut = [self._cut(t) for t in texts]
-        heads = self._alone([c[0] for c in cut])
-        tails = self.tails.values([c[1:] for c in cut])
-        return [head + b"".join(tail) for head, tail in zip(heads, tails)]
+        """Ids of each text, four bytes an id. Each different piece of the list is looked up once."""
+        cut, places = self._cut(pa.array(texts, pa.large_string()))
+        pieces = cut.flatten().dictionary_encode()
+        known = self.tails.of_different(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends = np.cumsum(np.fromiter(chain([0], map(len, known)), "<i8")) // 4
+        ids = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(known), "<u4")))
+        found = ids.take(pieces.indices)
+        body, edges = found.flatten().to_numpy().tobytes(), found.offsets.to_numpy()[cut.offsets.to_numpy()].tolist()
+        out = [b""] * len(texts)
+        for place, start, end in zip(places.tolist(), edges, edges[1:]):
+            out[place] = body[4 * start : 4 * end]
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -267,7 +290,7 @@ def write_store(
             listed.clear()
 
         count = 0
-        for ids, texts in slices(batches):
+        for ids, texts in slices(batches, ENCODED_CHARS):
             for doc, body in zip(ids, coder.encode(texts)):
                 held.append(body + end)
                 listed.append((doc, len(body) // 4 + 1))

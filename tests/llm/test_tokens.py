@@ -8,7 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from loamline.llm import piece_codec, token_store
+from loamline.llm import piece_codec, shared, token_store
 
 ODD = [
     "", " ", "   ", "a", " a", "a ", "a  b", "a \n b", "\t\tx\x0b", "the" * 3000, "▁x ▁▁ y", "中文 字", "ſK ß\x00\x1c\u0085é",
@@ -37,6 +37,50 @@ def test_encoder_equals_library(monkeypatch):
     assert [numbers(i) for i in found] == [e.ids for e in want]
 
 
+def test_encoder_keeps_signs_of_cuts():
+    coder = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [
+        " lead\n\nx  y", "\n\n a b\u3000 c d", "\x02", "a\x02 b", "a \x02b\n\nc d", "\x01 a b", "x, \x01y", "\x02\x01\n a", ", a. b\nc", "",
+        "\n", " ", "no cut " * 40 + "\n\nx", "w" * 500 + " " + "v" * 200, "a\x00 b\x00, c", "é, ß. ſ, K\u1680 x", "<|endoftext|> a <|endoftext|>\nb",
+    ]
+    want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in rows]
+    assert [numbers(i) for i in coder.encode(rows)] == want
+    assert [numbers(coder.encode([t])[0]) for t in rows] == want
+    assert coder.encode([]) == [] and numbers(coder.encode(rows[::-1] * 3)[-1]) == want[0]
+
+
+def test_encoder_looks_up_a_piece_once(monkeypatch):
+    """The cost of a word is that of its first copy in the texts encoded together."""
+    looked = []
+
+    def counted(method):
+        def count(self, given):
+            looked.extend(s for x in given for s in ([x] if isinstance(x, str) else x))
+            return method(self, given)
+        return count
+
+    for name in {"values", "of_different"} & vars(shared.Remembered).keys():
+        monkeypatch.setattr(shared.Remembered, name, counted(vars(shared.Remembered)[name]))
+    coder = token_store.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [f"Start of {k}, the text and the end. So the text is the same" for k in range(50)]
+    assert [numbers(i) for i in coder.encode(rows)] == [coder.tokenizer.encode(t).ids for t in rows]
+    assert len(looked) == len(set(looked)) < 80
+
+
+def test_remembered_different_strings():
+    learned = []
+
+    def learn(strings):
+        learned.extend(strings)
+        return [s.encode() * 2 for s in strings]
+
+    kept = shared.Remembered(learn, 3, 4)
+    for strings in (["a", "b", "long one"], ["c", "a"], ["a", "d"], ["e", "f", "b"], [], ["long one", "a", "", "g"]):
+        assert kept.of_different(strings) == [s.encode() * 2 for s in strings]
+    assert learned == ["a", "b", "long one", "c", "d", "e", "f", "long one", "", "g"]
+    assert set(kept.young) | set(kept.old) == {*"abdefg", ""}
+
+
 def test_piece_codec_equals_library(monkeypatch):
     monkeypatch.setattr(piece_codec, "CACHED_CUTS", 50)
     monkeypatch.setattr(piece_codec, "CACHED_PAIRS", 100)
