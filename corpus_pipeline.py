@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.llm import exact_dedup, mixing, near_dedup, piece_codec, quality
-from loamline.llm.shared import scratch_uri
+from loamline.llm.shared import dealt, scratch_uri
 
 PIECES = "piece_bpe_32k.model"
 
@@ -32,9 +32,18 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(*docs.columns)
 
 
+def texts_together(docs: DataFrame) -> DataFrame:
+    """doc_id and text, with the draws of a text side by side, where the codec codes them once.
+
+    The mix draws a document at most twice, so no task gets many rows of one text.
+    """
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("place"))
+    return dealt(rows, "place").sortWithinPartitions("place")
+
+
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of each row, as digests."""
-    return piece_codec.digests(docs, public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
+    return piece_codec.digests(texts_together(docs), public_tokenizers.path(PIECES)).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -176,15 +176,19 @@ def codec(path: str) -> PieceCodec:
     return _CODECS[path]
 
 
+def _columns(coder: PieceCodec, texts: list[str], row: Callable) -> list[pa.Array]:
+    """The columns that ``row`` makes of each text's ids; equal texts of the list are coded once."""
+    places = {text: i for i, text in enumerate(dict.fromkeys(texts))}
+    at = pa.array([places[t] for t in texts], pa.int32())
+    return [pa.array(c).take(at) for c in row(coder, coder.encode(list(places)))]
+
+
 def _mapped(docs: DataFrame, path: str, schema: str, row: Callable, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, kinds = codec(path), None
+        coder = codec(path)
         for keys, texts in slices(batches):
-            ids = coder.encode(texts)
-            columns = row(coder, keys, ids)
-            kinds = kinds or [pa.array(c).type for c in columns]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64() if i == 0 else None) for i, c in enumerate(columns)],
+                [pa.array(keys, pa.int64()), *_columns(coder, texts, row)],
                 names=[f.split()[0] for f in schema.split(", ")],
             )
 
@@ -195,8 +199,8 @@ def _mapped(docs: DataFrame, path: str, schema: str, row: Callable, id_col: str,
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids, decoded): ids as little-endian 32-bit bytes, and the text they decode to."""
 
-    def row(coder, keys, ids):
-        return keys, [len(i) // 4 for i in ids], ids, coder.decode(ids)
+    def row(coder, ids):
+        return [len(i) // 4 for i in ids], ids, coder.decode(ids)
 
     return _mapped(docs, path, "id long, n_tokens long, ids binary, decoded string", row, id_col, text_col)
 
@@ -207,9 +211,9 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     def digest(body: bytes) -> str:
         return hashlib.sha256(body).hexdigest()
 
-    def row(coder, keys, ids):
+    def row(coder, ids):
         texts = [digest(t.encode()) for t in coder.decode(ids)]
-        return keys, [len(i) // 4 for i in ids], [digest(i) for i in ids], texts
+        return [len(i) // 4 for i in ids], [digest(i) for i in ids], texts
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _mapped(docs, path, schema, row, id_col, text_col)

@@ -67,29 +67,26 @@ def with_repeats(df: DataFrame) -> DataFrame:
     """Adds ``__repeats``: words in three-word windows that the text holds twice or more.
 
     Windows become longs, a hash above and the position below, and are sorted as plain
-    numbers; neighbours with one hash are compared word by word.
+    numbers; neighbours with one hash are compared word by word, each pair once. No element
+    may be null, or the numbers would be sorted as objects.
     """
-    df = df.withColumn("__bits", F.expr("cast(ceil(log2(__words + 2)) as int)"))
+    df = df.withColumn("__bits", F.expr("coalesce(cast(ceil(log2(__words + 2)) as int), 0)"))
     keys = F.expr(
-        """if(__words >= 3, transform(sequence(bigint(1), __words - 2), i ->
-             shiftleft(xxhash64(__h[i - 1], __h[i], __h[i + 1]), __bits) | i), array())"""
+        """if(__words >= 3, transform(slice(__h, 1, int(__words) - 2), (x, i) ->
+             shiftleft(xxhash64(x, __h[i + 1], __h[i + 2]), __bits) | bigint(i)), array())"""
     )
     df = df.withColumn("__keys", F.sort_array(keys)).withColumn(
         "__mask", F.expr("shiftleft(bigint(1), __bits) - 1")
     )
-
-    def same(other: str) -> str:
-        words = " and ".join(
-            f"__w[int(x & __mask) - {k}] = __w[int({other} & __mask) - {k}]" for k in (1, 0)
-        )
-        third = f"__w[int(x & __mask) + 1] = __w[int({other} & __mask) + 1]"
-        return f"(shiftright(x, __bits) = shiftright({other}, __bits) and {words} and {third})"
-
+    words = " and ".join(
+        f"__w[int(__keys[i] & __mask) + {k}] = __w[int(__keys[i + 1] & __mask) + {k}]" for k in range(3)
+    )
     hits = F.expr(
-        f"""filter(__keys, (x, i) -> (i > 0 and {same('__keys[i - 1]')})
-              or (i + 1 < size(__keys) and {same('__keys[i + 1]')}))"""
+        f"""if(size(__keys) < 2, array(), filter(sequence(0, size(__keys) - 2), i ->
+              shiftright(__keys[i] ^ __keys[i + 1], __bits) = 0 and {words}))"""
     )
-    covered = F.expr("flatten(transform(__hits, x -> array(x & __mask, (x & __mask) + 1, (x & __mask) + 2)))")
+    pairs = "flatten(transform(__hits, i -> slice(__keys, i + 1, 2)))"
+    covered = F.expr(f"flatten(transform({pairs}, x -> array(x & __mask, (x & __mask) + 1, (x & __mask) + 2)))")
     return df.withColumn("__hits", hits).withColumn(
         "__repeats", F.size(F.array_distinct(covered)).cast("long")
     ).drop("__keys", "__hits", "__bits", "__mask")
@@ -113,9 +110,9 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     signs = {f"={r['lang']}": [r[c] or 0.0 for c in CLASSES] for r in held.collect()}
     signs[""] = [total[c] or 0.0 for c in CLASSES]
 
-    hashed = narrow.select(
-        _key(F.col("lang")).alias("key"), F.explode(_hashes(_words(text_or_empty("text")))).alias("word")
-    )
+    # Hashed behind the explode, where the hash is compiled code.
+    listed = narrow.select(_key(F.col("lang")).alias("key"), F.explode(_words(text_or_empty("text"))).alias("word"))
+    hashed = listed.select("key", F.xxhash64("word").alias("word"))
     counts = written(hashed.groupBy("key", "word").agg(F.count("*").alias("n")), "words")
     totals = written(counts.groupBy("key").agg(F.sum("n").alias("n")), "totals")
     words = {r["key"]: r["n"] for r in totals.where(F.col("key").isin([k for k in signs if k])).collect()}

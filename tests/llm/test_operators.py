@@ -165,6 +165,17 @@ def test_quality(spark, corpus):
     assert 500 not in kept and 400 in kept
 
 
+def test_repeated_windows_equal_brute_force(spark):
+    rng = random.Random(31)
+    texts = [" ".join(rng.choices("abc"[: 1 + i % 3] + "dé", k=i % 23)) for i in range(200)] + [None, " \n", "a b\ta b a b"]
+    df = quality.measured(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)]).select("doc_id", "text"))
+    got = {r["doc_id"]: r["__repeats"] for r in quality.with_repeats(df).select("doc_id", "__repeats").collect()}
+    for i, t in enumerate(texts):
+        w = (t or "").split()
+        windows = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+        assert got[i] == len({k + j for k, g in enumerate(windows) if windows.count(g) > 1 for j in range(3)})
+
+
 def test_quality_of_rare_languages(spark):
     """Clean documents of a language under 1% are held against their own language, or not at all."""
     rng = random.Random(12)

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loamline.llm import mixing
@@ -90,6 +91,16 @@ def test_rows_equal_brute_force(spark, rows, tmp_path):
         assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
+def test_draws_of_a_text_are_coded_together(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    drawn = docs.unionByName(docs).unionByName(docs.where("doc_id < 20")).repartition(5)
+    lying = corpus_pipeline.texts_together(drawn).withColumn("part", F.spark_partition_id()).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in lying) == Counter((r["doc_id"], r["text"]) for r in drawn.collect())
+    order = [(r["part"], r["text"]) for r in lying]
+    changes = 1 + sum(a != b for a, b in zip(order, order[1:]))
+    assert changes == len({r[1] for r in rows}) == len(set(order))
+
+
 def test_stages_on_edge_tables(spark, rows):
     """Empty tables, and columns beyond those of documents: all but the last stage keep them."""
     more = spark.createDataFrame([(*r, "x", r[0]) for r in rows], SCHEMA + ", place string, shard long")

@@ -90,6 +90,21 @@ def test_piece_codec_equals_library(monkeypatch):
     assert coder.decode(found) == coder.library.decode([numbers(i) for i in found])
 
 
+def test_equal_texts_are_coded_once():
+    class Counting:
+        def __init__(self):
+            self.coded = []
+
+        def encode(self, texts):
+            self.coded += texts
+            return [t.encode() for t in texts]
+
+    coder, given = Counting(), ["b", "", "a", "b", "B", "", "b"]
+    ids, sizes = piece_codec._columns(coder, given, lambda _, found: (found, [len(i) for i in found]))
+    assert coder.coded == ["b", "", "a", "B"]
+    assert ids.to_pylist() == [t.encode() for t in given] and sizes.to_pylist() == [len(t) for t in given]
+
+
 @pytest.mark.parametrize("size", [0, 1, 511, 512, 513, 5000])
 def test_random_access(size):
     rng = np.random.default_rng(size)
