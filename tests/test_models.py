@@ -97,6 +97,48 @@ def test_feature_vectors(rows, spark):
     assert got["c"] == [5.0, median, 1.0, 1.0, 0.0, 1.0, 0.0, 0.0]
 
 
+def test_folds_share_their_passes(spark, rows):
+    """Fitting a model for every fold takes the jobs that one model takes."""
+    folded = model.with_folds(rows.withColumn("z_mid", F.lit(5.0)))
+    sc, jobs = spark.sparkContext, {}
+    for name, holdouts in (("one", [None]), ("six", [1, 2, 3, 4, 5, None])):
+        sc.setJobGroup(name, name)
+        fitted = model.fit_folds(folded, FEATURES, "SOC_pct", SMALL, holdouts)
+        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(name))
+        assert [m.inputs.holdout for m in fitted] == holdouts
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs["six"] <= jobs["one"] + 4
+    # What a fold holds is not known to its model.
+    data = folded.select("fold", "EL", "clay_pct").toPandas()
+    for m in fitted[:5]:
+        seen = data[data["fold"] != m.inputs.holdout]
+        assert m.medians["EL"] == seen["EL"].median() and m.medians["clay_pct"] == seen["clay_pct"].median()
+
+
+def test_trees_are_those_of_mllib(spark):
+    """Without draws of rows and features the scores are those of MLlib's own training."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = np.random.default_rng(4)
+    data = [
+        (f"o{i}", float(rng.integers(0, 40)), None if i % 9 == 0 else float(rng.integers(0, 30)), "ABC"[i % 3], float(rng.gamma(2)))
+        for i in range(500)
+    ]
+    df = spark.createDataFrame(data, "obs_id STRING, a DOUBLE, b DOUBLE, LU_scraped STRING, y DOUBLE").cache()
+    params = model.Boosting(rounds=12, max_depth=3, learning_rate=0.3, min_leaf=4, subsample=1.0, colsample=1.0)
+    fitted = model.fit(df, ["a", "b", "LU_scraped"], "y", params)
+    vectors = model.feature_matrix(fitted, df, "obs_id").join(df, "obs_id").withColumn("__label", F.log1p("y"))
+    own = GBTRegressor(
+        featuresCol="v", labelCol="__label", maxDepth=3, maxIter=12, stepSize=0.3, minInstancesPerNode=4, maxBins=64, seed=1,
+    ).fit(vectors.withColumn("v", array_to_vector("features")))
+    want = {r["obs_id"]: r["prediction"] for r in own.transform(vectors.withColumn("v", array_to_vector("features"))).collect()}
+    got = {r["obs_id"]: r["p"] for r in fitted.transform(df, "p", ["obs_id"]).collect()}
+    assert max(abs(want[k] - got[k]) for k in want) < 1e-9 and len(got) == 500
+    through = fitted.pipeline.transform(fitted.prepare(df)).select("obs_id", "prediction").collect()
+    assert max(abs(r["prediction"] - got[r["obs_id"]]) for r in through) < 1e-12
+
+
 def test_predictions_must_align(rows):
     short = rows.limit(10).select("obs_id", F.lit(1.0).alias("predicted"), F.lit(1.0).alias("observed"))
     with pytest.raises(ValueError):

@@ -224,3 +224,20 @@ def test_subgroup_query_has_every_part(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
     found = evaluation.subgroup_metrics(spark, str(tmp_path)).collect()
     assert sorted((r["grp"], r["n"]) for r in found) == [(97, 30), (194, 30), (291, 30)]
+
+
+def test_quantiles_without_a_part(spark):
+    import pandas as pd
+
+    rng, n = np.random.default_rng(1), 40_000
+    wide = rng.normal(size=n) * 10.0 ** rng.integers(-200, 200, n)
+    some = np.where(rng.random(n) < 0.3, np.nan, rng.normal(size=n))
+    part = rng.integers(1, 6, n)
+    data = {"wide": wide, "few": rng.integers(0, 5, n) - 2.0, "some": some, "none": np.full(n, np.nan)}
+    df = spark.createDataFrame(pd.DataFrame(data | {"part": part})).repartition(5)
+    outs = [1, 2, 5, None]
+    for out, got in zip(outs, quantiles.quantiles_without(df, {c: F.col(c) for c in data}, F.col("part"), outs)):
+        for c, values in data.items():
+            kept = values[(part != out) & ~np.isnan(values)]
+            want = np.median(kept) if len(kept) else None
+            assert got[c][1] == len(kept) and (got[c][0] == want or got[c][0] == pytest.approx(want, rel=1e-12))
