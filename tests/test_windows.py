@@ -367,3 +367,21 @@ def test_images_of_other_cells_count(spark):
     assert counts == {"1y": 2, "10y": 3}
     row = window_stats(series, targets, stats, shared=shared).first()
     assert (row["s"], row["t"]) == (1.0, 1.0)
+
+
+def test_tables_on_the_way_are_removed(spark):
+    """A stored result leaves nothing of what was stored to make it, other tables stay."""
+    import glob
+
+    from loamline.session import scratch_dir, stored, stored_alone
+
+    kept = stored(spark.range(3))
+    before = set(glob.glob(f"{scratch_dir(spark).removeprefix('file:')}/*"))
+
+    def made():
+        return stored(spark.range(6)).groupBy((F.col("id") % 2).alias("k")).count().join(stored(spark.range(2)), F.col("k") == F.col("id"))
+
+    table = stored_alone(spark, made)
+    after = set(glob.glob(f"{scratch_dir(spark).removeprefix('file:')}/*"))
+    assert before < after and len(after - before) == 1
+    assert table.count() == 2 and kept.count() == 3
